@@ -152,15 +152,14 @@ def carry_last(
 
 
 def pick_ranks(
-    counts: DataFrame, value: str, count: str, key: Sequence[str], ranks: DataFrame
+    sliced: DataFrame, value: str, count: str, key: Sequence[str], ranks: DataFrame
 ) -> DataFrame:
     """Values at given 0-based ranks of weighted values, per key.
 
-    ``counts`` holds one row per (key, value) with its number of occurrences;
-    ``ranks`` holds (key..., rank) and must be small. Only slices that contain a
-    wanted rank are looked at row by row.
+    ``sliced`` is one row per (key, value) with its number of occurrences, put in that
+    order by ``slice_in_order``; ``ranks`` holds (key..., rank) and must be small. Only
+    slices that contain a wanted rank are looked at row by row.
     """
-    sliced = slice_in_order(counts, [*key, value], unique=True)
     spans = sliced.groupBy(SLICE, *key).agg(F.sum(count).alias("__n"))
     # one row per slice and key; a key's rows here number at most the slices it fills
     seen = Window.partitionBy(*key).orderBy(SLICE).rowsBetween(Window.unboundedPreceding, 0)

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ctrflow.operators.order import pick_ranks
+from ctrflow.operators.order import pick_ranks, slice_in_order
 from ctrflow.scratch import materialize
 
 _NUMERIC = (T.NumericType,)
@@ -58,41 +58,42 @@ def _per_feature(df: DataFrame, columns: Sequence[str], measures: dict[str, tupl
     return row.select(F.explode(F.array(*structs)).alias("f")).select("f.*")
 
 
-def stats_common(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
-    """Rows, non-missing, missing and presence per feature."""
-    columns = list(columns or df.columns)
-    out = _per_feature(
-        df,
-        columns,
-        {
-            "n_rows": (lambda c: F.count(F.lit(1)), "bigint"),
-            "n_present": (lambda c: F.count(_present(df, c)), "bigint"),
-        },
-    )
-    return out.withColumn("n_missing", F.col("n_rows") - F.col("n_present")).withColumn(
-        "presence", F.when(F.col("n_rows") > 0, F.col("n_present") / F.col("n_rows"))
-    )
-
+def _common(df: DataFrame) -> dict[str, tuple]:
+    return {
+        "n_rows": (lambda c: F.count(F.lit(1)), "bigint"),
+        "n_present": (lambda c: F.count(_present(df, c)), "bigint"),
+    }
 
-def numeric_scalars(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """min, max, mean, population deviation and zeros per feature."""
 
+def _numeric(df: DataFrame) -> dict[str, tuple]:
     def num(c):
         return _present(df, c).cast("double")
 
-    return _per_feature(
-        df,
-        columns,
-        {
-            "min": (lambda c: F.min(num(c)), "double"),
-            "max": (lambda c: F.max(num(c)), "double"),
-            "mean": (lambda c: F.avg(num(c)), "double"),
-            "std": (lambda c: F.stddev_pop(num(c)), "double"),
-            "zeros": (lambda c: F.count(F.when(num(c) == 0, 1)), "bigint"),
-        },
+    return {
+        "min": (lambda c: F.min(num(c)), "double"),
+        "max": (lambda c: F.max(num(c)), "double"),
+        "mean": (lambda c: F.avg(num(c)), "double"),
+        "std": (lambda c: F.stddev_pop(num(c)), "double"),
+        "zeros": (lambda c: F.count(F.when(num(c) == 0, 1)), "bigint"),
+    }
+
+
+def _with_presence(common: DataFrame) -> DataFrame:
+    return common.withColumn("n_missing", F.col("n_rows") - F.col("n_present")).withColumn(
+        "presence", F.when(F.col("n_rows") > 0, F.col("n_present") / F.col("n_rows"))
     )
 
 
+def stats_common(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
+    """Rows, non-missing, missing and presence per feature."""
+    return _with_presence(_per_feature(df, list(columns or df.columns), _common(df)))
+
+
+def numeric_scalars(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """min, max, mean, population deviation and zeros per feature."""
+    return _per_feature(df, columns, _numeric(df))
+
+
 def numbers_long(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """``(feature, value)`` of the non-missing numbers."""
     return (
@@ -112,6 +113,11 @@ def number_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     )
 
 
+def ordered_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Value counts of numeric features, written in (feature, value) order."""
+    return slice_in_order(number_counts(df, columns), ["feature", "value"], unique=True)
+
+
 def string_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """``(feature, value, count)`` with values as text."""
     return (
@@ -134,7 +140,8 @@ def quantiles(
 
     Exact (linear interpolation between neighbours) from the value counts, without
     gathering a feature's values anywhere. ``sketch=True`` takes Spark's
-    approximate percentiles instead: one pass and no large shuffle.
+    approximate percentiles instead: one pass and no large shuffle. ``counts`` is the
+    table of ``ordered_counts``, if there is one already.
     """
     probs = [i / parts for i in range(parts + 1)]
     if sketch:
@@ -147,7 +154,7 @@ def quantiles(
                           for i, c in enumerate(columns)])
             ).alias("f")
         ).select("f.feature", F.posexplode("f.v").alias("q", "value"))
-    counts = materialize(number_counts(df, columns), "counts") if counts is None else counts
+    counts = ordered_counts(df, columns) if counts is None else counts
     totals = counts.groupBy("feature").agg(F.sum("count").alias("n"))
     grid = totals.select(
         "feature", "n", F.explode(F.array(*[F.lit(i) for i in range(parts + 1)])).alias("q")
@@ -187,12 +194,17 @@ def bin_of(value: Column, lo: Column, hi: Column, bins: int) -> Column:
 
 
 def histogram(
-    df: DataFrame, columns: Sequence[str], bins: int = 10, ranges: DataFrame | None = None
+    df: DataFrame,
+    columns: Sequence[str],
+    bins: int = 10,
+    ranges: DataFrame | None = None,
+    counts: DataFrame | None = None,
 ) -> DataFrame:
     """Equal-width histogram ``(feature, bin, lo, hi, count)``, empty bins included.
 
     ``ranges`` holds ``(feature, min, max)``, one row per feature; by default the
-    range found in the data.
+    range found in the data. With ``counts`` (feature, value, count) the rows
+    themselves are not read again.
     """
     if ranges is None:
         ranges = _per_feature(
@@ -204,11 +216,13 @@ def histogram(
             },
         )
     ranges = ranges.select("feature", "min", "max")
+    values, size = numbers_long(df, columns), F.count(F.lit(1))
+    if counts is not None:
+        values, size = counts, F.sum("count")
     counted = (
-        numbers_long(df, columns)
-        .join(F.broadcast(ranges), "feature")
+        values.join(F.broadcast(ranges), "feature")
         .groupBy("feature", bin_of(F.col("value"), F.col("min"), F.col("max"), bins).alias("bin"))
-        .agg(F.count(F.lit(1)).alias("count"))
+        .agg(size.alias("count"))
     )
     width = (F.col("max") - F.col("min")) / bins
     frame = (
@@ -268,27 +282,47 @@ def feature_stats(
     """Statistics record per feature: common counts, and a ``num`` or ``str`` struct."""
     columns = list(columns or df.columns)
     numeric, strings = split_kinds(df, columns)
-    out = stats_common(df, columns).withColumn(
+    # every scalar of every column from one scan, kept: the joins below use it twice
+    scalars = _per_feature(df, numeric, {**_common(df), **_numeric(df)}) if numeric else None
+    parts = [] if scalars is None else [materialize(scalars, "scalars")]
+    if strings:
+        parts.append(_per_feature(df, strings, _common(df)))
+    out = _with_presence(
+        reduce(DataFrame.unionByName, [p.select("feature", "n_rows", "n_present") for p in parts])
+    ).withColumn(
         "type", F.when(F.col("feature").isin(numeric), "numeric").otherwise("string")
     )
     if numeric:
-        counts = None if sketch else materialize(number_counts(df, numeric), "counts")
-        scalars = numeric_scalars(df, numeric)
+        scalars = parts[0].drop("n_rows", "n_present")
+        counts = None if sketch else ordered_counts(df, numeric)
         hist = (
-            histogram(df, numeric, bins, scalars.select("feature", "min", "max"))
+            histogram(df, numeric, bins, scalars, counts)
             .groupBy("feature")
-            .agg(F.array_sort(F.collect_list(F.struct("lo", "hi", F.col("count").cast("double").alias("count")))).alias("std_hist"))
+            .agg(
+                F.array_sort(
+                    F.collect_list(F.struct("lo", "hi", F.col("count").cast("double").alias("count")))
+                ).alias("std_hist")
+            )
         )
-        grid = quantiles(df, numeric, bins, counts, sketch).groupBy("feature").agg(
-            F.array_sort(F.collect_list(F.struct("q", "value"))).alias("g")
-        ).select("feature", F.transform("g", lambda s: s["value"]).alias("quantiles"))
-        median = quantiles(df, numeric, 2, counts, sketch).where("q = 1").select(
-            "feature", F.col("value").alias("median")
+        # 2 * bins parts hold both the bin limits and the median
+        grid = (
+            quantiles(df, numeric, 2 * bins, counts, sketch)
+            .groupBy("feature")
+            .agg(F.array_sort(F.collect_list(F.struct("q", "value"))).alias("g"))
+            .select(
+                "feature",
+                F.transform(F.filter("g", lambda s: s["q"] % 2 == 0), lambda s: s["value"]).alias(
+                    "quantiles"
+                ),
+                F.get("g", F.lit(bins))["value"].alias("median"),
+            )
         )
-        num = reduce(lambda a, b: a.join(b, "feature", "left"), [scalars, median, hist, grid])
+        num = reduce(lambda a, b: a.join(b, "feature", "left"), [scalars, hist, grid])
         num = num.select(
             "feature",
-            F.struct("min", "max", "mean", "std", "zeros", "median", "std_hist", "quantiles").alias("num"),
+            F.struct(
+                "min", "max", "mean", "std", "zeros", "median", "std_hist", "quantiles"
+            ).alias("num"),
         )
         out = out.join(num, "feature", "left")
     if strings:
