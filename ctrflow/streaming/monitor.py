@@ -71,7 +71,8 @@ def advance(labels, scores, accepts, state: tuple, cfg: MonitorConfig):
             keep = max(len(y) - cfg.n, 0)
             buf_y, buf_p, last, since = y[keep:], p[keep:], filled[-1], int(age[-1])
         done += end
-    return auc, size, alert, accepted, (list(buf_y), list(buf_p), float(last), int(since))
+    state = (np.asarray(buf_y).tolist(), np.asarray(buf_p).tolist(), float(last), int(since))
+    return auc, size, alert, accepted, state
 
 
 def mark_accepting(events: DataFrame, runs: DataFrame, pipeline: str) -> DataFrame:
