@@ -11,46 +11,61 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ctrflow.operators.statistics import histogram, numeric_scalars
-
-
-def joint_ranges(a: DataFrame, b: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Per feature the range over both sides."""
-    both = numeric_scalars(a, columns).unionByName(numeric_scalars(b, columns))
-    return both.groupBy("feature").agg(F.min("min").alias("min"), F.max("max").alias("max"))
+from ctrflow.operators.statistics import bin_rows, bins_frame, value_ranges
 
 
 def paired_histograms(
     a: DataFrame, b: DataFrame, columns: Sequence[str], bins: int = 10
 ) -> DataFrame:
-    """Histograms of both sides over their joint range: ``(feature, bin, n_ref, n_new)``."""
-    ranges = joint_ranges(a, b, columns)
-    left = histogram(a, columns, bins, ranges).select("feature", "bin", F.col("count").alias("n_ref"))
-    right = histogram(b, columns, bins, ranges).select("feature", "bin", F.col("count").alias("n_new"))
-    return left.join(right, ["feature", "bin"], "full").na.fill(0, ["n_ref", "n_new"])
+    """Histograms of both sides over their joint range: ``(feature, bin, n_ref, n_new)``.
+
+    One scan of both sides for the ranges, one for the counts. Two counters per feature and
+    bin leave each task.
+    """
+    both = a.select(*columns, F.lit(True).alias("__ref")).unionByName(
+        b.select(*columns, F.lit(False).alias("__ref"))
+    )
+    ranges = value_ranges(both, columns)
+    frame = bins_frame(a.sparkSession, ranges, bins).select("feature", "bin")
+    if not ranges:
+        return frame.withColumns({n: F.lit(0).cast("bigint") for n in ("n_ref", "n_new")})
+    counted = (
+        bin_rows(both, ranges, bins, ["__ref"])
+        .groupBy("feature", "bin")
+        .agg(F.count_if("__ref").alias("n_ref"), F.count_if(~F.col("__ref")).alias("n_new"))
+    )
+    return frame.join(counted, ["feature", "bin"], "left").na.fill(0, ["n_ref", "n_new"])
 
 
 def _divergence(paired: DataFrame) -> DataFrame:
     """``(feature, value)`` from per-cell masses ``n_ref`` and ``n_new``."""
-    totals = paired.groupBy("feature").agg(F.sum("n_ref").alias("t_ref"), F.sum("n_new").alias("t_new"))
-    p, q = F.col("n_ref") / F.col("t_ref"), F.col("n_new") / F.col("t_new")
+    of_feature = Window.partitionBy("feature")  # as many rows as it has cells
+    p = F.col("n_ref") / F.sum("n_ref").over(of_feature)
+    q = F.col("n_new") / F.sum("n_new").over(of_feature)
 
     def term(x: Column, y: Column) -> Column:
         return F.when(x > 0, x * F.log2(x / ((x + y) / 2))).otherwise(0.0)
 
+    held = (F.sum("n_ref").over(of_feature) > 0) & (F.sum("n_new").over(of_feature) > 0)
+    shares = paired.withColumn("__held", held).withColumns(
+        {"__p": F.when(F.col("__held"), p), "__q": F.when(F.col("__held"), q)}
+    )
     return (
-        # totals: one row per feature
-        paired.join(F.broadcast(totals), "feature")
-        .where("t_ref > 0 and t_new > 0")
+        shares.where("__held")
         .groupBy("feature")
-        .agg(((F.sum(term(p, q)) + F.sum(term(q, p))) / 2).alias("value"))
+        .agg(
+            (
+                (F.sum(term(F.col("__p"), F.col("__q"))) + F.sum(term(F.col("__q"), F.col("__p"))))
+                / 2
+            ).alias("value")
+        )
     )
 
 
 def js_divergence(
     a: DataFrame, b: DataFrame, columns: Sequence[str], bins: int = 10
 ) -> DataFrame:
-    """Divergence per numeric feature between two datasets. Null-free features only."""
+    """Divergence per numeric feature between two datasets; none where a side has no values."""
     return _divergence(paired_histograms(a, b, columns, bins))
 
 

@@ -22,23 +22,27 @@ from ctrflow.scratch import materialize
 SLICE = "__slice"
 POS = "__pos"
 _ROW = "__row"
+_PART = "__part"
 _POS_BITS = 33
 
 
 def slice_in_order(df: DataFrame, order: Sequence[str | Column], unique: bool = False) -> DataFrame:
     """Write ``df`` in the given order; add the slice number and the position in it.
 
-    Ties in ``order`` are broken by a hash of the whole row, which also lets a
-    hot order value spread over several slices. Pass ``unique=True`` when the
-    order is total already.
+    Ties in ``order`` are broken by a hash of the whole row, and exact copies by the input
+    partition they come from. So neither a hot order value nor a large group of
+    copies has to fit one slice, and a task that is run again puts its rows in the
+    same slices. Pass ``unique=True`` when the order is total already.
     """
     by = as_columns(order)
+    placed = df
     if not unique:
-        by = [*by, F.xxhash64(*df.columns)]
+        by = [*by, F.xxhash64(*df.columns), F.col(_PART)]
+        placed = df.withColumn(_PART, F.spark_partition_id())
     placed = (
-        df.repartitionByRange(*by)
+        placed.repartitionByRange(*by)
         .sortWithinPartitions(*by)
-        .withColumn(_ROW, F.monotonically_increasing_id())
+        .select(*df.columns, F.monotonically_increasing_id().alias(_ROW))
     )
     # the id holds the partition number above bit 33 and the row number below
     return (

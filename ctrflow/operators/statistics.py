@@ -15,14 +15,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ctrflow.operators.order import pick_ranks, slice_in_order
-from ctrflow.scratch import materialize
-
-_NUMERIC = (T.NumericType,)
+from ctrflow.scratch import local_table, materialize
 
 
 def column_kind(dtype: T.DataType) -> str:
     """``numeric`` or ``string``."""
-    return "numeric" if isinstance(dtype, _NUMERIC) else "string"
+    return "numeric" if isinstance(dtype, T.NumericType) else "string"
 
 
 def split_kinds(df: DataFrame, columns: Sequence[str] | None = None) -> tuple[list[str], list[str]]:
@@ -134,6 +132,7 @@ def quantiles(
     columns: Sequence[str],
     parts: int = 10,
     counts: DataFrame | None = None,
+    totals: dict[str, int] | None = None,
     sketch: bool = False,
 ) -> DataFrame:
     """``parts + 1`` quantiles per feature as ``(feature, q, value)``, q = 0..parts.
@@ -141,39 +140,56 @@ def quantiles(
     Exact (linear interpolation between neighbours) from the value counts, without
     gathering a feature's values anywhere. ``sketch=True`` takes Spark's
     approximate percentiles instead: one pass and no large shuffle. ``counts`` is the
-    table of ``ordered_counts``, if there is one already.
+    table of ``ordered_counts`` and ``totals`` its sum per feature, if known already.
     """
-    probs = [i / parts for i in range(parts + 1)]
+    spark = df.sparkSession
     if sketch:
+        probs = [i / parts for i in range(parts + 1)]
         row = df.agg(
-            *[F.percentile_approx(_present(df, c), probs).alias(f"q{i}") for i, c in enumerate(columns)]
+            *[
+                F.percentile_approx(_present(df, c).cast("double"), probs).alias(f"q{i}")
+                for i, c in enumerate(columns)
+            ]
+        )
+        per_feature = [
+            F.struct(F.lit(c).alias("feature"), F.col(f"q{i}").alias("v"))
+            for i, c in enumerate(columns)
+        ]
+        return row.select(F.explode(F.array(*per_feature)).alias("f")).select(
+            "f.feature", F.posexplode("f.v").alias("q", "value")
         )
-        return row.select(
-            F.explode(
-                F.array(*[F.struct(F.lit(c).alias("feature"), F.col(f"q{i}").cast("array<double>").alias("v"))
-                          for i, c in enumerate(columns)])
-            ).alias("f")
-        ).select("f.feature", F.posexplode("f.v").alias("q", "value"))
-    counts = ordered_counts(df, columns) if counts is None else counts
-    totals = counts.groupBy("feature").agg(F.sum("count").alias("n"))
-    grid = totals.select(
-        "feature", "n", F.explode(F.array(*[F.lit(i) for i in range(parts + 1)])).alias("q")
-    ).withColumn("at", F.col("q") * (F.col("n") - 1) / F.lit(parts))
-    grid = grid.select(
-        "feature", "q", "at",
-        F.floor("at").cast("bigint").alias("below"), F.ceil("at").cast("bigint").alias("above"),
+    if counts is None:
+        counts = ordered_counts(df, columns)
+    if totals is None:
+        # one row per feature
+        totals = dict(counts.groupBy("feature").agg(F.sum("count")).toLocalIterator())
+    wanted = [
+        (feature, q, q * (n - 1) // parts, q * (n - 1) % parts / parts)
+        for feature, n in totals.items()
+        if n
+        for q in range(parts + 1)
+    ]
+    grid = local_table(spark, "feature string, q int, below bigint, part double", wanted)
+    ranks = local_table(
+        spark,
+        "feature string, rank bigint",
+        sorted({(f, b) for f, _, b, _ in wanted} | {(f, b + 1) for f, _, b, p in wanted if p}),
     )
-    ranks = grid.select("feature", F.explode(F.array("below", "above")).alias("rank")).distinct()
     found = pick_ranks(counts, "value", "count", ["feature"], ranks)
-    # a few rows per feature from here on
-    low = found.select("feature", F.col("rank").alias("below"), F.col("value").alias("lo"))
-    high = found.select("feature", F.col("rank").alias("above"), F.col("value").alias("hi"))
+    near = F.broadcast(grid.withColumnRenamed("feature", "f"))
+    offset = F.col("rank") - F.col("below")
     return (
-        grid.join(low, ["feature", "below"])
-        .join(high, ["feature", "above"])
+        found.join(near, (F.col("f") == F.col("feature")) & offset.between(0, 1))
+        .groupBy("feature", "q", "part")
+        .agg(
+            F.max(F.when(offset == 0, F.col("value"))).alias("lo"),
+            F.max(F.when(offset == 1, F.col("value"))).alias("hi"),
+        )
         .select(
             "feature", "q",
-            (F.col("lo") + (F.col("hi") - F.col("lo")) * (F.col("at") - F.col("below"))).alias("value"),
+            F.when(F.col("part") == 0, F.col("lo"))
+            .otherwise(F.col("lo") + (F.col("hi") - F.col("lo")) * F.col("part"))
+            .alias("value"),
         )
     )
 
@@ -182,7 +198,7 @@ def stats_numeric(df: DataFrame, columns: Sequence[str], sketch: bool = False) -
     """Scalars and median per numeric feature."""
     median = quantiles(df, columns, 2, sketch=sketch).where("q = 1")
     return numeric_scalars(df, columns).join(
-        F.broadcast(median.select("feature", F.col("value").alias("median"))), "feature", "left"
+        median.select("feature", F.col("value").alias("median")), "feature", "left"
     )
 
 
@@ -193,49 +209,69 @@ def bin_of(value: Column, lo: Column, hi: Column, bins: int) -> Column:
     ).cast("int")
 
 
+Ranges = dict[str, tuple[float, float]]
+
+
+def value_ranges(df: DataFrame, columns: Sequence[str]) -> Ranges:
+    """Least and greatest value per feature, brought to the driver: two numbers a column."""
+    found = _per_feature(df, columns, {k: _numeric(df)[k] for k in ("min", "max")})
+    return {r.feature: (r.min, r.max) for r in found.collect() if r.min is not None}
+
+
+def bins_frame(spark, ranges: Ranges, bins: int) -> DataFrame:
+    """``(feature, bin, lo, hi)`` of every bin; a single one for a constant feature."""
+    rows = []
+    for feature, (low, high) in ranges.items():
+        width = (high - low) / bins
+        count = bins if high > low else 1
+        for i in range(count):
+            top = low + width * (i + 1) if i < count - 1 else high
+            rows.append((feature, i, low + width * i, top))
+    return local_table(spark, "feature string, bin int, lo double, hi double", rows)
+
+
+def bin_rows(df: DataFrame, ranges: Ranges, bins: int, keep: Sequence[str] = ()) -> DataFrame:
+    """``(keep..., feature, bin)`` per non-missing number, ranges folded in as literals."""
+    cells = []
+    for feature, (low, high) in ranges.items():
+        value = _present(df, feature).cast("double")
+        cells += [
+            F.lit(feature),
+            F.when(value.isNotNull(), bin_of(value, F.lit(low), F.lit(high), bins)),
+        ]
+    long = df.select(*keep, F.stack(F.lit(len(ranges)), *cells).alias("feature", "bin"))
+    return long.where("bin is not null")
+
+
 def histogram(
     df: DataFrame,
     columns: Sequence[str],
     bins: int = 10,
-    ranges: DataFrame | None = None,
+    ranges: Ranges | None = None,
     counts: DataFrame | None = None,
 ) -> DataFrame:
     """Equal-width histogram ``(feature, bin, lo, hi, count)``, empty bins included.
 
-    ``ranges`` holds ``(feature, min, max)``, one row per feature; by default the
-    range found in the data. With ``counts`` (feature, value, count) the rows
-    themselves are not read again.
+    ``ranges`` defaults to the ranges found in the data. With ``counts`` (feature, value,
+    count) the rows themselves are not read again.
     """
-    if ranges is None:
-        ranges = _per_feature(
-            df,
-            columns,
-            {
-                "min": (lambda c: F.min(_present(df, c)), "double"),
-                "max": (lambda c: F.max(_present(df, c)), "double"),
-            },
+    ranges = value_ranges(df, columns) if ranges is None else ranges
+    frame = bins_frame(df.sparkSession, ranges, bins)
+    if not ranges:
+        return frame.withColumn("count", F.lit(0).cast("bigint"))
+    if counts is None:
+        counted = bin_rows(df, ranges, bins).groupBy("feature", "bin").agg(
+            F.count(F.lit(1)).alias("count")
         )
-    ranges = ranges.select("feature", "min", "max")
-    values, size = numbers_long(df, columns), F.count(F.lit(1))
-    if counts is not None:
-        values, size = counts, F.sum("count")
-    counted = (
-        values.join(F.broadcast(ranges), "feature")
-        .groupBy("feature", bin_of(F.col("value"), F.col("min"), F.col("max"), bins).alias("bin"))
-        .agg(size.alias("count"))
-    )
-    width = (F.col("max") - F.col("min")) / bins
-    frame = (
-        ranges.where("min is not null")
-        .withColumn("bin", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))))
-        .where("max > min or bin = 0")
-        .select(
-            "feature", "bin",
-            (F.col("min") + width * F.col("bin")).alias("lo"),
-            F.when((F.col("max") > F.col("min")) & (F.col("bin") < bins - 1),
-                   F.col("min") + width * (F.col("bin") + 1)).otherwise(F.col("max")).alias("hi"),
+    else:
+        limits = [(f, low, high) for f, (low, high) in ranges.items()]
+        limits = local_table(df.sparkSession, "feature string, mn double, mx double", limits)
+        at = bin_of(F.col("value"), F.col("mn"), F.col("mx"), bins)
+        counted = (
+            counts.join(F.broadcast(limits), "feature")
+            .groupBy("feature", at.alias("bin"))
+            .agg(F.sum("count").alias("count"))
         )
-    )
     return frame.join(counted, ["feature", "bin"], "left").select(
         "feature", "bin", "lo", "hi", F.coalesce("count", F.lit(0)).cast("bigint").alias("count")
     )
@@ -257,10 +293,15 @@ def top_values(
 ) -> DataFrame:
     """The ``k`` most frequent values per feature, ties by value.
 
-    The rank filter cuts each task's rows to ``k`` per feature before the shuffle.
+    The rank filter cuts each task's rows to ``k`` per feature before the shuffle. Where
+    that leaves many, a first round in hashed parts of a feature cuts them again.
     """
     counts = string_counts(df, columns) if counts is None else counts
-    by = Window.partitionBy("feature").orderBy(F.desc("count"), F.asc("value"))
+    order = [F.desc("count"), F.asc("value")]
+    if k > 100:
+        part = Window.partitionBy("feature", F.pmod(F.hash("value"), F.lit(64))).orderBy(*order)
+        counts = counts.withColumn("rank", F.row_number().over(part)).where(F.col("rank") <= k)
+    by = Window.partitionBy("feature").orderBy(*order)
     return counts.withColumn("rank", F.row_number().over(by)).where(F.col("rank") <= k)
 
 
@@ -282,21 +323,28 @@ def feature_stats(
     """Statistics record per feature: common counts, and a ``num`` or ``str`` struct."""
     columns = list(columns or df.columns)
     numeric, strings = split_kinds(df, columns)
-    # every scalar of every column from one scan, kept: the joins below use it twice
-    scalars = _per_feature(df, numeric, {**_common(df), **_numeric(df)}) if numeric else None
-    parts = [] if scalars is None else [materialize(scalars, "scalars")]
+    spark = df.sparkSession
+    common, number = _common(df), _numeric(df)
+    # every scalar of every numeric column from one scan: one row per feature
+    found = _per_feature(df, numeric, {**common, **number}).collect() if numeric else []
+    head = "feature string, n_rows bigint, n_present bigint"
+    parts = [local_table(spark, head, [(r.feature, r.n_rows, r.n_present) for r in found])]
     if strings:
-        parts.append(_per_feature(df, strings, _common(df)))
-    out = _with_presence(
-        reduce(DataFrame.unionByName, [p.select("feature", "n_rows", "n_present") for p in parts])
-    ).withColumn(
+        parts.append(_per_feature(df, strings, common))
+    out = _with_presence(reduce(DataFrame.unionByName, parts)).withColumn(
         "type", F.when(F.col("feature").isin(numeric), "numeric").otherwise("string")
     )
     if numeric:
-        scalars = parts[0].drop("n_rows", "n_present")
+        scalars = local_table(
+            spark,
+            "feature string, min double, max double, mean double, std double, zeros bigint",
+            [(r.feature, r.min, r.max, r.mean, r.std, r.zeros) for r in found],
+        )
+        ranges = {r.feature: (r.min, r.max) for r in found if r.min is not None}
+        totals = {r.feature: r.n_present for r in found}
         counts = None if sketch else ordered_counts(df, numeric)
         hist = (
-            histogram(df, numeric, bins, scalars, counts)
+            histogram(df, numeric, bins, ranges, counts)
             .groupBy("feature")
             .agg(
                 F.array_sort(
@@ -306,7 +354,7 @@ def feature_stats(
         )
         # 2 * bins parts hold both the bin limits and the median
         grid = (
-            quantiles(df, numeric, 2 * bins, counts, sketch)
+            quantiles(df, numeric, 2 * bins, counts, totals, sketch)
             .groupBy("feature")
             .agg(F.array_sort(F.collect_list(F.struct("q", "value"))).alias("g"))
             .select(

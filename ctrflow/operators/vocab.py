@@ -9,8 +9,9 @@ Sizes known from the fit decide how a column is looked up:
 * small: broadcast, behind a limit on bytes per column and on all columns together;
 * large: the few frequent values are broadcast - a value holding at least one row in
   ``HOT_SHARE`` can occur ``HOT_SHARE`` times at most, which bounds that table - and the
-  others go through a shuffle join in which no key is frequent. Rows that need no
-  lookup any more are spread by a row id instead of meeting on one null key.
+  others go through a shuffle join in which no known value is frequent. Rows that need no
+  lookup any more are spread by a hash instead of meeting on one null key. A value that
+  is frequent in new rows only is left to Spark's skew join, which may split this side.
 """
 
 from __future__ import annotations
@@ -132,13 +133,21 @@ def broadcastable(sizes: dict[str, VocabSize], limits: LookupLimits) -> set[str]
     return chosen
 
 
+def with_spread(df: DataFrame) -> DataFrame:
+    """Add a number that spreads rows evenly: a hash of the row and, so that copies spread
+    too, of the input partition. It depends on nothing that a second run of a task changes.
+    """
+    part = [] if df.isStreaming else [F.spark_partition_id()]
+    return df.withColumn(SPREAD, F.xxhash64(*df.columns, *part))
+
+
 def lookup(
     df: DataFrame, col: Column, name: str, vocab: DataFrame, size: VocabSize, small: bool
 ) -> tuple[DataFrame, Column]:
     """Join the codes of one column; returns the wider frame and the code column."""
     part = vocab.where(F.col("column") == name)
     key = "value_int" if size.integral else "value"
-    value = col.cast("bigint" if size.integral else "string")
+    value = col.try_cast("bigint" if size.integral else "string")
     code = f"__code_{name}"
     if small:
         table = part.select(F.col(key).alias("__k"), F.col("code").alias(code))
@@ -149,9 +158,8 @@ def lookup(
     hot = part.where(is_hot).select(F.col(key).alias("__k"), F.col("code").alias(code + "_hot"))
     df = df.join(F.broadcast(hot), value == F.col("__k"), "left").drop("__k")
     open_ = F.col(code + "_hot").isNull() & value.isNotNull()
-    row_id = F.col(SPREAD) if SPREAD in df.columns else F.xxhash64(*df.columns)
     df = df.withColumns(
-        {"__v": F.when(open_, value), "__s": F.when(open_, F.lit(-1)).otherwise(row_id)}
+        {"__v": F.when(open_, value), "__s": F.when(open_, F.lit(-1)).otherwise(F.col(SPREAD))}
     )
     cold = part.where(~is_hot).select(
         F.col(key).alias("__k"), F.lit(-1).cast("bigint").alias("__ks"), F.col("code").alias(code)

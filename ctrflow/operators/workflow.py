@@ -92,9 +92,7 @@ class FittedWorkflow:
     ) -> DataFrame:
         """Transformed columns after the ``keep`` columns, cast by ``types`` where given.
 
-        Moments enter as literals and codes through lookup joins; no row is lost. When a
-        vocabulary is too large to broadcast, read ``df`` from files: its rows then get a
-        repeatable id to spread by.
+        Moments enter as literals and codes through lookup joins; no row is lost.
         """
         out = self._apply(df, [len(b.steps) for b in self.branches], keep=list(keep))
         if types:
@@ -106,8 +104,8 @@ class FittedWorkflow:
     def _apply(self, df, upto, only=None, keep=()):
         small = vocabulary.broadcastable(self.sizes, self.limits)
         shuffled = set(self.sizes) - small
-        if shuffled and not df.isStreaming:
-            df = df.withColumn(vocabulary.SPREAD, F.monotonically_increasing_id())
+        if shuffled:
+            df = vocabulary.with_spread(df)
         outputs = []
         for index, (branch, end) in enumerate(zip(self.branches, upto)):
             if only is not None and not only[index]:

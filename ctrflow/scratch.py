@@ -14,7 +14,9 @@ from __future__ import annotations
 import tempfile
 import uuid
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
 _LOCAL: dict[str, str] = {}
 
@@ -44,3 +46,14 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     path = new_path(spark, label)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def local_table(spark: SparkSession, schema: str, rows: list[tuple]) -> DataFrame:
+    """A few driver-side rows (one per column or feature, say) as a frame."""
+    fields = T.StructType.fromDDL(schema).fields
+    kinds = {T.StringType(): pa.string(), T.LongType(): pa.int64(), T.DoubleType(): pa.float64(),
+             T.IntegerType(): pa.int32()}
+    arrays = {
+        f.name: pa.array([r[i] for r in rows], kinds[f.dataType]) for i, f in enumerate(fields)
+    }
+    return spark.createDataFrame(pa.table(arrays))

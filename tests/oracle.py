@@ -1,6 +1,6 @@
 """Compare queries with their SQL twins in DuckDB.
 
-    python tests/oracle.py [--sf DIR] [name ...]
+    python tests/oracle.py [--sf DIR] [--slices] [name ...]
 """
 
 from __future__ import annotations
@@ -77,10 +77,13 @@ def main() -> int:
 
     parser = argparse.ArgumentParser()
     parser.add_argument("--sf", default="/root/testdata/sf0.01")
+    parser.add_argument("--slices", action="store_true", help="keep shuffle partitions apart")
     parser.add_argument("names", nargs="*")
     args = parser.parse_args()
     spark = local_session(8)
     spark.sparkContext.setLogLevel("ERROR")
+    if args.slices:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
     con, sqls = connect(args.sf), oracle_sql()
     failed = 0
     for name, query in queries().items():
