@@ -23,7 +23,9 @@ def shuffle_within_partition(df: DataFrame, key: Sequence[str], seed: int = 0) -
 
 def union_frames(*frames: DataFrame) -> DataFrame:
     """Append frames by column name; a column that one lacks is null there."""
-    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
+    return reduce(
+        lambda a, b: a.unionByName(b, allowMissingColumns=True), [f.select("*") for f in frames]
+    )
 
 
 def sample_one_file(df: DataFrame, seed: int = 0) -> DataFrame:
