@@ -235,11 +235,9 @@ def bin_rows(df: DataFrame, ranges: Ranges, bins: int, keep: Sequence[str] = ())
     cells = []
     for feature, (low, high) in ranges.items():
         value = _present(df, feature).cast("double")
-        cells += [
-            F.lit(feature),
-            F.when(value.isNotNull(), bin_of(value, F.lit(low), F.lit(high), bins)),
-        ]
-    long = df.select(*keep, F.stack(F.lit(len(ranges)), *cells).alias("feature", "bin"))
+        cell = F.when(value.isNotNull(), bin_of(value, F.lit(low), F.lit(high), bins))
+        cells.append(cell.alias(feature))
+    long = df.select(*keep, *cells).unpivot(list(keep), list(ranges), "feature", "bin")
     return long.where("bin is not null")
 
 

@@ -17,6 +17,7 @@ Sizes known from the fit decide how a column is looked up:
 from __future__ import annotations
 
 from dataclasses import asdict, dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -58,26 +59,31 @@ class LookupLimits:
 
 
 def value_counts(df: DataFrame, columns: list[str]) -> DataFrame:
-    """``(column, value_int, value, freq)`` of non-null values; one pass, one shuffle.
+    """``(column, value_int, value, freq)`` of non-null values.
 
-    Rows are unpivoted and pre-aggregated in the same stage, so a hot value leaves
+    Columns of one kind are unpivoted and pre-aggregated in one stage, so a hot value leaves
     each task as one row.
     """
-    types = {f.name: f.dataType for f in df.schema}
-    cells: list[Column] = []
-    for name in columns:
-        integral = isinstance(types[name], _INTEGRAL)
-        cells += [
-            F.lit(name),
-            F.col(name).cast("bigint") if integral else F.lit(None).cast("bigint"),
-            F.lit(None).cast("string") if integral else F.col(name).cast("string"),
-        ]
-    long = df.select(F.stack(F.lit(len(columns)), *cells).alias("column", "value_int", "value"))
-    return (
-        long.where("value_int is not null or value is not null")
-        .groupBy("column", "value_int", "value")
-        .agg(F.count(F.lit(1)).alias("freq"))
-    )
+    kinds = {f.name: isinstance(f.dataType, _INTEGRAL) for f in df.schema}
+    tables = []
+    for integral, key, other, kind in (
+        (True, "value_int", "value", "bigint"), (False, "value", "value_int", "string"),
+    ):
+        names = [c for c in columns if kinds[c] is integral]
+        if not names:
+            continue
+        counted = (
+            df.select(*[F.col(c).cast(kind).alias(c) for c in names])
+            .unpivot([], names, "column", key)
+            .where(F.col(key).isNotNull())
+            .groupBy("column", key)
+            .agg(F.count(F.lit(1)).alias("freq"))
+        )
+        empty = F.lit(None).cast("string" if integral else "bigint").alias(other)
+        tables.append(
+            counted.withColumn(other, empty).select("column", "value_int", "value", "freq")
+        )
+    return reduce(DataFrame.unionByName, tables)
 
 
 def build(df: DataFrame, columns: list[str], order: str) -> tuple[DataFrame, dict[str, VocabSize]]:

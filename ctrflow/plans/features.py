@@ -246,7 +246,7 @@ def slice_batches(spark, sf):
 # --- 2.3 column-wise transforms --------------------------------------------------------
 
 
-def _columnwise(group, keep_raw=()):
+def _columnwise(group):
     def run(spark, sf):
         fitted = FittedWorkflow(group.branches)
         return fitted.transform(clicks(spark, sf), ROW_KEY)
@@ -437,12 +437,19 @@ def workflow_transform_new(spark, sf):
     return _typed(FittedWorkflow.load(spark, path).transform(new, ROW_KEY))
 
 
-query("load_workflow", _sql_transformed(VALID))(
-    lambda spark, sf: _reload(spark, sf)
+@query(
+    "save_workflow",
+    with_sql(SQL_CLICKS, SQL_VOCAB, body='select col as "column", val as "value", code from vocab'),
 )
+def save_workflow(spark, sf):
+    """The vocabularies as saved."""
+    path = new_path(spark, "workflow")
+    fit(spark, sf).save(spark, path)
+    return spark.read.parquet(f"{path}/vocab").select("column", "value", "code")
 
 
-def _reload(spark, sf):
+@query("load_workflow", _sql_transformed(VALID))
+def load_workflow(spark, sf):
     path = new_path(spark, "workflow")
     train, valid = _days(spark, sf)
     workflow().fit(train).save(spark, path)

@@ -104,11 +104,21 @@ def list_files_limit(spark, sf):
     return files.select(F.element_at(F.split("path", "/"), -2).alias("folder"), "length")
 
 
-@query("sink_manifest")
+@query(
+    "sink_manifest",
+    with_sql(
+        SQL_CLICKS,
+        body="""select 'day=' || cast(day as varchar) as folder, count(*) as rows
+        from clicks group by day""",
+    ),
+)
 def sink_manifest(spark, sf):
+    """Rows per written file, added up per day folder."""
     path = new_path(spark, "days")
     clicks(spark, sf).write.partitionBy("day").parquet(path)
-    return sinks.manifest(spark.read.parquet(path))
+    files = sinks.manifest(spark.read.parquet(path))
+    folder = F.element_at(F.split("file", "/"), -2)
+    return files.groupBy(folder.alias("folder")).agg(F.sum("rows").alias("rows"))
 
 
 @query("sample_one_file")
@@ -142,6 +152,24 @@ def drain_directory(spark, sf):
     return spark.read.parquet(dst).select(*ORDER_COLS)
 
 
+@query(
+    "sink_stats",
+    with_sql(
+        SQL_CLICKS,
+        "rng as (select min(i2) as mn, max(i2) as mx from clicks)",
+        """b as (select least(9, cast(floor((i2 - mn) / (mx - mn) * 10) as int)) as bin, count(*) as n
+             from clicks cross join rng where i2 is not null group by 1)""",
+        body="select 'i2' as feature, cast(bin as int) as bin, cast(n as double) as count from b",
+    ),
+)
+def sink_stats(spark, sf):
+    """Histogram inside a saved record."""
+    path = new_path(spark, "stats")
+    save_stats(feature_stats(clicks(spark, sf), ["i2"]), path)
+    hist = load_stats(spark, path).select("feature", F.posexplode("num.std_hist").alias("bin", "h"))
+    return hist.select("feature", "bin", F.col("h.count").alias("count")).where("count > 0")
+
+
 _STATS_COLS = ["i1", "i5", "c3"]
 
 

@@ -151,6 +151,18 @@ def stream_drain(spark, sf):
     return spark.read.parquet(dst)
 
 
+@query("stream_backpressure", "select event_id from events")
+def stream_backpressure(spark, sf):
+    """All events, taken in one file per batch at most."""
+    messages = table(spark, sf, "events").select(
+        "event_id", F.col("event_type").alias("model_key"), F.col("ts").cast("timestamp").alias("ts"),
+        F.lit('{"trueval":1}').alias("payload"),
+    )
+    path = new_path(spark, "messages")
+    messages.write.json(path)
+    return run(ev.read_events(spark, path, max_files=1).select("event_id"), spark)
+
+
 @query("stream_transform", _sql_transformed("day >= 2 and day < 4"))
 def stream_transform(spark, sf):
     """Arriving rows through the fitted workflow."""
