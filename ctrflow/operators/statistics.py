@@ -18,6 +18,14 @@ from ctrflow.operators.order import pick_ranks, slice_in_order
 from ctrflow.scratch import local_table, materialize
 
 
+#: Types of the nested parts of a statistics record.
+NUM = (
+    "struct<min:double,max:double,mean:double,std:double,zeros:bigint,median:double,"
+    "std_hist:array<struct<lo:double,hi:double,count:double>>,quantiles:array<double>>"
+)
+STR = "struct<n_unique:bigint,avg_len:double,top:array<struct<value:string,count:bigint>>>"
+
+
 def column_kind(dtype: T.DataType) -> str:
     """``numeric`` or ``string``."""
     return "numeric" if isinstance(dtype, T.NumericType) else "string"
@@ -37,33 +45,34 @@ def _present(df: DataFrame, name: str) -> Column:
     return F.col(name)
 
 
-def _per_feature(df: DataFrame, columns: Sequence[str], measures: dict[str, tuple]) -> DataFrame:
+Measures = dict[str, tuple]
+
+
+def _per_feature(df: DataFrame, columns: Sequence[str], measures: Measures) -> DataFrame:
     """One aggregation over all columns, returned as one row per feature.
 
     ``measures`` maps an output name to ``(column name -> aggregate, type)``.
     """
-    names = [(i, c) for i, c in enumerate(columns)]
     aggs = [
         make(c).cast(t).alias(f"{m}__{i}")
-        for i, c in names
+        for i, c in enumerate(columns)
         for m, (make, t) in measures.items()
     ]
-    row = df.agg(*aggs)
     structs = [
         F.struct(F.lit(c).alias("feature"), *[F.col(f"{m}__{i}").alias(m) for m in measures])
-        for i, c in names
+        for i, c in enumerate(columns)
     ]
-    return row.select(F.explode(F.array(*structs)).alias("f")).select("f.*")
+    return df.agg(*aggs).select(F.explode(F.array(*structs)).alias("f")).select("f.*")
 
 
-def _common(df: DataFrame) -> dict[str, tuple]:
+def _common(df: DataFrame) -> Measures:
     return {
         "n_rows": (lambda c: F.count(F.lit(1)), "bigint"),
         "n_present": (lambda c: F.count(_present(df, c)), "bigint"),
     }
 
 
-def _numeric(df: DataFrame) -> dict[str, tuple]:
+def _numeric(df: DataFrame) -> Measures:
     def num(c):
         return _present(df, c).cast("double")
 
@@ -322,16 +331,17 @@ def feature_stats(
     columns = list(columns or df.columns)
     numeric, strings = split_kinds(df, columns)
     spark = df.sparkSession
-    common, number = _common(df), _numeric(df)
-    # every scalar of every numeric column from one scan: one row per feature
-    found = _per_feature(df, numeric, {**common, **number}).collect() if numeric else []
+    # every scalar of every column from one scan: one row per feature
+    number = {
+        m: (lambda c, make=make, t=t: make(c) if c in numeric else F.lit(None).cast(t), t)
+        for m, (make, t) in _numeric(df).items()
+    }
+    found = _per_feature(df, columns, {**_common(df), **number}).collect()
     head = "feature string, n_rows bigint, n_present bigint"
-    parts = [local_table(spark, head, [(r.feature, r.n_rows, r.n_present) for r in found])]
-    if strings:
-        parts.append(_per_feature(df, strings, common))
-    out = _with_presence(reduce(DataFrame.unionByName, parts)).withColumn(
-        "type", F.when(F.col("feature").isin(numeric), "numeric").otherwise("string")
-    )
+    out = _with_presence(
+        local_table(spark, head, [(r.feature, r.n_rows, r.n_present) for r in found])
+    ).withColumn("type", F.when(F.col("feature").isin(numeric), "numeric").otherwise("string"))
+    found = [r for r in found if r.feature in numeric]
     if numeric:
         scalars = local_table(
             spark,
@@ -368,7 +378,9 @@ def feature_stats(
             "feature",
             F.struct(
                 "min", "max", "mean", "std", "zeros", "median", "std_hist", "quantiles"
-            ).alias("num"),
+            )
+            .cast(NUM)
+            .alias("num"),
         )
         out = out.join(num, "feature", "left")
     if strings:
@@ -383,7 +395,7 @@ def feature_stats(
             )
         )
         strs = string_stats(df, strings, counts).join(tops, "feature", "left").select(
-            "feature", F.struct("n_unique", "avg_len", "top").alias("str")
+            "feature", F.struct("n_unique", "avg_len", "top").cast(STR).alias("str")
         )
         out = out.join(strs, "feature", "left")
     return out

@@ -24,6 +24,7 @@ from ctrflow.plans.fixtures import (
     SQL_CLICKS,
     SQL_SCORED,
     clicks,
+    day_log,
     scored,
     with_sql,
     workflow,
@@ -87,7 +88,7 @@ def _sql_transformed(where: str, code: str = "code") -> str:
 
 
 def _days(spark, sf):
-    return day_split(clicks(spark, sf), N_TRAIN, N_VAL)
+    return day_split(day_log(spark, sf), N_TRAIN, N_VAL)
 
 
 def fit(spark, sf, order: str = "value") -> FittedWorkflow:

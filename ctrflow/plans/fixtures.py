@@ -12,6 +12,7 @@ from ctrflow.operators.order import dense_seq, running_sums
 from ctrflow.operators.transforms import Categorify, Clip, FillMissing, Normalize
 from ctrflow.operators.workflow import Workflow
 from ctrflow.schema import CtrSchema
+from ctrflow.scratch import materialize, new_path
 
 ROW_KEY = ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice")
 CLICKS = CtrSchema(
@@ -58,6 +59,16 @@ def clicks(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def day_log(spark: SparkSession, sf: str, days: int | None = N_TRAIN + N_VAL) -> DataFrame:
+    """The first days of the click log (or all), landed as files in one folder per day."""
+    rows = clicks(spark, sf)
+    if days is not None:
+        rows = rows.where(F.col("day") < days)
+    path = new_path(spark, "days")
+    rows.write.partitionBy("day").parquet(path)
+    return spark.read.schema(rows.schema).parquet(path)
+
+
 SQL_CLICKS = """
 clicks as (
   select l_orderkey, l_linenumber, l_partkey, l_suppkey, l_extendedprice,
@@ -96,7 +107,10 @@ scored as (
 
 
 def series(spark: SparkSession, sf: str) -> DataFrame:
-    """Counters per event type that restart every seventh day of the month, in long form."""
+    """Counters per event type that restart every seventh day of the month, in long form.
+
+    Written down as scraped samples would be: the counter operators read them twice.
+    """
     events = table(spark, sf, "events").select(
         "ts",
         "event_id",
@@ -108,7 +122,8 @@ def series(spark: SparkSession, sf: str) -> DataFrame:
         events, ["ts", "event_id"], {"success": F.lit(1), "queue_us": F.col("us")},
         key=["instance", "epoch"], unique=True,
     )
-    return wide.unpivot(["instance", "ts"], ["success", "queue_us"], "metric", "value")
+    long = wide.unpivot(["instance", "ts"], ["success", "queue_us"], "metric", "value")
+    return materialize(long, "series")
 
 
 SQL_SERIES = """
@@ -137,9 +152,10 @@ def ratio_series(spark: SparkSession, sf: str) -> DataFrame:
         (F.floor(F.col("value") / 50) * 50 + 50).cast("double").alias("le"),
         F.floor((F.dayofmonth("ts") - 1) / 7.0).cast("int").alias("epoch"),
     )
-    return running_sums(
+    counted = running_sums(
         events, ["ts", "event_id"], {"value": F.lit(1)}, key=["instance", "le", "epoch"], unique=True
-    ).select("instance", "le", "ts", "value")
+    )
+    return materialize(counted.select("instance", "le", "ts", "value"), "series")
 
 
 SQL_RATIO_SERIES = """

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ctrflow.operators import drift, statistics as st, validation as val
-from ctrflow.plans.fixtures import CLICKS, SQL_CLICKS, clicks, with_sql
+from ctrflow.plans.fixtures import CLICKS, SQL_CLICKS, clicks, day_log, with_sql
 from ctrflow.plans.registry import query, rounded, sql_round
 from ctrflow.scratch import materialize, new_path
 
@@ -14,6 +14,11 @@ COLS = CONTS + CATS
 REF, NEW = "day < 12", "day >= 12"
 
 
+def _log(spark, sf):
+    """The whole click log as day files, for queries that read it several times."""
+    return day_log(spark, sf, None)
+
+
 def _each(template: str, names) -> str:
     return " union all ".join(template.format(c=c) for c in names)
 
@@ -158,7 +163,7 @@ def stats_rank_histogram(spark, sf):
     ),
 )
 def feature_stats(spark, sf):
-    out = st.feature_stats(clicks(spark, sf), COLS).select(
+    out = st.feature_stats(_log(spark, sf), COLS).select(
         "feature", "type", "n_present", F.col("num.mean").alias("mean"),
         F.col("num.quantiles")[3].alias("q3"), F.col("str.n_unique").alias("n_unique"),
         F.col("str.top")[0]["value"].alias("most"),
@@ -175,8 +180,8 @@ def _typed_stats(df, cols):
     return st.stats_common(df, cols).withColumn("type", kind)
 
 
-def _ref_schema(spark, sf):
-    ref = clicks(spark, sf).where(REF)
+def _ref_schema(rows):
+    ref = rows.where(REF)
     counts = materialize(st.string_counts(ref, CATS), "counts")
     schema = val.infer_schema(_typed_stats(ref, COLS), counts)
     return val.with_threshold(schema, "i1", 0.06)
@@ -211,7 +216,7 @@ SQL_REF_DOMAIN = (
     ),
 )
 def infer_schema(spark, sf):
-    schema = _ref_schema(spark, sf).withColumn("domain", F.array_join("domain", "|"))
+    schema = _ref_schema(clicks(spark, sf)).withColumn("domain", F.array_join("domain", "|"))
     return rounded(schema.select("feature", "type", "min_presence", "domain"), "min_presence")
 
 
@@ -224,7 +229,7 @@ def infer_schema(spark, sf):
     ),
 )
 def set_drift_threshold(spark, sf):
-    return _ref_schema(spark, sf).select("feature", "jsd_threshold")
+    return _ref_schema(clicks(spark, sf)).select("feature", "jsd_threshold")
 
 
 @query(
@@ -261,10 +266,9 @@ def set_drift_threshold(spark, sf):
     ),
 )
 def validate_schema(spark, sf):
-    order = F.col("l_orderkey")
+    order, rows = F.col("l_orderkey"), _log(spark, sf)
     new = (
-        clicks(spark, sf)
-        .where(NEW)
+        rows.where(NEW)
         .drop("i6")
         .withColumn("i7", F.col("i5"))
         .withColumn("c1", F.when(F.col("c1") == "O", 1.0).otherwise(0.0))
@@ -273,7 +277,7 @@ def validate_schema(spark, sf):
     )
     cols = ["i1", "i2", "i3", "i4", "i5", "i7", *CATS]
     counts = st.string_counts(new, CATS[1:])
-    return val.validate(_typed_stats(new, cols), _ref_schema(spark, sf), counts)
+    return val.validate(_typed_stats(new, cols), _ref_schema(rows), counts)
 
 
 @query(
@@ -317,8 +321,8 @@ jsd as (select feature, (
   from shares group by feature)"""
 
 
-def _sides(spark, sf):
-    rows = clicks(spark, sf)
+def _sides(spark, sf, rows=None):
+    rows = clicks(spark, sf) if rows is None else rows
     return rows.where(REF), rows.where(NEW)
 
 
@@ -375,7 +379,7 @@ def _saved(spark, df):
     with_sql(SQL_CLICKS, SQL_SAVED, SQL_JSD, body=f"select feature, {sql_round('value')} as value from jsd"),
 )
 def drift_js_saved(spark, sf):
-    ref, new = _sides(spark, sf)
+    ref, new = _sides(spark, sf, _log(spark, sf))
     out = drift.js_from_stats(_saved(spark, ref), _saved(spark, new), CONTS)
     return rounded(out, "value")
 
@@ -391,6 +395,7 @@ def drift_js_saved(spark, sf):
     ),
 )
 def drift_decision(spark, sf):
-    ref, new = _sides(spark, sf)
-    schema = val.with_threshold(_ref_schema(spark, sf), "i2", 0.00005)
+    rows = _log(spark, sf)
+    ref, new = _sides(spark, sf, rows)
+    schema = val.with_threshold(_ref_schema(rows), "i2", 0.00005)
     return rounded(drift.drift_report(drift.js_divergence(ref, new, CONTS), schema), "value", digits=9)

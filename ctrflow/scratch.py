@@ -57,3 +57,11 @@ def local_table(spark: SparkSession, schema: str, rows: list[tuple]) -> DataFram
         f.name: pa.array([r[i] for r in rows], kinds[f.dataType]) for i, f in enumerate(fields)
     }
     return spark.createDataFrame(pa.table(arrays))
+
+
+def release(spark: SparkSession) -> None:
+    """Delete what this application has written to the shared folder."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(
+        f"{shared_dir(spark)}/{spark.sparkContext.applicationId}"
+    )
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
