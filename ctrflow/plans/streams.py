@@ -133,7 +133,7 @@ def stream_request_log(spark, sf):
         availableNow=True,
     )
     running.awaitTermination()
-    log.flush(requests, running.lastProgress["batchId"] + 1)
+    log.close(requests.schema)
     return log.read()
 
 

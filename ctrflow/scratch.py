@@ -59,9 +59,12 @@ def local_table(spark: SparkSession, schema: str, rows: list[tuple]) -> DataFram
     return spark.createDataFrame(pa.table(arrays))
 
 
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Delete a file or folder of any file system Spark can write to, if it is there."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
 def release(spark: SparkSession) -> None:
     """Delete what this application has written to the shared folder."""
-    folder = spark._jvm.org.apache.hadoop.fs.Path(
-        f"{shared_dir(spark)}/{spark.sparkContext.applicationId}"
-    )
-    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+    delete_path(spark, f"{shared_dir(spark)}/{spark.sparkContext.applicationId}")

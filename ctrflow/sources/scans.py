@@ -2,19 +2,33 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ctrflow.functions.scalars import base_name, day_of_file
+from ctrflow.functions.scalars import DAY_FILE, base_name, day_of_file
 from ctrflow.schema import CtrSchema
 
 MAX_DAYS = 24
 
 
-def read_days(spark: SparkSession, path: str, schema: CtrSchema = CtrSchema()) -> DataFrame:
-    """Every day file of a directory, with the day number taken from its name."""
-    raw = spark.read.schema(schema.raw_type()).option("pathGlobFilter", "day_*.parquet").parquet(path)
+def read_days(
+    spark: SparkSession,
+    path: str,
+    days: Iterable[int] | None = None,
+    schema: CtrSchema = CtrSchema(),
+) -> DataFrame:
+    """Day files of a directory, with the day number taken from their names.
+
+    With ``days`` only those files are opened, and one that is missing is an error.
+    """
+    reader = spark.read.schema(schema.raw_type())
+    if days is None:
+        raw = reader.option("pathGlobFilter", "day_*.parquet").parquet(path)
+    else:
+        raw = reader.parquet(*[f"{path.rstrip('/')}/{DAY_FILE % day}" for day in days])
     day = day_of_file(base_name(F.col("_metadata.file_path")))
     return raw.withColumn(schema.day, day).where(F.col(schema.day).isNotNull())
 

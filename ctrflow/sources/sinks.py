@@ -64,9 +64,11 @@ def land_full(spark: SparkSession, src: str, dst: str) -> None:
     spark.read.parquet(src).write.mode("overwrite").parquet(dst)
 
 
-def land_incremental(spark: SparkSession, src: str, dst: str, checkpoint: str) -> None:
+def land_incremental(
+    spark: SparkSession, src: str, dst: str, checkpoint: str, schema: T.StructType | None = None
+) -> None:
     """Later landings: each source file is added once, however often this is run."""
-    schema = spark.read.parquet(src).schema
+    schema = schema or spark.read.parquet(src).schema
     query = (
         spark.readStream.schema(schema)
         .option("pathGlobFilter", "*.parquet")

@@ -96,7 +96,9 @@ def monitor_stream(
 
     Rows of a key are taken in ``order`` within each batch, and batches in arrival
     order. Clearing the buffer changes what all later rows see, so one key is
-    sequential; give distinct models distinct keys to spread them.
+    sequential: its rows of one batch are held by one task. Bound the batch at the source
+    (``max_files``), and give distinct models distinct keys to spread them. Without
+    resets, ``operators.metrics.rolling_auc`` splits a key of any size.
     """
     fields = {f.name: f for f in events.schema.fields}
     keyed = fields[key]

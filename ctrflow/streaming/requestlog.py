@@ -10,19 +10,20 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from ctrflow.scratch import delete_path, local_table
+
 #: Fixed format: the name of a request log file.
 LOG_TIME = "%d_%m_%Y-%H-%M-%S"
-_FLUSHES = "batch_id bigint, first_batch bigint, name string, at double, rows bigint"
 
 
 class RequestLog:
-    """Batches are kept in ``pending/batch_id=N``. When at least ``min_rows`` wait and
-    ``min_gap`` has passed since the last flush, all waiting batches become one table
-    ``log/<time>.parquet`` (of as many files as its size asks for).
+    """Rows wait in ``pending/batch_id=N``, one folder per micro-batch. When at least
+    ``min_rows`` wait and ``min_gap`` has passed since the last flush, all that wait become
+    one table ``log/batch_id=N/<time>.parquet``, of as many files as its size asks for.
 
-    ``flushes/batch_id=N`` records the flush that batch N caused; it is written last and
-    a replayed batch overwrites its own folders and time-named table, so no row is
-    logged twice.
+    ``state/batch_id=N`` records the flush that batch N caused and is written last. A batch
+    that is played again overwrites its own folders, so no row is logged twice. Pending
+    and state folders that a later flush has made useless are deleted.
     """
 
     def __init__(
@@ -36,61 +37,66 @@ class RequestLog:
         self.spark, self.path = spark, path.rstrip("/")
         self.min_rows, self.min_gap, self.now = min_rows, min_gap, now
 
-    def _flushes(self) -> DataFrame:
-        empty = self.spark.createDataFrame([], _FLUSHES)
+    def _folder(self, kind: str, batch_id: int) -> str:
+        return f"{self.path}/{kind}/batch_id={batch_id}"
+
+    def flushes(self) -> list[tuple[int, float]]:
+        """``(batch_id, seconds since 1970)`` of the last flushes, oldest first; a few rows."""
         try:
-            found = self.spark.read.parquet(f"{self.path}/flushes")
+            state = self.spark.read.parquet(f"{self.path}/state")
         except Exception as error:
             if "PATH_NOT_FOUND" not in str(error):
                 raise
-            return empty
-        return found.select(*empty.columns)
-
-    def _pending(self, schema, after: int, upto: int) -> DataFrame:
-        stored = self.spark.read.schema(
-            T.StructType([*schema.fields, T.StructField("batch_id", T.LongType())])
-        ).parquet(f"{self.path}/pending")
-        return stored.where((F.col("batch_id") > after) & (F.col("batch_id") <= upto))
+            return []
+        return sorted((r.batch_id, r.at) for r in state.select("batch_id", "at").collect())
 
     def batch(self, df: DataFrame, batch_id: int) -> None:
         """One micro-batch: store it, and flush when both conditions hold."""
-        df.write.mode("overwrite").parquet(f"{self.path}/pending/batch_id={batch_id}")
-        self.flush(df, batch_id, force=False)
-
-    def flush(self, like: DataFrame, batch_id: int, force: bool = True) -> bool:
-        """Write what is waiting up to ``batch_id``; ``force`` skips the two conditions.
-
-        Call it with ``force`` when a query stops: without arriving rows no batch runs, so
-        nothing else would write the last ones.
-        """
-        done = self._flushes()
-        mine = done.where(F.col("batch_id") == batch_id).first()
-        last = done.where(F.col("batch_id") < batch_id).agg(
-            F.max("batch_id").alias("batch_id"), F.max("at").alias("at")
-        ).first()
-        after = -1 if last.batch_id is None else last.batch_id
-        if mine is not None:
+        df.write.mode("overwrite").parquet(self._folder("pending", batch_id))
+        self._flush(df.schema, batch_id, force=False)
+
+    def close(self, schema: T.StructType) -> bool:
+        """Write what still waits. Call it when the query has stopped: without arriving rows
+        no batch runs, so nothing else would write the last ones."""
+        try:
+            pending = self.spark.read.schema(schema).parquet(f"{self.path}/pending")
+        except Exception as error:
+            if "PATH_NOT_FOUND" not in str(error):
+                raise
+            return False
+        last = pending.select(
+            F.max(F.regexp_extract(F.col("_metadata.file_path"), "batch_id=([0-9]+)", 1).cast("bigint"))
+        ).first()[0]
+        return last is not None and self._flush(schema, last, force=True)
+
+    def _flush(self, schema: T.StructType, batch_id: int, force: bool) -> bool:
+        done = self.flushes()
+        if any(b >= batch_id for b, _ in done):
             return False
-        waiting = self._pending(like.schema, after, batch_id)
-        rows = waiting.count()
-        at = self.now()
-        due = last.at is None or at.timestamp() - last.at >= self.min_gap.total_seconds()
+        after, flushed_at = done[-1] if done else (-1, None)
+        folders = [self._folder("pending", b) for b in range(after + 1, batch_id + 1)]
+        waiting = self.spark.read.schema(schema).parquet(*folders)
+        rows, at = waiting.count(), self.now()
+        due = flushed_at is None or at.timestamp() - flushed_at >= self.min_gap.total_seconds()
         if rows == 0 or not (force or (rows >= self.min_rows and due)):
             return False
+        # the folder goes first: a flush that was cut short may have left another time there
+        delete_path(self.spark, self._folder("log", batch_id))
         name = at.strftime(LOG_TIME) + ".parquet"
-        waiting.drop("batch_id").write.mode("overwrite").parquet(f"{self.path}/log/{name}")
-        record = self.spark.createDataFrame(
-            [(batch_id, after + 1, name, at.timestamp(), rows)], _FLUSHES
-        )
-        record.drop("batch_id").coalesce(1).write.mode("overwrite").parquet(
-            f"{self.path}/flushes/batch_id={batch_id}"
-        )
+        waiting.write.parquet(f"{self._folder('log', batch_id)}/{name}")
+        record = local_table(self.spark, "at double, rows bigint", [(at.timestamp(), rows)])
+        record.write.mode("overwrite").parquet(self._folder("state", batch_id))
+        # what the flush before this one has covered cannot be played again
+        for old, _ in done[:-1]:
+            delete_path(self.spark, self._folder("state", old))
+        first = done[-2][0] if len(done) > 1 else -1
+        for old in range(first + 1, after + 1):
+            delete_path(self.spark, self._folder("pending", old))
         return True
 
     def read(self) -> DataFrame:
-        """Everything logged so far: exactly the tables that a flush record names."""
-        names = [r.name for r in self._flushes().select("name").collect()]  # one per flush
-        return self.spark.read.parquet(*[f"{self.path}/log/{n}" for n in names])
+        """Everything logged so far."""
+        return self.spark.read.option("recursiveFileLookup", True).parquet(f"{self.path}/log")
 
 
 def log_requests(

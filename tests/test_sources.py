@@ -36,6 +36,10 @@ def test_day_files(spark, days):
     train, valid = scans.day_split(df, 1, 1)
     assert (train.count(), valid.count()) == (3, 4)
     assert len(df.columns) == 41
+    some = scans.read_days(spark, days, [0, 3])
+    assert {r.day: r["count"] for r in some.groupBy("day").count().collect()} == {0: 3, 3: 5}
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        scans.read_days(spark, days, [0, 2])
 
 
 @pytest.mark.parametrize("n_train, n_val", [(2, 1), (20, 5), (-1, 2)])

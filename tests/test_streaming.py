@@ -111,23 +111,42 @@ def test_request_log_needs_rows_and_time(spark, tmp):
 
     def arrive(batch, n):
         log.batch(spark.range(batch * 1000, batch * 1000 + n), batch)
-        return log._flushes().count()
+        flushed = log.flushes()
+        return flushed[-1][0] if flushed else None
 
-    assert arrive(0, 319) == 0
+    def names():
+        files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(f"{tmp}/log/log")
+        return sorted({r.path.split("/")[-2] for r in files.select("path").collect()})
+
+    assert arrive(0, 319) is None
     assert arrive(1, 1) == 1  # enough rows, and nothing written before
     clock.at += timedelta(seconds=59)
     assert arrive(2, 400) == 1  # too soon
     clock.at += timedelta(seconds=1)
-    assert arrive(3, 1) == 2
+    assert arrive(3, 1) == 3
     clock.at += timedelta(seconds=100)
-    assert arrive(4, 10) == 2  # too few
+    assert arrive(4, 10) == 3  # too few
     assert log.read().count() == 721
-    log.batch(spark.range(3000, 3001), 3)  # a batch that is played again
+    log.batch(spark.range(4000, 4010), 4)  # a batch that is played again
     assert log.read().count() == 721
-    assert log.flush(spark.range(1), 5)
+    assert names() == ["01_01_2024-00-00-00.parquet", "01_01_2024-00-01-00.parquet"]
+    assert log.close(spark.range(1).schema) and not log.close(spark.range(1).schema)
     assert log.read().count() == 731 == log.read().distinct().count()
-    names = sorted(r.name for r in log._flushes().collect())
-    assert names[0] == "01_01_2024-00-00-00.parquet" and names[1] == "01_01_2024-00-01-00.parquet"
+    left = os.listdir(f"{tmp[len('file:'):]}/log/pending")
+    assert sorted(left) == ["batch_id=4"]
+
+
+def test_a_flush_that_was_cut_short_is_done_over(spark, tmp):
+    clock = Clock()
+    log = RequestLog(spark, f"{tmp}/log", 5, timedelta(0), clock)
+    log.batch(spark.range(10), 0)
+    # as if the record of the flush had not been written before the failure
+    from ctrflow.scratch import delete_path
+
+    delete_path(spark, f"{tmp}/log/state")
+    clock.at += timedelta(seconds=3)
+    log.batch(spark.range(10), 0)
+    assert sorted(r.id for r in log.read().collect()) == list(range(10))
 
 
 def test_request_log_on_a_stream(spark, tmp):
@@ -136,7 +155,7 @@ def test_request_log_on_a_stream(spark, tmp):
     stream = spark.readStream.schema(df.schema).option("maxFilesPerTrigger", 1).parquet(f"{tmp}/in")
     query, log = log_requests(stream, f"{tmp}/log", f"{tmp}/ckpt", 300, timedelta(0), availableNow=True)
     query.awaitTermination()
-    log.flush(df, query.lastProgress["batchId"] + 1)
+    log.close(df.schema)
     assert sorted(r.id for r in log.read().collect()) == list(range(1000))
 
 
