@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ctrflow.schema import as_columns
-from ctrflow.scratch import materialize
+from ctrflow.scratch import local_table, materialize
 
 SLICE = "__slice"
 POS = "__pos"
@@ -156,39 +156,33 @@ def carry_last(
 
 
 def pick_ranks(
-    sliced: DataFrame, value: str, count: str, key: Sequence[str], ranks: DataFrame
+    sliced: DataFrame, value: str, count: str, key: str, ranks: dict[str, set[int]]
 ) -> DataFrame:
-    """Values at given 0-based ranks of weighted values, per key.
+    """Values at given 0-based ranks of weighted values, per (string) key:
+    ``(key, rank, value)``.
 
-    ``sliced`` is one row per (key, value) with its number of occurrences, put in that
-    order by ``slice_in_order``; ``ranks`` holds (key..., rank) and must be small. Only
-    slices that contain a wanted rank are looked at row by row.
+    ``sliced`` is one row per key and value with its number of occurrences, put in that order
+    by ``slice_in_order``. The driver sees one row per slice and key it holds; only slices
+    with a wanted rank are then looked at row by row.
     """
-    spans = sliced.groupBy(SLICE, *key).agg(F.sum(count).alias("__n"))
-    # one row per slice and key; a key's rows here number at most the slices it fills
-    seen = Window.partitionBy(*key).orderBy(SLICE).rowsBetween(Window.unboundedPreceding, 0)
-    spans = (
-        spans.withColumn("__hi", F.sum("__n").over(seen))
-        .withColumn("__lo", F.col("__hi") - F.col("__n"))
-        .drop("__n")
-    )
-    wanted = (
-        spans.join(F.broadcast(ranks), list(key))
-        .where("rank >= __lo and rank < __hi")
-        .groupBy(SLICE, *key, "__lo")
-        .agg(F.collect_set("rank").alias("__ranks"))
-    )
-    local = _in_slice(key).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    return (
-        sliced.join(F.broadcast(wanted), [SLICE, *key])
-        .withColumn("__end", F.col("__lo") + F.sum(count).over(local))
-        .withColumn(
-            "rank",
-            F.explode(
-                F.filter(
-                    "__ranks", lambda r: (r < F.col("__end")) & (r >= F.col("__end") - F.col(count))
-                )
-            ),
-        )
-        .select(*key, "rank", F.col(value).alias("value"))
+    spans = sliced.groupBy(key, SLICE).agg(F.sum(count).alias("n")).collect()
+    end: dict[str, int] = {}
+    wanted = []
+    for name, number, n in sorted(r for r in spans if r[0] in ranks):
+        start = end.get(name, 0)
+        end[name] = start + n
+        wanted += [(name, number, start, r) for r in ranks[name] if start <= r < start + n]
+    places = local_table(
+        sliced.sparkSession, "__k string, __s bigint, __start bigint, rank bigint", wanted
     )
+    here = sorted({w[1] for w in wanted})
+    local = _in_slice([key]).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    ended = sliced.where(F.col(SLICE).isin(here)).withColumn("__end", F.sum(count).over(local))
+    at = F.col("rank") - F.col("__start")
+    return ended.join(
+        F.broadcast(places),
+        (F.col(key) == F.col("__k"))
+        & (F.col(SLICE) == F.col("__s"))
+        & (at < F.col("__end"))
+        & (at >= F.col("__end") - F.col(count)),
+    ).select(key, "rank", F.col(value).alias("value"))

@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from ctrflow.functions.scalars import micros
 
 SECOND = 1_000_000
+SLAB_ROWS = 2_000_000
 _T, _SLAB, _HALO = "__t", "__slab", "__halo"
 
 
@@ -74,8 +75,17 @@ def _slabs(series: DataFrame, key: Sequence[str], slab_us: int, frame_us: int) -
     return home.unionByName(carried)
 
 
-def _slab_size(slab_seconds: int | None, frame_seconds: int) -> int:
-    return SECOND * (slab_seconds or max(86_400, 20 * frame_seconds))
+def _slab_us(
+    series: DataFrame, key: Sequence[str], frame_seconds: int, slab_seconds: int | None
+) -> int:
+    """Slab length. Unless it is given: a day, or 20 frames if that is more, or as much
+    less as keeps the fullest slab near ``SLAB_ROWS`` samples, but never under one frame."""
+    if slab_seconds is not None:
+        return slab_seconds * SECOND
+    length = max(86_400, 20 * frame_seconds)
+    slab = _floor_div(micros(F.col("ts")), length * SECOND).alias(_SLAB)
+    fullest = series.groupBy(*key, slab).count().agg(F.max("count")).first()[0] or 0
+    return max(frame_seconds, length // max(1, -(-fullest // SLAB_ROWS)), 1) * SECOND
 
 
 def _step() -> tuple[Column, Column]:
@@ -88,7 +98,7 @@ def _framed(
     series: DataFrame, key: Sequence[str], frame_seconds: int, slab_seconds: int | None, add
 ) -> DataFrame:
     frame_us = frame_seconds * SECOND
-    slab_us = _slab_size(slab_seconds, frame_seconds)
+    slab_us = _slab_us(series, key, frame_seconds, slab_seconds)
     if frame_us > slab_us:
         raise ValueError("a slab must be at least as long as the frame")
     rows = _slabs(series, key, slab_us, frame_us)

@@ -1,12 +1,13 @@
 """Feature statistics of a dataset.
 
-Scalars of all columns come from one aggregation. Everything that depends on distinct
-values (unique counts, top values, ranks, exact quantiles) comes from one table of value
-counts, in which a hot value is a single row.
+Scalars of all columns come from one aggregation, histograms from one more scan and exact
+quantiles from two. What depends on distinct strings (unique counts, top values, ranks) comes
+from one table of value counts, in which a hot value is a single row.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 from functools import reduce
 
@@ -101,106 +102,120 @@ def numeric_scalars(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return _per_feature(df, columns, _numeric(df))
 
 
-def numbers_long(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """``(feature, value)`` of the non-missing numbers."""
+def string_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """``(feature, value, count)`` with values as text."""
     return (
-        df.select(*[_present(df, c).cast("double").alias(c) for c in columns])
+        df.select(*[F.col(c).cast("string").alias(c) for c in columns])
         .unpivot([], list(columns), "feature", "value")
         .where("value is not null")
-    )
-
-
-def number_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """``(feature, value, count)``; -0.0 counts as 0.0."""
-    return (
-        numbers_long(df, columns)
-        .withColumn("value", F.col("value") + F.lit(0.0))
         .groupBy("feature", "value")
         .agg(F.count(F.lit(1)).alias("count"))
     )
 
 
-def ordered_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Value counts of numeric features, written in (feature, value) order."""
-    return slice_in_order(number_counts(df, columns), ["feature", "value"], unique=True)
+#: Rank error of the sketches, as a share of the rows, is at most one in ACCURACY.
+ACCURACY = 10_000
 
 
-def string_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """``(feature, value, count)`` with values as text."""
-    return (
-        df.select(*[F.col(c).cast("string").alias(c) for c in columns])
-        .unpivot([], list(columns), "feature", "value")
-        .where("value is not null")
-        .groupBy("feature", "value")
+def _sketch(df: DataFrame, columns: Sequence[str], probs: list[float]) -> dict[str, tuple]:
+    """``feature -> (rows, approximate quantiles)``; a few numbers per column."""
+    aggs = []
+    for i, c in enumerate(columns):
+        value = _present(df, c).cast("double")
+        aggs += [
+            F.count(value).alias(f"n{i}"),
+            F.percentile_approx(value, probs, ACCURACY).alias(f"v{i}"),
+        ]
+    row = df.agg(*aggs).first()
+    return {c: (row[f"n{i}"], row[f"v{i}"]) for i, c in enumerate(columns) if row[f"n{i}"]}
+
+
+def _literal(number: float) -> str:
+    return f"double('{number}')" if math.isinf(number) else f"{number!r}D"
+
+
+def _pick(df: DataFrame, brackets: dict[str, list[tuple]], ranks: dict[str, set[int]]) -> dict:
+    """``(feature, rank) -> value``, None for a rank outside its feature's brackets.
+
+    A value inside a bracket is counted by itself, all others by the gap they lie in. Ordered by
+    region and value these counts are a feature's whole distribution, of which only
+    the part inside the brackets is shuffled value by value.
+    """
+    numbers, cells = [], []
+    for i, (feature, spans) in enumerate(brackets.items()):
+        value = _present(df, feature).cast("double") + F.lit(0.0)  # -0.0 is 0.0
+        numbers.append(value.alias(f"x{i}"))
+        # edges passed: even in a gap, odd inside a bracket; as text, for there are many
+        passed = " + ".join(
+            f"int(x{i} >= {_literal(a)}) + int(x{i} > {_literal(b)})" for a, b in spans
+        )
+        inside = F.when(F.expr(passed) % 2 == 1, F.col(f"x{i}"))
+        cells.append(F.struct(F.expr(passed).alias("region"), inside.alias("value")).alias(feature))
+    counts = (
+        df.select(*numbers)
+        .select(*cells)
+        .unpivot([], list(brackets), "feature", "cell")
+        .where("cell.region is not null")
+        .groupBy("feature", "cell.region", "cell.value")
         .agg(F.count(F.lit(1)).alias("count"))
     )
+    sliced = slice_in_order(counts, ["feature", "region", "value"], unique=True)
+    found = pick_ranks(sliced, "value", "count", "feature", ranks)
+    return {(r.feature, r.rank): r.value for r in found.collect()}
+
+
+def _merged(spans: list[tuple]) -> list[tuple]:
+    out = []
+    for a, b in sorted(spans):
+        if out and a <= out[-1][1]:
+            out[-1] = (out[-1][0], max(b, out[-1][1]))
+        else:
+            out.append((a, b))
+    return out
 
 
 def quantiles(
-    df: DataFrame,
-    columns: Sequence[str],
-    parts: int = 10,
-    counts: DataFrame | None = None,
-    totals: dict[str, int] | None = None,
-    sketch: bool = False,
+    df: DataFrame, columns: Sequence[str], parts: int = 10, sketch: bool = False
 ) -> DataFrame:
     """``parts + 1`` quantiles per feature as ``(feature, q, value)``, q = 0..parts.
 
-    Exact (linear interpolation between neighbours) from the value counts, without
-    gathering a feature's values anywhere. ``sketch=True`` takes Spark's
-    approximate percentiles instead: one pass and no large shuffle. ``counts`` is the
-    table of ``ordered_counts`` and ``totals`` its sum per feature, if known already.
+    Exact, with linear interpolation between neighbours, in two scans. The first sketches
+    each distribution and yields, for every wanted rank, a bracket of values that holds
+    it; the second counts what lies outside the brackets and orders what lies inside, a few
+    thousandths of the rows. Should a bracket miss its rank, all values are ordered.
+    ``sketch=True`` stops after the first scan.
     """
     spark = df.sparkSession
+    grid = [q / parts for q in range(parts + 1)]
+    schema = "feature string, q int, value double"
     if sketch:
-        probs = [i / parts for i in range(parts + 1)]
-        row = df.agg(
-            *[
-                F.percentile_approx(_present(df, c).cast("double"), probs).alias(f"q{i}")
-                for i, c in enumerate(columns)
-            ]
-        )
-        per_feature = [
-            F.struct(F.lit(c).alias("feature"), F.col(f"q{i}").alias("v"))
-            for i, c in enumerate(columns)
-        ]
-        return row.select(F.explode(F.array(*per_feature)).alias("f")).select(
-            "f.feature", F.posexplode("f.v").alias("q", "value")
-        )
-    if counts is None:
-        counts = ordered_counts(df, columns)
-    if totals is None:
-        # one row per feature
-        totals = dict(counts.groupBy("feature").agg(F.sum("count")).toLocalIterator())
-    wanted = [
-        (feature, q, q * (n - 1) // parts, q * (n - 1) % parts / parts)
-        for feature, n in totals.items()
-        if n
-        for q in range(parts + 1)
-    ]
-    grid = local_table(spark, "feature string, q int, below bigint, part double", wanted)
-    ranks = local_table(
-        spark,
-        "feature string, rank bigint",
-        sorted({(f, b) for f, _, b, _ in wanted} | {(f, b + 1) for f, _, b, p in wanted if p}),
-    )
-    found = pick_ranks(counts, "value", "count", ["feature"], ranks)
-    near = F.broadcast(grid.withColumnRenamed("feature", "f"))
-    offset = F.col("rank") - F.col("below")
-    return (
-        found.join(near, (F.col("f") == F.col("feature")) & offset.between(0, 1))
-        .groupBy("feature", "q", "part")
-        .agg(
-            F.max(F.when(offset == 0, F.col("value"))).alias("lo"),
-            F.max(F.when(offset == 1, F.col("value"))).alias("hi"),
-        )
-        .select(
-            "feature", "q",
-            F.when(F.col("part") == 0, F.col("lo"))
-            .otherwise(F.col("lo") + (F.col("hi") - F.col("lo")) * F.col("part"))
-            .alias("value"),
-        )
-    )
+        found = _sketch(df, columns, grid)
+        rows = [(f, q, v) for f, (_, values) in found.items() for q, v in enumerate(values)]
+        return local_table(spark, schema, rows)
+    margin = 2 / ACCURACY
+    probs = [max(0.0, p - margin) for p in grid] + [min(1.0, p + margin) for p in grid]
+    brackets, ranks, at = {}, {}, {}
+    for feature, (n, values) in _sketch(df, columns, probs).items():
+        lows, highs = values[: parts + 1], values[parts + 1 :]
+        lows[0], highs[-1] = float("-inf"), float("inf")
+        brackets[feature] = _merged(list(zip(lows, highs)))
+        for q in range(parts + 1):
+            below, rest = divmod(q * (n - 1), parts)
+            at[feature, q] = (below, rest / parts)
+            ranks.setdefault(feature, set()).update({below, below + 1} if rest else {below})
+    if not ranks:
+        return local_table(spark, schema, [])
+    found = _pick(df, brackets, ranks)
+    missed = {f for (f, _), v in found.items() if v is None}
+    if missed:
+        everything = {f: [(float("-inf"), float("inf"))] for f in missed}
+        found.update(_pick(df, everything, {f: ranks[f] for f in missed}))
+    rows = []
+    for (feature, q), (below, part) in at.items():
+        low = found[feature, below]
+        step = (found[feature, below + 1] - low) * part if part else 0.0
+        rows.append((feature, q, low + step))
+    return local_table(spark, schema, rows)
 
 
 def stats_numeric(df: DataFrame, columns: Sequence[str], sketch: bool = False) -> DataFrame:
@@ -251,34 +266,19 @@ def bin_rows(df: DataFrame, ranges: Ranges, bins: int, keep: Sequence[str] = ())
 
 
 def histogram(
-    df: DataFrame,
-    columns: Sequence[str],
-    bins: int = 10,
-    ranges: Ranges | None = None,
-    counts: DataFrame | None = None,
+    df: DataFrame, columns: Sequence[str], bins: int = 10, ranges: Ranges | None = None
 ) -> DataFrame:
     """Equal-width histogram ``(feature, bin, lo, hi, count)``, empty bins included.
 
-    ``ranges`` defaults to the ranges found in the data. With ``counts`` (feature, value,
-    count) the rows themselves are not read again.
+    ``ranges`` defaults to the ranges found in the data.
     """
     ranges = value_ranges(df, columns) if ranges is None else ranges
     frame = bins_frame(df.sparkSession, ranges, bins)
     if not ranges:
         return frame.withColumn("count", F.lit(0).cast("bigint"))
-    if counts is None:
-        counted = bin_rows(df, ranges, bins).groupBy("feature", "bin").agg(
-            F.count(F.lit(1)).alias("count")
-        )
-    else:
-        limits = [(f, low, high) for f, (low, high) in ranges.items()]
-        limits = local_table(df.sparkSession, "feature string, mn double, mx double", limits)
-        at = bin_of(F.col("value"), F.col("mn"), F.col("mx"), bins)
-        counted = (
-            counts.join(F.broadcast(limits), "feature")
-            .groupBy("feature", at.alias("bin"))
-            .agg(F.sum("count").alias("count"))
-        )
+    counted = bin_rows(df, ranges, bins).groupBy("feature", "bin").agg(
+        F.count(F.lit(1)).alias("count")
+    )
     return frame.join(counted, ["feature", "bin"], "left").select(
         "feature", "bin", "lo", "hi", F.coalesce("count", F.lit(0)).cast("bigint").alias("count")
     )
@@ -349,10 +349,8 @@ def feature_stats(
             [(r.feature, r.min, r.max, r.mean, r.std, r.zeros) for r in found],
         )
         ranges = {r.feature: (r.min, r.max) for r in found if r.min is not None}
-        totals = {r.feature: r.n_present for r in found}
-        counts = None if sketch else ordered_counts(df, numeric)
         hist = (
-            histogram(df, numeric, bins, ranges, counts)
+            histogram(df, numeric, bins, ranges)
             .groupBy("feature")
             .agg(
                 F.array_sort(
@@ -362,7 +360,7 @@ def feature_stats(
         )
         # 2 * bins parts hold both the bin limits and the median
         grid = (
-            quantiles(df, numeric, 2 * bins, counts, totals, sketch)
+            quantiles(df, numeric, 2 * bins, sketch)
             .groupBy("feature")
             .agg(F.array_sort(F.collect_list(F.struct("q", "value"))).alias("g"))
             .select(

@@ -75,10 +75,10 @@ def test_pick_ranks(spark, rows):
     for _, k, t, _ in rows:
         if k is not None:
             by_key.setdefault(k, []).append(t)
-    ranks = [(k, r) for k, ts in by_key.items() for r in {0, 5, len(ts) // 2, len(ts) - 1}]
-    found = order.pick_ranks(sliced, "t", "n", ["k"], spark.createDataFrame(ranks, "k string, rank bigint"))
+    ranks = {k: {0, 5, len(ts) // 2, len(ts) - 1} for k, ts in by_key.items()}
+    found = order.pick_ranks(sliced, "t", "n", "k", ranks)
     assert {(r.k, r.rank): r.value for r in found.collect()} == {
-        (k, r): sorted(by_key[k])[r] for k, r in ranks
+        (k, r): sorted(by_key[k])[r] for k, rs in ranks.items() for r in rs
     }
 
 

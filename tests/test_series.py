@@ -53,6 +53,13 @@ def _local(at):
     return at.replace(tzinfo=timezone.utc).astimezone().replace(tzinfo=None)
 
 
+def test_full_slabs_are_made_shorter(frame, samples, monkeypatch):
+    monkeypatch.setattr(s, "SLAB_ROWS", 10)
+    assert s._slab_us(frame, ["instance"], FRAME, None) < 86_400 * s.SECOND
+    got = {r.instance: r.total for r in s.increase_at(frame, ["metric", "instance"], FRAME).groupBy("instance").agg({"increase": "sum"}).withColumnRenamed("sum(increase)", "total").collect()}
+    assert got == {name: sum(x[2] for x in counter(rows, FRAME)) for name, rows in samples.items()}
+
+
 def test_a_frame_longer_than_a_slab_is_refused(frame):
     with pytest.raises(ValueError):
         s.increase_at(frame, ["instance"], FRAME, FRAME - 1)

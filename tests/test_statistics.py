@@ -58,11 +58,26 @@ def test_histogram_bins(spark):
     assert (got[0].lo, got[0].hi, got[9].hi) == (0.0, 10.0, 100.0)
 
 
-def test_histogram_from_counts_equals_histogram_from_rows(frame):
-    cols = ["x", "same"]
-    rows = st.histogram(frame, cols)
-    counted = st.histogram(frame, cols, counts=st.number_counts(frame, cols))
-    assert sorted(rows.collect()) == sorted(counted.collect())
+def test_quantiles_of_a_skewed_feature(spark):
+    # a third of the rows is one value, the rest spread over far more values than a sketch keeps
+    df = spark.range(60_000, numPartitions=6).select(
+        F.when(F.col("id") % 3 == 0, 0.5).otherwise(F.rand(1)).alias("x")
+    )
+    xs = [r.x for r in df.collect()]
+    got = {r.q: r.value for r in st.quantiles(df, ["x"], 20).collect()}
+    assert got == {q: pytest.approx(quantile(xs, q / 20), abs=1e-12) for q in range(21)}
+
+
+def test_a_missed_bracket_is_made_good(spark, numbers, frame, monkeypatch):
+    xs = sorted(present(numbers))
+    real = st._sketch
+
+    def wrong(df, columns, probs):
+        return {f: (n, [xs[-1] + 1.0 for _ in v]) for f, (n, v) in real(df, columns, probs).items()}
+
+    monkeypatch.setattr(st, "_sketch", wrong)
+    got = {r.q: r.value for r in st.quantiles(frame, ["x"], 4).collect()}
+    assert got == {q: pytest.approx(quantile(xs, q / 4)) for q in range(5)}
 
 
 def test_constant_and_empty_features(spark, frame):
