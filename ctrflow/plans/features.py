@@ -119,11 +119,12 @@ def concat_groups(spark, sf):
     "split_features_label",
     with_sql(
         SQL_CLICKS,
-        body=f"""select {KEY}, i2, c3, label from clicks where day < 1""",
+        body=f"""select {KEY}, a.i2, a.c3, b.label from clicks a
+          join clicks b using ({KEY})""",
     ),
 )
 def split_features_label(spark, sf):
-    features, label = ops.split_features_label(clicks(spark, sf).where("day < 1"), CLICKS)
+    features, label = ops.split_features_label(clicks(spark, sf), CLICKS)
     return features.join(label, list(ROW_KEY)).select(*ROW_KEY, "i2", "c3", "label")
 
 

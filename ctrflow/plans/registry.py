@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import wraps
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,7 +18,14 @@ def query(name: str, sql: str | None = None):
     def add(fn):
         if name in QUERIES:
             raise ValueError(f"query {name} is registered twice")
-        QUERIES[name] = fn
+
+        @wraps(fn)
+        def run(spark: SparkSession, sf: str) -> DataFrame:
+            # the tables hold times without a zone, which SQL reads as UTC
+            spark.conf.set("spark.sql.session.timeZone", "UTC")
+            return fn(spark, sf)
+
+        QUERIES[name] = run
         if sql is not None:
             ORACLES[name] = sql
         return fn

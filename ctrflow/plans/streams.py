@@ -118,11 +118,11 @@ def stream_trigger_action(spark, sf):
 
 @query(
     "stream_request_log",
-    with_sql(SQL_CLICKS, body=f"select {KEY}, cast(label as double) as label, i1, i2 from clicks where day < 4"),
+    with_sql(SQL_CLICKS, body=f"select {KEY}, cast(label as double) as label, i1, i2 from clicks"),
 )
 def stream_request_log(spark, sf):
     """Everything logged, the rest written out when the stream stops."""
-    requests = clicks(spark, sf).where("day < 4").select(
+    requests = clicks(spark, sf).select(
         *ROW_KEY, F.col("label").cast("double").alias("label"), "i1", "i2"
     )
     path = new_path(spark, "requests")
@@ -138,7 +138,7 @@ def stream_request_log(spark, sf):
 
 
 query("sink_request_log", with_sql(
-    SQL_CLICKS, body=f"select {KEY}, cast(label as double) as label, i1, i2 from clicks where day < 4"
+    SQL_CLICKS, body=f"select {KEY}, cast(label as double) as label, i1, i2 from clicks"
 ))(lambda spark, sf: stream_request_log(spark, sf))
 
 
