@@ -59,9 +59,13 @@ def clicks(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-def day_log(spark: SparkSession, sf: str, days: int | None = N_TRAIN + N_VAL) -> DataFrame:
+def day_log(
+    spark: SparkSession, sf: str, days: int | None = N_TRAIN + N_VAL, columns: tuple[str, ...] = ()
+) -> DataFrame:
     """The first days of the click log (or all), landed as files in one folder per day."""
     rows = clicks(spark, sf)
+    if columns:
+        rows = rows.select(*columns, "day")
     if days is not None:
         rows = rows.where(F.col("day") < days)
     path = new_path(spark, "days")

@@ -16,7 +16,7 @@ REF, NEW = "day < 12", "day >= 12"
 
 def _log(spark, sf):
     """The whole click log as day files, for queries that read it several times."""
-    return day_log(spark, sf, None)
+    return day_log(spark, sf, None, ("l_orderkey", *COLS))
 
 
 def _each(template: str, names) -> str:

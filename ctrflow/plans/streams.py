@@ -163,10 +163,10 @@ def stream_backpressure(spark, sf):
     return run(ev.read_events(spark, path, max_files=1).select("event_id"), spark)
 
 
-@query("stream_transform", _sql_transformed("day >= 2 and day < 4"))
+@query("stream_transform", _sql_transformed("day >= 2"))
 def stream_transform(spark, sf):
-    """Arriving rows through the fitted workflow."""
-    new = clicks(spark, sf).where("day between 2 and 3")
+    """All rows after the training days through the fitted workflow."""
+    new = clicks(spark, sf).where("day >= 2")
     path = new_path(spark, "arriving")
     new.write.parquet(path)
     out = new_path(spark, "features")
