@@ -212,7 +212,7 @@ alert_rows as (
 
 
 def workflow(order: str = "value") -> Workflow:
-    """The reference chain: codes for categories; fill, clip and normalise for numbers."""
+    """The usual chain: codes for categories; fill, clip and normalise for numbers."""
     cats = CLICKS.cats >> Categorify(order)
     conts = CLICKS.conts >> FillMissing() >> Clip(min_value=0) >> Normalize()
     return Workflow(cats + conts + [CLICKS.label])
