@@ -1,6 +1,6 @@
 """All queries of this package. Importing the modules registers them."""
 
-from ctrflow.llm import language, quality, tokenization  # noqa: F401
+from ctrflow.llm import language, quality, secrets_query, tokenization  # noqa: F401
 from ctrflow.llm.registry import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]
