@@ -1,6 +1,13 @@
 """All queries of this package. Importing the modules registers them."""
 
-from ctrflow.llm import decontamination, language, quality, secrets_query, tokenization  # noqa: F401
+from ctrflow.llm import (  # noqa: F401
+    decontamination,
+    language,
+    quality,
+    secrets_query,
+    sharding,
+    tokenization,
+)
 from ctrflow.llm.registry import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]
