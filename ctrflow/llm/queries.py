@@ -6,6 +6,8 @@ from ctrflow.llm import (  # noqa: F401
     quality,
     secrets_query,
     sharding,
+    similarity,
+
     tokenization,
 )
 from ctrflow.llm.registry import ORACLES, QUERIES
