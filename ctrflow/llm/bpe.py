@@ -12,7 +12,8 @@ from __future__ import annotations
 import base64
 import hashlib
 import heapq
-from collections import defaultdict
+import itertools
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -21,8 +22,10 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-#: Words kept by a task, words per replay, and the longest word that is kept (characters).
-KEPT_WORDS, REPLAY_WORDS, KEPT_LENGTH = 300_000, 200_000, 64
+#: Distinct words kept by a worker, new ones per replay, words of texts held at a time (as numbers).
+KEPT_WORDS, NEW_WORDS, HELD_WORDS = 400_000, 250_000, 8_000_000
+#: Characters of a text beyond which its words are taken some at a time.
+LONG_TEXT = 4_000_000
 
 NONE = np.iinfo(np.int64).max
 
@@ -73,26 +76,46 @@ class Replay:
         rank = np.full(n, NONE, np.int64)
         inner = np.flatnonzero(right >= 0)
         rank[inner] = self.pair_ranks(token[inner], token[inner + 1])
-        index: dict[int, list[int]] = defaultdict(list)
-        order = inner[np.argsort(rank[inner], kind="stable")]
-        order = order[rank[order] != NONE]
-        found, first = np.unique(rank[order], return_index=True)
-        for r, a, b in zip(found.tolist(), first.tolist(), [*first[1:].tolist(), len(order)]):
-            index[r] = order[a:b].tolist()
-        heap = sorted(index)
+        # positions by rank: single ones, and arrays of them
+        index: dict[int, tuple[list[int], list[np.ndarray]]] = {}
+        heap: list[int] = []
+
+        def enter(ranks: np.ndarray, places: np.ndarray) -> None:
+            if len(ranks) < 16:
+                for k, at in zip(ranks.tolist(), places.tolist()):
+                    if k not in index:
+                        index[k] = ([], [])
+                        heapq.heappush(heap, k)
+                    index[k][0].append(at)
+                return
+            order = np.argsort(ranks, kind="stable")
+            ranks, places = ranks[order], places[order]
+            cuts = np.flatnonzero(ranks[1:] != ranks[:-1]) + 1
+            starts = [0, *cuts.tolist()]
+            for k, a, b in zip(ranks[starts].tolist(), starts, [*starts[1:], len(ranks)]):
+                if k not in index:
+                    index[k] = ([], [])
+                    heapq.heappush(heap, k)
+                index[k][1].append(places[a:b])
+
+        some = inner[rank[inner] != NONE]
+        enter(rank[some], some)
         while heap:
             r = heapq.heappop(heap)
-            places = np.unique(np.array(index.pop(r, []), np.int64))
-            p = places[rank[places] == r]
-            if not len(p):
+            single, arrays = index.pop(r)
+            p = np.concatenate([np.array(single, np.int64), *arrays]) if arrays else np.array(single, np.int64)
+            p = p[rank[p] == r]
+            if len(p) > 1:
+                p.sort()
+                p = p[np.concatenate(([True], p[1:] != p[:-1]))]
+            elif not len(p):
                 continue
             if r in self.unsafe:
                 # the new token may enable a merge of lower rank: one place per word at a time
                 head = np.ones(len(p), bool)
                 head[1:] = word[p[1:]] != word[p[:-1]]
                 if not head.all():
-                    index[r] = p[~head].tolist()
-                    heapq.heappush(heap, r)
+                    enter(np.full(len(p) - int(head.sum()), r), p[~head])
                     p = p[head]
             elif len(p) > 1:
                 # of places that overlap (a a a), every other one, from the left
@@ -117,45 +140,56 @@ class Replay:
             new[has] = self.pair_ranks(token[touched[has]], token[other[has]])
             rank[touched] = new
             some = new != NONE
-            for k, at in zip(new[some].tolist(), touched[some].tolist()):
-                if k not in index:
-                    heapq.heappush(heap, k)
-                index[k].append(at)
+            enter(new[some], touched[some])
         counts = np.bincount(word[alive], minlength=len(words))
         return token[alive], np.cumsum(counts)
 
 
+class _Codes(dict):
+    """Numbers for words, given on first sight."""
+
+    def __missing__(self, word: str) -> int:
+        self[word] = n = len(self)
+        return n
+
+
 class WordTable:
-    """Words with their ids as text, ids as bytes, and the bytes that the ids decode to."""
+    """Words by number, with the count and text of their ids, the ids as bytes, and what the ids decode to."""
 
     def __init__(self, ranks: dict[bytes, int]):
         self.replay = Replay(ranks)
-        self.known: dict[str, tuple[int, str, bytes, bytes]] = {}
-
-    def add(self, words: set[str]) -> dict[str, tuple[int, str, bytes, bytes]]:
-        """A table that holds all the given words."""
-        if len(self.known) > KEPT_WORDS:
-            self.known = {}
-        new = [w for w in words if w not in self.known]
-        raw = [w.encode("utf-8") for w in new]
+        self.clear()
+
+    def clear(self) -> None:
+        self.codes = _Codes()
+        self.counts: list[int] = []
+        self.texts: list[str] = []
+        self.packed: list[bytes] = []
+        self.decoded: list[bytes] = []
+
+    def fill(self) -> None:
+        """Encode the words that have a number but no ids yet."""
+        new = [w.encode("utf-8") for w in itertools.islice(self.codes, len(self.counts), None)]
         ranks, token = self.replay.ranks, self.replay.token
-        more = {}
-        split = []
-        for w, b in zip(new, raw):
-            if b in ranks:
-                more[w] = (1, str(ranks[b]), np.int32(ranks[b]).tobytes(), token[ranks[b]])
-            else:
-                split.append((w, b))
-        flat, ends = self.replay.encode([b for _, b in split])
+        # a word that is a token needs no merges
+        flat, ends = self.replay.encode([w for w in new if w not in ranks])
         ids, packed = flat.tolist(), flat.astype(np.int32).tobytes()
-        texts, pieces, a = list(map(str, ids)), [token[i] for i in ids], 0
-        for (w, _), b in zip(split, ends.tolist()):
-            more[w] = (b - a, ",".join(texts[a:b]), packed[4 * a : 4 * b], b"".join(pieces[a:b]))
-            a = b
-        self.known.update((w, x) for w, x in more.items() if len(w) <= KEPT_LENGTH)
-        if all(len(w) <= KEPT_LENGTH for w in words):
-            return self.known
-        return {**{w: self.known[w] for w in words if w in self.known}, **more}
+        texts, pieces, ends = list(map(str, ids)), [token[i] for i in ids], iter(ends.tolist())
+        a = 0
+        for w in new:
+            if w in ranks:
+                i = ranks[w]
+                self.counts.append(1)
+                self.texts.append(str(i))
+                self.packed.append(i.to_bytes(4, "little"))
+                self.decoded.append(token[i])
+            else:
+                b = next(ends)
+                self.counts.append(b - a)
+                self.texts.append(",".join(texts[a:b]))
+                self.packed.append(packed[4 * a : 4 * b])
+                self.decoded.append(b"".join(pieces[a:b]))
+                a = b
 
 
 _TABLES: dict[str, WordTable] = {}
@@ -173,15 +207,49 @@ class _Document:
         self.n, self.ids, self.text = 0, hashlib.sha256(), hashlib.sha256()
         self.parts: list[bytes] | None = [] if keep_ids else None
 
-    def add(self, words: list[str], known) -> None:
-        found = [known[w] for w in words]
-        if self.n and found:
+    def add(self, codes: array, table: WordTable) -> None:
+        if self.n and codes:
             self.ids.update(b",")
-        self.ids.update(",".join([f[1] for f in found]).encode())
-        self.text.update(b"".join([f[3] for f in found]))
-        self.n += sum([f[0] for f in found])
+        self.ids.update(",".join([table.texts[c] for c in codes]).encode())
+        self.text.update(b"".join([table.decoded[c] for c in codes]))
+        self.n += sum([table.counts[c] for c in codes])
         if self.parts is not None:
-            self.parts.append(b"".join([f[2] for f in found]))
+            self.parts.append(b"".join([table.packed[c] for c in codes]))
+
+
+def _runs(pattern, text: str) -> Iterator[list[str]]:
+    """The matches in a text, some at a time if it is long."""
+    if len(text) <= LONG_TEXT:
+        yield pattern.findall(text)
+        return
+    matches = (m[0] for m in pattern.finditer(text))
+    while some := list(itertools.islice(matches, LONG_TEXT // 8)):
+        yield some
+
+
+def _encoded(texts: Iterator[str | None], table: WordTable, pattern, keep_ids: bool) -> list[_Document]:
+    done: list[_Document] = []
+    held: list[tuple[_Document, array]] = []
+    n = 0
+
+    def flush() -> None:
+        table.fill()
+        for document, codes in held:
+            document.add(codes, table)
+        held.clear()
+        if len(table.codes) > KEPT_WORDS:
+            table.clear()
+
+    for text in texts:
+        done.append(_Document(keep_ids))
+        for words in _runs(pattern, text or ""):
+            held.append((done[-1], array("I", map(table.codes.__getitem__, words))))
+            n += len(words)
+            if n >= HELD_WORDS or len(table.codes) - len(table.counts) >= NEW_WORDS:
+                flush()
+                n = 0
+    flush()
+    return done
 
 
 def encode(
@@ -218,41 +286,20 @@ def encode(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = _word_table(shared.value, name)
-        find = regex.compile(pattern).finditer
-
-        def flush(held, done):
-            known = table.add({w for _, words in held for w in words})
-            for at, words in held:
-                done[at].add(words, known)
-
+        words = regex.compile(pattern)
         for batch in batches:
-            column = batch.column(names[text])
-            for start in range(0, batch.num_rows, 512):
-                part = column.slice(start, 512)
-                done = [_Document(with_ids) for _ in range(len(part))]
-                held, n = [], 0
-                for at in range(len(part)):
-                    words: list[str] = []
-                    for match in find(part[at].as_py() or ""):
-                        words.append(match[0])
-                        if n + len(words) >= REPLAY_WORDS:
-                            held.append((at, words))
-                            flush(held, done)
-                            words, held, n = [], [], 0
-                    held.append((at, words))
-                    n += len(words)
-                flush(held, done)
-                arrays = [batch.column(names[c]).slice(start, 512) for c in keep]
-                arrays += [
-                    pa.array([d.n for d in done], pa.int64()),
-                    pa.array([d.ids.hexdigest() for d in done], pa.string()),
-                    pa.array([d.text.hexdigest() for d in done], pa.string()),
-                ]
-                if with_ids:
-                    ends = np.cumsum([0, *[d.n for d in done]])
-                    flat = np.frombuffer(b"".join([b"".join(d.parts) for d in done]), np.int32)
-                    arrays.append(pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat)))
-                yield pa.RecordBatch.from_arrays(arrays, [*keep, *added])
+            done = _encoded((t.as_py() for t in batch.column(names[text])), table, words, with_ids)
+            arrays = [batch.column(names[c]) for c in keep]
+            arrays += [
+                pa.array([d.n for d in done], pa.int64()),
+                pa.array([d.ids.hexdigest() for d in done], pa.string()),
+                pa.array([d.text.hexdigest() for d in done], pa.string()),
+            ]
+            if with_ids:
+                ends = np.cumsum([0, *[d.n for d in done]])
+                flat = np.frombuffer(b"".join([b"".join(d.parts) for d in done]), np.int32)
+                arrays.append(pa.LargeListArray.from_arrays(pa.array(ends, pa.int64()), pa.array(flat)).cast(pa.list_(pa.int32())))
+            yield pa.RecordBatch.from_arrays(arrays, [*keep, *added])
 
     needed = list(dict.fromkeys([*keep, text]))
     names = {c: i for i, c in enumerate(needed)}
