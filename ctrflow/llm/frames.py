@@ -52,6 +52,18 @@ def prefix_sums(lengths: Column) -> Column:
     return let(lengths, from_blocks)
 
 
+def shielded(docs: DataFrame, keep: list[str], text: str) -> tuple[DataFrame, list[str], list[Column]]:
+    """``docs`` with its kept columns under names that clash with nothing, the text as ``__t``.
+
+    Also those names, and the columns under which they get their own names back.
+    """
+    names = [f"__k{i}" for i in range(len(keep))]
+    frame = docs.select(
+        *[docs[f"`{c}`"].alias(n) for c, n in zip(keep, names)], docs[f"`{text}`"].alias("__t")
+    )
+    return frame, names, [F.col(n).alias(c) for c, n in zip(keep, names)]
+
+
 def crc_mod(doc_id: Column | str, n: int) -> Column:
     """The remainder of the CRC-32 of an id written as text; null ids count as empty text."""
     text = F.coalesce(F.col(doc_id) if isinstance(doc_id, str) else doc_id, F.lit(None)).cast("string")

@@ -159,16 +159,16 @@ def link_groups(
     docs: DataFrame, text: str = "text", keep: list[str] | None = None, n: int = 5,
     threshold: Fraction = Fraction(4, 5), name: str = "doc_id",
 ) -> DataFrame:
-    """Add ``n_shingles`` and ``component_id`` to every row (and ``id``, a hash of its set).
+    """Add ``n_shingles``, ``component_id``, ``grp`` (a number of the component) and ``key`` (a hash of the text).
 
     Words are whatever stands between blanks, A-Z as a-z; a set holds the distinct runs of ``n`` words,
     or the whole sequence if it is shorter. Rows are linked if shared / united >= ``threshold``; a
     component is named by the least ``name`` that links lead to (null if there is none but null). Null and
     empty texts, and texts without words, have empty sets and are linked with nothing. Equal texts
     and repeated rows are linked. Sets are told apart by 64-bit hashes. ``keep`` names the columns that
-    stay besides ``name`` (default: all).
+    stay besides ``name`` (default: all). A row with an empty set has a null ``grp``.
     """
-    added = ["n_shingles", "component_id", "id"]
+    added = ["n_shingles", "component_id", "grp", "key"]
     keep = [c for c in dict.fromkeys([name, *(docs.columns if keep is None else keep)]) if c not in added]
     inner = {c: f"c{i}" for i, c in enumerate(keep)}
     renamed = docs.select(
@@ -242,17 +242,35 @@ def link_groups(
     least = tied.groupBy("component").agg(F.min("least").alias("named"))
     named = tied.select("id", "component").join(least, "component").select("id", "named", "component")
     result = classes.join(named, "id", "left").select(
-        F.col("id").alias("__id"), F.coalesce("named", "least").alias("named")
+        F.col("id").alias("__id"), F.coalesce("named", "least").alias("named"), F.coalesce("component", "id").alias("grp")
     )
     columns = [F.col(i).alias(c) for c, i in inner.items()]
+    counted = F.col("size").alias("n_shingles")
     alone = signed.where("size = 0").select(
-        *columns, F.col("size").alias("n_shingles"), F.col(label).alias("component_id"), "id"
+        *columns, counted, F.col(label).alias("component_id"), F.lit(None).cast("bigint").alias("grp"), "key"
     )
     return signed.where("size > 0").join(result, F.col("id") == F.col("__id")).select(
-        *columns, F.col("size").alias("n_shingles"), F.col("named").alias("component_id"), "id"
+        *columns, counted, F.col("named").alias("component_id"), "grp", "key"
     ).unionByName(alone)
 
 
+def one_of_each(docs: DataFrame, text: str = "text", name: str = "doc_id", **how) -> DataFrame:
+    """The rows of ``docs`` without near duplicates: of each component the row with the least ``name``.
+
+    Null names come last, ties go by a hash of the text, and of repeated rows one stays. Rows with empty sets all
+    stay. ``how`` is passed on to ``link_groups``.
+    """
+    blank = docs[f"`{text}`"].isNull() | ~F.rlike(docs[f"`{text}`"], F.lit(r"[^\x20\x09-\x0D]"))
+    some = docs.where(~blank)
+    found = link_groups(docs, text, [name], name=name, **how).where("n_shingles > 0")
+    first = F.min(F.struct(F.col(name).isNull().alias("no"), F.col(name).alias("name"), "key"))
+    stays = found.groupBy("grp").agg(first.alias("s")).select(F.col("s.name").alias("__name"), F.col("s.key").alias("__key"))
+    chosen = some.withColumn("__own", F.xxhash64(some[f"`{text}`"])).join(
+        stays, F.col(name).eqNullSafe(F.col("__name")) & (F.col("__own") == F.col("__key")), "left_semi"
+    )
+    return chosen.dropDuplicates([name, "__own"]).drop("__own").unionByName(docs.where(blank))
+
+
 def _sharing(found: DataFrame, signed: DataFrame, slack) -> DataFrame:
     """Candidates that share as many prefix elements as the longer prefixes ask for."""
     found = materialize(found, "found")

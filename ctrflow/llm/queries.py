@@ -3,11 +3,13 @@
 from ctrflow.llm import (  # noqa: F401
     decontamination,
     language,
+    licence_query,
+    nearest,
     quality,
     secrets_query,
     sharding,
     similarity,
-
+    substrings,
     tokenization,
 )
 from ctrflow.llm.registry import ORACLES, QUERIES

@@ -14,7 +14,7 @@ from operator import or_
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ctrflow.llm.frames import let, prefix_sums
+from ctrflow.llm.frames import let, prefix_sums, shielded
 from ctrflow.scratch import materialize
 
 
@@ -107,7 +107,8 @@ def find(docs: DataFrame, text: str = "text", keep: list[str] | None = None, sco
     """
     added = ["strong", "spans"]
     keep = [c for c in (docs.columns if keep is None else keep) if c not in added]
-    source = F.coalesce(docs[f"`{text}`"], F.lit(""))
+    docs, names, own = shielded(docs, keep, text)
+    source = F.coalesce("__t", F.lit(""))
 
     def hinted(kind: str) -> Column:
         if kind not in HINTS:
@@ -120,7 +121,7 @@ def find(docs: DataFrame, text: str = "text", keep: list[str] | None = None, sco
     found = {k: hinted(k) for k in KINDS}
     scanned = materialize(
         docs.select(
-            *[docs[f"`{c}`"] for c in keep],
+            *names,
             F.sort_array(F.concat(*[found[k] for k in STRONG])).alias("strong"),
             F.concat(*[found[k] for k in WEAK]).alias("__weak"),
             F.sha2(source, 256).alias("__text"),
@@ -139,7 +140,7 @@ def find(docs: DataFrame, text: str = "text", keep: list[str] | None = None, sco
         "spans",
         F.sort_array(F.concat("strong", F.coalesce("__more", F.array().cast(_NO_SPANS)))),
     )
-    return alone.select(*keep, *added).unionByName(joined.select(*keep, *added))
+    return alone.select(*own, *added).unionByName(joined.select(*own, *added))
 
 
 def _counting(parts: DataFrame, scope: int) -> DataFrame:

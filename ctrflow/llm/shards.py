@@ -12,6 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ctrflow.llm.frames import shielded
 from ctrflow.operators.order import dense_seq
 from ctrflow.scratch import local_table, materialize
 
@@ -148,15 +149,16 @@ def shard_documents(docs: DataFrame, shards: int = 24, text: str = "text", keep:
     """
     added = ["size", "text_crc32", "shard", "slot"]
     keep = [c for c in (docs.columns if keep is None else keep) if c not in added]
-    source = F.coalesce(docs[f"`{text}`"], F.lit(""))
+    docs, names, own = shielded(docs, keep, text)
+    source = F.coalesce("__t", F.lit(""))
     rows = materialize(
         docs.select(
-            *[docs[f"`{c}`"] for c in keep],
+            *names,
             (F.octet_length(source) + 8).cast("bigint").alias("size"),
             F.crc32(source.cast("binary")).alias("text_crc32"),
-            F.sha2(docs[f"`{text}`"], 256).alias("__hub"),
+            F.sha2("__t", 256).alias("__hub"),
             F.monotonically_increasing_id().alias("__node"),
         ),
         "rows",
     )
-    return assign(rows, shards, node="__node", hub="__hub").select(*keep, *added)
+    return assign(rows, shards, node="__node", hub="__hub").select(*own, *added)

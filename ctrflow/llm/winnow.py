@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ctrflow.llm.frames import let
+from ctrflow.llm.frames import let, shielded
 from ctrflow.scratch import materialize
 
 #: Consecutive words that count as contamination, and words of a hashed k-gram at most.
@@ -77,7 +77,8 @@ def contamination(
     """
     added = ["n_words", "n_hit", "n_items", "items", "contaminated"]
     keep = [c for c in (docs.columns if keep is None else keep) if c not in added]
-    source = F.coalesce(docs[f"`{text}`"], F.lit(""))
+    docs, names, own = shielded(docs, keep, text)
+    source = F.coalesce("__t", F.lit(""))
     items = materialize(
         benchmark.select(
             F.coalesce(benchmark[f"`{item}`"].cast("string"), F.lit("")).alias("item"),
@@ -87,7 +88,7 @@ def contamination(
         "items",
     )
     base = docs.select(
-        *[docs[f"`{c}`"] for c in keep],
+        *names,
         F.sha2(source, 256).alias("__text"),
         F.size(words(source)).cast("bigint").alias("n_words"),
     )
@@ -95,7 +96,7 @@ def contamination(
     none = F.array().cast("array<string>")
     if shortest is None:
         return base.select(
-            *keep, "n_words", F.lit(0).cast("bigint").alias("n_hit"), F.lit(0).cast("bigint").alias("n_items"),
+            *own, "n_words", F.lit(0).cast("bigint").alias("n_hit"), F.lit(0).cast("bigint").alias("n_items"),
             none.alias("items"), F.lit(False).alias("contaminated"),
         )
     span = min(window, shortest)
@@ -143,7 +144,7 @@ def contamination(
     out = base.join(result, F.col("__text") == F.col("__found"), "left")
     n_hit = F.coalesce("hit", F.lit(0).cast("bigint"))
     return out.select(
-        *keep, "n_words", n_hit.alias("n_hit"),
+        *own, "n_words", n_hit.alias("n_hit"),
         F.coalesce(F.size("named"), F.lit(0)).cast("bigint").alias("n_items"),
         F.coalesce("named", none).alias("items"),
         ((n_hit > 0) & (n_hit * 20 >= F.col("n_words"))).alias("contaminated"),
