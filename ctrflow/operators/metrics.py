@@ -6,6 +6,8 @@ from collections.abc import Sequence
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -49,7 +51,7 @@ def roc_auc(df: DataFrame, y: str, p: str) -> DataFrame:
     score, label = F.col(p).cast("double"), F.col(y).cast("double")
     # -0.0 and 0.0 are the same score
     per_score = (
-        df.where(label.isNotNull() & score.isNotNull() & ~F.isnan(score))
+        df.where(label.isNotNull() & ~F.isnan(label) & score.isNotNull() & ~F.isnan(score))
         .select((score + F.lit(0.0)).alias("score"), label.alias("y"))
         .groupBy("score")
         .agg(
@@ -107,17 +109,22 @@ def rolling_auc(
         ]
     )
 
-    def one_block(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("__seq", ignore_index=True)
-        segment = pdf.groupby(keys, sort=False, dropna=False).ngroup().to_numpy() if keys else None
-        labels, scores = (pd.to_numeric(pdf[c]).to_numpy(dtype=float, na_value=np.nan) for c in (y, p))
+    def one_block(part: pa.Table) -> pa.Table:
+        # as Arrow, so that carried columns come back as they are
+        part = part.take(pc.sort_indices(part.column("__seq")))
+        segment = None
+        if keys:
+            pdf = part.select(keys).to_pandas(types_mapper=pd.ArrowDtype)
+            segment = pdf.groupby(keys, sort=False, dropna=False).ngroup().to_numpy()
+        labels, scores = (
+            pc.fill_null(part.column(c).cast(pa.float64()), float("nan")).to_numpy() for c in (y, p)
+        )
         auc, size = _rolling(labels, scores, n, segment)
-        mine = (pdf["__home"] == pdf["__block"]).to_numpy()
-        out = pdf.loc[mine, names].copy()
-        out["rolling_auc"], out["in_window"] = auc[mine], size[mine]
-        return out
+        mine = pc.equal(part.column("__home"), part.column("__block")).to_numpy()
+        out = part.select(names).filter(pa.array(mine))
+        return out.append_column("rolling_auc", pa.array(auc[mine])).append_column("in_window", pa.array(size[mine]))
 
-    out = blocks.groupBy("__block").applyInPandas(one_block, schema)
+    out = blocks.groupBy("__block").applyInArrow(one_block, schema)
     return out.withColumn("rolling_auc", F.nanvl("rolling_auc", F.lit(None).cast("double")))
 
 

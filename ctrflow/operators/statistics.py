@@ -227,18 +227,28 @@ def stats_numeric(df: DataFrame, columns: Sequence[str], sketch: bool = False) -
 
 
 def bin_of(value: Column, lo: Column, hi: Column, bins: int) -> Column:
-    """Equal-width bin of a value; the last one is closed, and all is bin 0 if lo = hi."""
-    return F.when(hi <= lo, F.lit(0)).otherwise(
-        F.least(F.lit(bins - 1), F.floor((value - lo) / (hi - lo) * bins))
-    ).cast("int")
+    """Equal-width bin of a value; the last one is closed, and all is bin 0 if lo = hi.
+
+    Values outside, infinite ones too, are in the first or last bin.
+    """
+    last = F.lit(bins - 1)
+    inner = F.least(last, F.floor((value - lo) / (hi - lo) * bins))
+    return F.when((hi <= lo) | (value <= lo), F.lit(0)).when(value >= hi, last).otherwise(inner).cast("int")
 
 
 Ranges = dict[str, tuple[float, float]]
 
 
 def value_ranges(df: DataFrame, columns: Sequence[str]) -> Ranges:
-    """Least and greatest value per feature, brought to the driver: two numbers a column."""
-    found = _per_feature(df, columns, {k: _numeric(df)[k] for k in ("min", "max")})
+    """Least and greatest finite value per feature, brought to the driver: two numbers a column."""
+
+    def finite(c):
+        value = _present(df, c).cast("double")
+        return F.when(F.abs(value) < float("inf"), value)
+
+    found = _per_feature(
+        df, columns, {"min": (lambda c: F.min(finite(c)), "double"), "max": (lambda c: F.max(finite(c)), "double")}
+    )
     return {r.feature: (r.min, r.max) for r in found.collect() if r.min is not None}
 
 

@@ -154,12 +154,13 @@ class LogOp(Step):
 
 @dataclass
 class HashBucket(Step):
-    """Hash a category into one of ``n`` buckets."""
+    """Hash a category into one of the buckets 0 to ``n - 1``; missing values have bucket ``n`` to themselves."""
 
     n: int = 1024
 
     def apply(self, col, state):
-        return F.pmod(F.xxhash64(col), F.lit(self.n)).cast("bigint")
+        bucket = F.pmod(F.xxhash64(col), F.lit(self.n)).cast("bigint")
+        return F.when(col.isNull(), F.lit(self.n).cast("bigint")).otherwise(bucket)
 
     def params(self):
         return {"n": self.n}

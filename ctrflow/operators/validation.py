@@ -5,36 +5,27 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-MAX_DOMAIN = 100
+def infer_schema(stats: DataFrame) -> DataFrame:
+    """``(feature, type, min_presence, jsd_threshold)`` from ``feature, type, presence``."""
+    return stats.select(
+        "feature", "type", F.col("presence").alias("min_presence"), F.lit(None).cast("double").alias("jsd_threshold")
+    )
 
 
-def infer_schema(
-    stats: DataFrame, counts: DataFrame | None = None, max_domain: int = MAX_DOMAIN
-) -> DataFrame:
-    """``(feature, type, min_presence, domain, jsd_threshold)`` from feature statistics.
+def infer_domain(counts: DataFrame) -> DataFrame:
+    """``(feature, value)``: every value of every string feature, from ``feature, value, count``."""
+    return counts.select("feature", "value").distinct()
 
-    ``stats`` needs ``feature, type, presence``. The domain is listed for string features
-    with at most ``max_domain`` values in ``counts`` (feature, value, count), so no
-    collected set is larger than that.
-    """
-    schema = stats.select("feature", "type", F.col("presence").alias("min_presence"))
-    if counts is not None:
-        few = (
-            counts.groupBy("feature")
-            .agg(F.count(F.lit(1)).alias("n_unique"))
-            .where(F.col("n_unique") <= max_domain)
-            .select("feature")
-        )
-        # one row per feature at most: a schema is as wide as the table
-        domains = (
-            counts.join(F.broadcast(few), "feature", "left_semi")
-            .groupBy("feature")
-            .agg(F.array_sort(F.collect_set("value")).alias("domain"))
-        )
-        schema = schema.join(domains, "feature", "left")
-    else:
-        schema = schema.withColumn("domain", F.lit(None).cast("array<string>"))
-    return schema.withColumn("jsd_threshold", F.lit(None).cast("double"))
+
+def listed_domain(schema: DataFrame, domain: DataFrame, at_most: int = 100) -> DataFrame:
+    """For display only: adds ``domain``, the sorted values of features that have few of them."""
+    few = domain.groupBy("feature").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") <= at_most)
+    listed = (
+        domain.join(F.broadcast(few.select("feature")), "feature", "left_semi")
+        .groupBy("feature")
+        .agg(F.array_sort(F.collect_set("value")).alias("domain"))
+    )
+    return schema.join(listed, "feature", "left")
 
 
 def with_threshold(schema: DataFrame, feature: str, jsd: float) -> DataFrame:
@@ -44,19 +35,20 @@ def with_threshold(schema: DataFrame, feature: str, jsd: float) -> DataFrame:
     )
 
 
-def out_of_domain(counts: DataFrame, schema: DataFrame) -> DataFrame:
-    """Values outside their feature's domain: ``(feature, n_values, n_rows)``."""
-    domains = schema.where("domain is not null").select("feature", "domain")
+def out_of_domain(counts: DataFrame, domain: DataFrame) -> DataFrame:
+    """Values outside their feature's domain, of any size: ``(feature, n_values, n_rows)``."""
+    # one row per feature: a schema is as wide as the table
+    known = F.broadcast(domain.select("feature").distinct())
     return (
-        counts.join(F.broadcast(domains), "feature")
-        .where(~F.array_contains("domain", F.col("value")))
+        counts.join(known, "feature", "left_semi")
+        .join(domain, ["feature", "value"], "left_anti")
         .groupBy("feature")
         .agg(F.count(F.lit(1)).alias("n_values"), F.sum("count").alias("n_rows"))
     )
 
 
 def validate(
-    stats: DataFrame, schema: DataFrame, counts: DataFrame | None = None
+    stats: DataFrame, schema: DataFrame, counts: DataFrame | None = None, domain: DataFrame | None = None
 ) -> DataFrame:
     """Anomalies ``(feature, anomaly)`` of new statistics against a schema.
 
@@ -73,9 +65,9 @@ def validate(
         F.when(F.col("presence") < F.col("min_presence"), F.lit("presence_low")),
     )
     found = both.select("feature", F.explode(F.array_compact(checks)).alias("anomaly"))
-    if counts is not None:
+    if counts is not None and domain is not None:
         found = found.unionByName(
-            out_of_domain(counts, schema).select("feature", F.lit("out_of_domain").alias("anomaly"))
+            out_of_domain(counts, domain).select("feature", F.lit("out_of_domain").alias("anomaly"))
         )
     return found
 

@@ -139,12 +139,12 @@ def broadcastable(sizes: dict[str, VocabSize], limits: LookupLimits) -> set[str]
     return chosen
 
 
-def with_spread(df: DataFrame) -> DataFrame:
-    """Add a number that spreads rows evenly: a hash of the row and, so that copies spread
+def with_spread(df: DataFrame, columns: list[str]) -> DataFrame:
+    """Add a number that spreads rows evenly: a hash of the given columns (those that are read anyway) and, so that copies spread
     too, of the input partition. It depends on nothing that a second run of a task changes.
     """
     part = [] if df.isStreaming else [F.spark_partition_id()]
-    return df.withColumn(SPREAD, F.xxhash64(*df.columns, *part))
+    return df.withColumn(SPREAD, F.xxhash64(*columns, *part))
 
 
 def lookup(

@@ -105,7 +105,8 @@ class FittedWorkflow:
         small = vocabulary.broadcastable(self.sizes, self.limits)
         shuffled = set(self.sizes) - small
         if shuffled:
-            df = vocabulary.with_spread(df)
+            used = [c for i, b in enumerate(self.branches) if only is None or only[i] for c in b.columns]
+            df = vocabulary.with_spread(df, list(dict.fromkeys([*keep, *used])))
         outputs = []
         for index, (branch, end) in enumerate(zip(self.branches, upto)):
             if only is not None and not only[index]:

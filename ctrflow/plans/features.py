@@ -36,8 +36,7 @@ from ctrflow.sources.sinks import to_events, typed_features, write_features
 
 KEY = ", ".join(ROW_KEY)
 CONTS, CATS = CLICKS.conts, CLICKS.cats
-TRAIN = f"day >= 0 and day < {N_TRAIN}"
-VALID = f"day >= {N_TRAIN} and day < {N_TRAIN + N_VAL}"
+TRAIN = f"day < {N_TRAIN}"
 
 
 def _filled(c: str) -> str:
@@ -69,8 +68,8 @@ def _z(c: str) -> str:
     return f"case when s_{c} > 0 then ({x}) / s_{c} else {x} end"
 
 
-def _sql_transformed(where: str, code: str = "code") -> str:
-    """Rows under ``where``, transformed by the state of the training days."""
+def _sql_transformed(code: str = "code") -> str:
+    """All rows, transformed by the state of the training days."""
     joins = " ".join(
         f"left join vocab v_{c} on v_{c}.col = '{c}' and v_{c}.val = k.{c}" for c in CATS
     )
@@ -83,7 +82,7 @@ def _sql_transformed(where: str, code: str = "code") -> str:
         "k as (select * exclude (l_extendedprice), l_extendedprice as price from clicks)",
         body=f"""select l_orderkey, l_linenumber, l_partkey, l_suppkey, price as l_extendedprice,
           {cats}, {conts}, cast(label as double) as label
-        from k cross join moments {joins} where {where}""",
+        from k cross join moments {joins}""",
     )
 
 
@@ -119,13 +118,14 @@ def concat_groups(spark, sf):
     "split_features_label",
     with_sql(
         SQL_CLICKS,
-        body=f"""select {KEY}, a.i2, a.c3, b.label from clicks a
-          join clicks b using ({KEY})""",
+        body=f"select {KEY}, {', '.join([*CONTS, *CATS])}, label from clicks",
     ),
 )
 def split_features_label(spark, sf):
     features, label = ops.split_features_label(clicks(spark, sf), CLICKS)
-    return features.join(label, list(ROW_KEY)).select(*ROW_KEY, "i2", "c3", "label")
+    return features.join(label, list(ROW_KEY)).select(
+        *ROW_KEY, *CONTS, *CATS, "label"
+    )
 
 
 @query(
@@ -150,7 +150,7 @@ SQL_NUMERIC_CATS = (
 )
 
 
-def _numeric_clicks(spark, sf):
+def numeric_clicks(spark, sf):
     """Clicks whose categories are whole numbers, as in scoring requests."""
     return clicks(spark, sf).select(
         *ROW_KEY, "label", *CONTS,
@@ -172,7 +172,7 @@ EVENT_SCHEMA = type(CLICKS)(conts=CONTS, cats=("c1", "c2"), key=ROW_KEY)
 )
 def pack_event(spark, sf):
     event = ops.pack_event(CONTS, ["c1", "c2"], "label", "predval")
-    packed = _numeric_clicks(spark, sf).select(*ROW_KEY, event.alias("e"))
+    packed = numeric_clicks(spark, sf).select(*ROW_KEY, event.alias("e"))
     return packed.select(
         *ROW_KEY,
         F.coalesce(F.col("e.input0")[0], F.lit(-1.0)).alias("first_real"),
@@ -194,14 +194,14 @@ SQL_UNPACKED = with_sql(
 @query("unpack_event", SQL_UNPACKED)
 def unpack_event(spark, sf):
     event = ops.pack_event(CONTS, ["c1", "c2"], "label", "predval")
-    packed = _numeric_clicks(spark, sf).select(*ROW_KEY, event.alias("e")).select(*ROW_KEY, "e.*")
+    packed = numeric_clicks(spark, sf).select(*ROW_KEY, event.alias("e")).select(*ROW_KEY, "e.*")
     return ops.unpack_event(packed, EVENT_SCHEMA, ROW_KEY)
 
 
 @query("sink_events", SQL_UNPACKED)
 def sink_events(spark, sf):
     """Encode as JSON, decode again, unpack."""
-    messages = to_events(_numeric_clicks(spark, sf), EVENT_SCHEMA)
+    messages = to_events(numeric_clicks(spark, sf), EVENT_SCHEMA)
     return ops.unpack_event(ops.parse_events(messages), EVENT_SCHEMA, ROW_KEY)
 
 
@@ -256,17 +256,21 @@ def _columnwise(group):
     return run
 
 
-query("fill_missing", with_sql(SQL_CLICKS, body=f"select {KEY}, coalesce(i1, 0) as i1, i5 from clicks"))(
-    _columnwise(["i1", "i5"] >> FillMissing())
-)
+query(
+    "fill_missing",
+    with_sql(
+        SQL_CLICKS, body=f"select {KEY}, {', '.join(f'coalesce({c}, 0) as {c}' for c in CONTS)} from clicks"
+    ),
+)(_columnwise(CONTS >> FillMissing()))
 query(
     "clip",
     with_sql(
         SQL_CLICKS,
-        body=f"""select {KEY}, case when i5 is null then null else greatest(i5, 0) end as i5,
-          case when i1 is null then null else least(greatest(i1, 0), 30) end as i1 from clicks""",
+        body=f"""select {KEY}, case when i1 is null then null else least(greatest(i1, 0), 30) end as i1,
+          {', '.join(f'case when {c} is null then null else greatest({c}, 0) end as {c}' for c in CONTS[1:])}
+        from clicks""",
     ),
-)(_columnwise((["i5"] >> Clip(min_value=0.0)) + (["i1"] >> Clip(0.0, 30.0))))
+)(_columnwise((CONTS[:1] >> Clip(0.0, 30.0)) + (CONTS[1:] >> Clip(min_value=0.0))))
 query(
     "log_op",
     with_sql(SQL_CLICKS, body=f"select {KEY}, {sql_round('ln(1 + i2)')} as i2 from clicks"),
@@ -284,7 +288,40 @@ query(
         "i2",
     )
 )
-query("hash_bucket")(_columnwise(["c3", "c7"] >> HashBucket(64)))
+
+
+@query(
+    "hash_bucket",
+    with_sql(
+        SQL_CLICKS,
+        body=" union all ".join(
+            f"""select '{c}' as feature, count(*) as n, count(*) filter ({c} is null) as own_bucket,
+              count(distinct {c}) as n_values, true as one_each, true as in_range from clicks"""
+            for c in CATS
+        ),
+    ),
+)
+def hash_bucket(spark, sf):
+    """Per column: rows, those in the bucket of missing values, and whether each value has one bucket in range."""
+    buckets = 64
+    coded = FittedWorkflow((CATS >> HashBucket(buckets)).branches).transform(clicks(spark, sf), ROW_KEY)
+    both = clicks(spark, sf).select(*ROW_KEY, *[F.col(c).alias(f"raw_{c}") for c in CATS]).join(coded, list(ROW_KEY))
+    pairs = both.select(
+        F.explode(F.array(*[
+            F.struct(F.lit(c).alias("feature"), F.col(f"raw_{c}").alias("raw"), F.col(c).alias("bucket")) for c in CATS
+        ])).alias("x")
+    ).select("x.*")
+    per_value = pairs.groupBy("feature", "raw").agg(
+        F.count(F.lit(1)).alias("n"), F.min("bucket").alias("lo"), F.max("bucket").alias("hi")
+    )
+    missing = F.col("raw").isNull()
+    return per_value.groupBy("feature").agg(
+        F.sum("n").alias("n"),
+        F.sum(F.when(F.col("hi") == buckets, F.col("n")).otherwise(0)).alias("own_bucket"),
+        F.count("raw").alias("n_values"),
+        F.bool_and(F.col("lo") == F.col("hi")).alias("one_each"),
+        F.bool_and(F.when(missing, F.col("lo") == buckets).otherwise((F.col("lo") >= 0) & (F.col("hi") < buckets))).alias("in_range"),
+    )
 
 
 # --- 2.3 fitted transforms ----------------------------------------------------------------
@@ -314,13 +351,13 @@ def normalize_fit(spark, sf):
         SQL_CLICKS, SQL_MOMENTS,
         body=f"""select l_orderkey, l_linenumber, l_partkey, l_suppkey, l_extendedprice,
           {', '.join(f'{sql_round(_z(c))} as {c}' for c in CONTS)}
-        from clicks cross join moments where {VALID}""",
+        from clicks cross join moments""",
     ),
 )
 def normalize_transform(spark, sf):
     train, valid = _days(spark, sf)
     fitted = Workflow(CONTS >> FillMissing() >> Clip(min_value=0) >> Normalize()).fit(train)
-    return rounded(fitted.transform(valid, ROW_KEY), *CONTS)
+    return rounded(fitted.transform(train.unionByName(valid), ROW_KEY), *CONTS)
 
 
 @query(
@@ -349,22 +386,22 @@ def categorify_fit_freq(spark, sf):
     return fitted.vocab.select("column", "value", "code", "freq")
 
 
-def _sql_codes(names, where):
+def _sql_codes(names):
     joins = " ".join(f"left join vocab v_{c} on v_{c}.col = '{c}' and v_{c}.val = k.{c}" for c in names)
     codes = ", ".join(f"coalesce(v_{c}.code, 0) as {c}" for c in names)
     return with_sql(
         SQL_CLICKS, SQL_VOCAB, "k as (select * from clicks)",
-        body=f"select {KEY}, {codes} from k {joins} where {where}",
+        body=f"select {KEY}, {codes} from k {joins}",
     )
 
 
-@query("categorify_transform", _sql_codes(CATS, VALID))
+@query("categorify_transform", _sql_codes(CATS))
 def categorify_transform(spark, sf):
     train, valid = _days(spark, sf)
-    return Workflow(CATS >> Categorify()).fit(train).transform(valid, ROW_KEY)
+    return Workflow(CATS >> Categorify()).fit(train).transform(train.unionByName(valid), ROW_KEY)
 
 
-@query("join_vocab", _sql_codes(["c6", "c7"], "true"))
+@query("join_vocab", _sql_codes(["c6", "c7"]))
 def join_vocab(spark, sf):
     """Lookup by shuffle join, as for vocabularies too large to broadcast."""
     from ctrflow.operators.vocab import LookupLimits
@@ -399,7 +436,7 @@ def embedding_dim(spark, sf):
     return fit(spark, sf).embedding_sizes(spark).select("column", "dim")
 
 
-@query("workflow_compose", _sql_transformed(f"({TRAIN}) or ({VALID})"))
+@query("workflow_compose", _sql_transformed())
 def workflow_compose(spark, sf):
     train, valid = _days(spark, sf)
     fitted = workflow().fit(train)
@@ -424,19 +461,18 @@ def workflow_fit(spark, sf):
     return rounded(spark.createDataFrame(rows, "name string, mean double, n bigint"), "mean")
 
 
-@query("workflow_transform", _sql_transformed(VALID))
+@query("workflow_transform", _sql_transformed())
 def workflow_transform(spark, sf):
     train, valid = _days(spark, sf)
-    return _typed(workflow().fit(train).transform(valid, ROW_KEY))
+    return _typed(workflow().fit(train).transform(train.unionByName(valid), ROW_KEY))
 
 
-@query("workflow_transform_new", _sql_transformed("day >= 4"))
+@query("workflow_transform_new", _sql_transformed())
 def workflow_transform_new(spark, sf):
-    """Later days through a workflow that was saved and loaded again."""
+    """The table as it comes, not the staged days, through a workflow that was saved and loaded again."""
     path = new_path(spark, "workflow")
     fit(spark, sf).save(spark, path)
-    new = clicks(spark, sf).where("day >= 4")
-    return _typed(FittedWorkflow.load(spark, path).transform(new, ROW_KEY))
+    return _typed(FittedWorkflow.load(spark, path).transform(clicks(spark, sf), ROW_KEY))
 
 
 @query(
@@ -450,19 +486,20 @@ def save_workflow(spark, sf):
     return spark.read.parquet(f"{path}/vocab").select("column", "value", "code")
 
 
-@query("load_workflow", _sql_transformed(VALID))
+@query("load_workflow", _sql_transformed())
 def load_workflow(spark, sf):
     path = new_path(spark, "workflow")
     train, valid = _days(spark, sf)
     workflow().fit(train).save(spark, path)
-    return _typed(FittedWorkflow.load(spark, path).transform(valid, ROW_KEY))
+    return _typed(FittedWorkflow.load(spark, path).transform(train.unionByName(valid), ROW_KEY))
 
 
-@query("sink_features", _sql_transformed(TRAIN))
+@query("sink_features", _sql_transformed())
 def sink_features(spark, sf):
-    """Training rows as written, in shuffled order within partitions."""
-    train, _ = _days(spark, sf)
-    path = new_path(spark, "features")
-    out = workflow().fit(train).transform(train, ROW_KEY)
-    write_features(out, path, CLICKS, ROW_KEY, shuffle_seed=7, real="double")
-    return rounded(spark.read.parquet(path), *CONTS)
+    """Both parts as written, training rows in shuffled order within partitions."""
+    train, valid = _days(spark, sf)
+    fitted, path = workflow().fit(train), new_path(spark, "features")
+    for name, part, seed in (("train", train, 7), ("valid", valid, None)):
+        out = fitted.transform(part, ROW_KEY)
+        write_features(out, f"{path}/{name}", CLICKS, ROW_KEY, shuffle_seed=seed, real="double")
+    return rounded(spark.read.parquet(f"{path}/train", f"{path}/valid"), *CONTS)

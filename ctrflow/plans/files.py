@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from ctrflow.operators.sampling import head, sample_one_file
 from ctrflow.operators.statistics import feature_stats, load_stats, save_stats
-from ctrflow.plans.fixtures import ROW_KEY, SQL_CLICKS, clicks, table, with_sql
+from ctrflow.plans.fixtures import CLICKS, ROW_KEY, SQL_CLICKS, clicks, table, with_sql
 from ctrflow.plans.registry import query, rounded, sql_round
 from ctrflow.scratch import new_path
 from ctrflow.sources import scans, sinks
@@ -41,29 +41,25 @@ def _staged(spark, sf, name="orders"):
     return path
 
 
-ORDERS = "select o_orderkey, o_custkey, o_totalprice, o_orderpriority from orders"
-ORDER_COLS = ["o_orderkey", "o_custkey", "o_totalprice", "o_orderpriority"]
+ORDERS = "select * from orders"
 
 
 @query("scan_new_files", ORDERS)
 def scan_new_files(spark, sf):
-    return scans.scan_new(spark, _staged(spark, sf)).select(*ORDER_COLS)
+    return scans.scan_new(spark, _staged(spark, sf))
 
 
 @query("scan_parquet_files", ORDERS)
 def scan_parquet_files(spark, sf):
-    return scans.read_parquet_dir(spark, _staged(spark, sf)).select(*ORDER_COLS)
+    return scans.read_parquet_dir(spark, _staged(spark, sf))
 
 
 @query(
     "scan_whole_file",
-    f"select count(*) as n, {sql_round('sum(l_quantity)')} as quantity from lineitem",
+    "select * from lineitem",
 )
 def scan_whole_file(spark, sf):
-    out = table(spark, sf, "lineitem").agg(
-        F.count(F.lit(1)).alias("n"), F.sum("l_quantity").alias("quantity")
-    )
-    return rounded(out, "quantity")
+    return table(spark, sf, "lineitem")
 
 
 @query(
@@ -76,7 +72,7 @@ def scan_head(spark, sf):
 
 def _csv(spark, sf):
     path = new_path(spark, "csv")
-    orders = table(spark, sf, "orders").select(*ORDER_COLS)
+    orders = table(spark, sf, "orders")
     orders.write.option("header", True).csv(path)
     return path, orders.schema
 
@@ -95,13 +91,17 @@ def sink_parquet_single(spark, sf):
     return spark.read.parquet(out)
 
 
-@query("list_files_limit")
+@query("list_files_limit", "select 10::bigint as n, true as filled, true as first_ones")
 def list_files_limit(spark, sf):
-    """The first files of the written click log, day by day."""
+    """Ten files of the written click log: none empty, and none left out that comes before them."""
     path = new_path(spark, "days")
     clicks(spark, sf).write.partitionBy("day").parquet(path)
-    files = scans.list_files(spark, path, 10)
-    return files.select(F.element_at(F.split("path", "/"), -2).alias("folder"), "length")
+    files = scans.list_files(spark, path, 10).select("path", "length")
+    last = files.agg(F.max("path").alias("last"))
+    upto = scans.list_files(spark, path).join(last, F.col("path") <= F.col("last")).agg(F.count(F.lit(1)).alias("upto"))
+    return files.agg(F.count(F.lit(1)).alias("n"), F.bool_and(F.col("length") > 0).alias("filled")).join(
+        upto, F.col("n") <= F.col("upto")
+    ).select("n", "filled", (F.col("n") == F.col("upto")).alias("first_ones"))
 
 
 @query(
@@ -121,18 +121,21 @@ def sink_manifest(spark, sf):
     return files.groupBy(folder.alias("folder")).agg(F.sum("rows").alias("rows"))
 
 
-@query("sample_one_file")
+@query("sample_one_file", "select 1::bigint as files, true as known")
 def sample_one(spark, sf):
+    """One of the files of the written click log."""
     path = new_path(spark, "days")
     clicks(spark, sf).write.partitionBy("day").parquet(path)
-    return sample_one_file(spark.read.parquet(path), seed=3)
+    rows = spark.read.parquet(path)
+    found = sample_one_file(rows, seed=3).join(sinks.manifest(rows), "file", "left")
+    return found.agg(F.count(F.lit(1)).alias("files"), F.bool_and(F.col("rows") > 0).alias("known"))
 
 
 @query("land_full", ORDERS)
 def land_full(spark, sf):
     src, dst = _staged(spark, sf), new_path(spark, "base")
     sinks.land(spark, src, dst, "full")
-    return spark.read.parquet(dst).select(*ORDER_COLS)
+    return spark.read.parquet(dst)
 
 
 @query("land_incremental", ORDERS)
@@ -141,7 +144,7 @@ def land_incremental(spark, sf):
     src, dst = _staged(spark, sf), new_path(spark, "new")
     sinks.land(spark, src, dst, "incremental")
     sinks.land(spark, src, dst, "incremental")
-    return spark.read.parquet(dst).select(*ORDER_COLS)
+    return spark.read.parquet(dst)
 
 
 @query("drain_directory", ORDERS)
@@ -149,28 +152,26 @@ def drain_directory(spark, sf):
     src, dst = _staged(spark, sf), new_path(spark, "drained")
     schema = spark.read.parquet(src).schema
     streams.drain(spark, src, dst, new_path(spark, "ckpt"), schema).awaitTermination()
-    return spark.read.parquet(dst).select(*ORDER_COLS)
+    return spark.read.parquet(dst)
 
 
-@query(
-    "sink_stats",
-    with_sql(
-        SQL_CLICKS,
-        "rng as (select min(i2) as mn, max(i2) as mx from clicks)",
-        """b as (select least(9, cast(floor((i2 - mn) / (mx - mn) * 10) as int)) as bin, count(*) as n
-             from clicks cross join rng where i2 is not null group by 1)""",
-        body="select 'i2' as feature, cast(bin as int) as bin, cast(n as double) as count from b",
-    ),
-)
+def _sql_hist(c: str) -> str:
+    return f"""select '{c}' as feature, cast(bin as int) as bin, cast(count(*) as double) as count from (
+      select least(9, cast(floor(({c} - mn) / (mx - mn) * 10) as int)) as bin
+      from clicks cross join (select min({c}) as mn, max({c}) as mx from clicks) where {c} is not null)
+    group by bin"""
+
+
+@query("sink_stats", with_sql(SQL_CLICKS, body=" union all ".join(_sql_hist(c) for c in CLICKS.conts)))
 def sink_stats(spark, sf):
-    """Histogram inside a saved record."""
+    """Histograms inside a saved record."""
     path = new_path(spark, "stats")
-    save_stats(feature_stats(clicks(spark, sf), ["i2"]), path)
+    save_stats(feature_stats(clicks(spark, sf), CLICKS.conts), path)
     hist = load_stats(spark, path).select("feature", F.posexplode("num.std_hist").alias("bin", "h"))
     return hist.select("feature", "bin", F.col("h.count").alias("count")).where("count > 0")
 
 
-_STATS_COLS = ["i1", "i5", "c3"]
+_STATS_COLS = [*CLICKS.conts, *CLICKS.cats]
 
 
 @query(

@@ -20,7 +20,7 @@ CLICKS = CtrSchema(
     cats=tuple(f"c{n}" for n in range(1, 8)),
     key=ROW_KEY,
 )
-N_TRAIN, N_VAL = 2, 2
+N_TRAIN, N_VAL = 22, 2
 
 
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
@@ -59,15 +59,11 @@ def clicks(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-def day_log(
-    spark: SparkSession, sf: str, days: int | None = N_TRAIN + N_VAL, columns: tuple[str, ...] = ()
-) -> DataFrame:
-    """The first days of the click log (or all), landed as files in one folder per day."""
+def day_log(spark: SparkSession, sf: str, columns: tuple[str, ...] = ()) -> DataFrame:
+    """The click log (or some columns), landed as files in one folder per day."""
     rows = clicks(spark, sf)
     if columns:
         rows = rows.select(*columns, "day")
-    if days is not None:
-        rows = rows.where(F.col("day") < days)
     path = new_path(spark, "days")
     rows.write.partitionBy("day").parquet(path)
     return spark.read.schema(rows.schema).parquet(path)

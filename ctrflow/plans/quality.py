@@ -16,7 +16,7 @@ REF, NEW = "day < 12", "day >= 12"
 
 def _log(spark, sf):
     """The whole click log as day files, for queries that read it several times."""
-    return day_log(spark, sf, None, ("l_orderkey", *COLS))
+    return day_log(spark, sf, ("l_orderkey", *COLS))
 
 
 def _each(template: str, names) -> str:
@@ -182,9 +182,11 @@ def _typed_stats(df, cols):
 
 def _ref_schema(rows):
     ref = rows.where(REF)
-    counts = materialize(st.string_counts(ref, CATS), "counts")
-    schema = val.infer_schema(_typed_stats(ref, COLS), counts)
-    return val.with_threshold(schema, "i1", 0.06)
+    return val.with_threshold(val.infer_schema(_typed_stats(ref, COLS)), "i1", 0.06)
+
+
+def _ref_domain(rows):
+    return materialize(val.infer_domain(st.string_counts(rows.where(REF), CATS)), "domain")
 
 
 SQL_REF_STATS = (
@@ -216,7 +218,9 @@ SQL_REF_DOMAIN = (
     ),
 )
 def infer_schema(spark, sf):
-    schema = _ref_schema(clicks(spark, sf)).withColumn("domain", F.array_join("domain", "|"))
+    rows = clicks(spark, sf)
+    schema = val.listed_domain(_ref_schema(rows), _ref_domain(rows))
+    schema = schema.withColumn("domain", F.array_join("domain", "|"))
     return rounded(schema.select("feature", "type", "min_presence", "domain"), "min_presence")
 
 
@@ -261,7 +265,7 @@ def set_drift_threshold(spark, sf):
         union all select feature, 'type_changed' from pair where t0 <> t1
         union all select feature, 'presence_low' from pair where p1 < p0
         union all select distinct v.feature, 'out_of_domain' from new_values v
-          where v.feature in (select feature from ref_domain)
+          where v.feature in (select feature from ref_values)
             and (v.feature, v.value) not in (select (feature, value) from ref_values)""",
     ),
 )
@@ -277,7 +281,7 @@ def validate_schema(spark, sf):
     )
     cols = ["i1", "i2", "i3", "i4", "i5", "i7", *CATS]
     counts = st.string_counts(new, CATS[1:])
-    return val.validate(_typed_stats(new, cols), _ref_schema(rows), counts)
+    return val.validate(_typed_stats(new, cols), _ref_schema(rows), counts, _ref_domain(rows))
 
 
 @query(

@@ -11,6 +11,7 @@ from ctrflow.functions.scalars import micros
 from ctrflow.operators.order import dense_seq
 from ctrflow.plans.features import KEY, _sql_transformed, _typed, fit
 from ctrflow.plans.fixtures import (
+    CLICKS,
     ROW_KEY,
     SQL_ALERTS,
     SQL_CLICKS,
@@ -116,20 +117,27 @@ def stream_trigger_action(spark, sf):
     return spark.read.parquet(stored).select("event_id", "pipeline")
 
 
+SQL_REQUESTS = with_sql(
+    SQL_CLICKS,
+    body=f"""select {KEY}, cast(label as double) as label, {', '.join([*CLICKS.conts, *CLICKS.cats])}
+    from clicks""",
+)
+
+
 @query(
     "stream_request_log",
-    with_sql(SQL_CLICKS, body=f"select {KEY}, cast(label as double) as label, i1, i2 from clicks"),
+    SQL_REQUESTS,
 )
 def stream_request_log(spark, sf):
     """Everything logged, the rest written out when the stream stops."""
     requests = clicks(spark, sf).select(
-        *ROW_KEY, F.col("label").cast("double").alias("label"), "i1", "i2"
+        *ROW_KEY, F.col("label").cast("double").alias("label"), *CLICKS.conts, *CLICKS.cats
     )
     path = new_path(spark, "requests")
     requests.write.parquet(path)
     stream = spark.readStream.schema(requests.schema).option("maxFilesPerTrigger", 4).parquet(path)
     running, log = log_requests(
-        stream, new_path(spark, "log"), new_path(spark, "ckpt"), 320, timedelta(seconds=0),
+        stream, new_path(spark, "log"), new_path(spark, "ckpt"), 320, timedelta(seconds=1),
         availableNow=True,
     )
     running.awaitTermination()
@@ -137,14 +145,24 @@ def stream_request_log(spark, sf):
     return log.read()
 
 
-query("sink_request_log", with_sql(
-    SQL_CLICKS, body=f"select {KEY}, cast(label as double) as label, i1, i2 from clicks"
-))(lambda spark, sf: stream_request_log(spark, sf))
+@query("sink_request_log", SQL_REQUESTS)
+def sink_request_log(spark, sf):
+    """The log written by hand, batch by batch, without a stream: the files it left."""
+    from ctrflow.streaming.requestlog import RequestLog
+
+    requests = clicks(spark, sf).select(
+        *ROW_KEY, F.col("label").cast("double").alias("label"), *CLICKS.conts, *CLICKS.cats
+    )
+    log = RequestLog(spark, new_path(spark, "log"), 320, timedelta(seconds=0))
+    for batch in range(3):
+        log.batch(requests.where(F.pmod(F.xxhash64(*ROW_KEY), F.lit(3)) == batch), batch)
+    log.close(requests.schema)
+    return log.read()
 
 
-@query("stream_drain", "select event_id, user_id, value from events")
+@query("stream_drain", "select * from events")
 def stream_drain(spark, sf):
-    events = table(spark, sf, "events").select("event_id", "user_id", "value")
+    events = table(spark, sf, "events")
     src, dst = new_path(spark, "src"), new_path(spark, "dst")
     events.write.parquet(src)
     ev.drain(spark, src, dst, new_path(spark, "ckpt"), events.schema, max_files=2).awaitTermination()
@@ -163,10 +181,10 @@ def stream_backpressure(spark, sf):
     return run(ev.read_events(spark, path, max_files=1).select("event_id"), spark)
 
 
-@query("stream_transform", _sql_transformed("day >= 2"))
+@query("stream_transform", _sql_transformed())
 def stream_transform(spark, sf):
-    """All rows after the training days through the fitted workflow."""
-    new = clicks(spark, sf).where("day >= 2")
+    """All rows through the workflow fitted on the training days."""
+    new = clicks(spark, sf)
     path = new_path(spark, "arriving")
     new.write.parquet(path)
     out = new_path(spark, "features")

@@ -27,7 +27,7 @@ def shared_dir(spark: SparkSession) -> str:
     if configured:
         return configured.rstrip("/")
     context = spark.sparkContext
-    if not context.master.startswith("local"):
+    if context.master != "local" and not context.master.startswith("local["):
         raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     app = context.applicationId
     if app not in _LOCAL:
@@ -59,6 +59,12 @@ def local_table(spark: SparkSession, schema: str, rows: list[tuple]) -> DataFram
     return spark.createDataFrame(pa.table(arrays))
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    """Whether there is a file or folder, on any file system Spark can read."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
+
+
 def delete_path(spark: SparkSession, path: str) -> None:
     """Delete a file or folder of any file system Spark can write to, if it is there."""
     target = spark._jvm.org.apache.hadoop.fs.Path(path)

@@ -7,7 +7,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
@@ -15,6 +15,7 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from ctrflow.functions.auc import rolling_auc
 from ctrflow.operators.runs import run_state, suppress_while_running
+from ctrflow.scratch import exists, local_table, materialize
 
 STATE = "labels array<double>, scores array<double>, auc double, since bigint"
 
@@ -38,17 +39,21 @@ class MonitorConfig:
 def advance(labels, scores, accepts, state: tuple, cfg: MonitorConfig):
     """Run new rows through a buffer: ``(auc, in_window, alert, accepted, new state)``.
 
-    Rows up to the next accepted alert are evaluated together; the buffer is cleared there
-    and the rest goes on from an empty one.
+    Rows up to the next accepted alert are evaluated together, a few windows' worth at a time;
+    the buffer is cleared there and the rest goes on from an empty one. As an alert needs a part of
+    the window filled, a row is evaluated a bounded number of times, however many resets there are.
     """
     buf_y, buf_p, last, since = state
     m = len(labels)
     auc, size = np.empty(m), np.empty(m, dtype=np.int64)
     alert, accepted = np.zeros(m, dtype=bool), np.zeros(m, dtype=bool)
     done = 0
+    # without resets nothing is evaluated twice, and longer spans cost less per row
+    span_rows = max(cfg.n if cfg.reset else 20 * cfg.n, 256)
     while done < m:
-        y = np.r_[np.asarray(buf_y, dtype=float), labels[done:]]
-        p = np.r_[np.asarray(buf_p, dtype=float), scores[done:]]
+        upto = min(m, done + span_rows)
+        y = np.r_[np.asarray(buf_y, dtype=float), labels[done:upto]]
+        p = np.r_[np.asarray(buf_p, dtype=float), scores[done:upto]]
         kept = len(buf_y)
         raw, held = rolling_auc(y, p, cfg.n)
         raw, held = raw[kept:], held[kept:]
@@ -57,7 +62,7 @@ def advance(labels, scores, accepts, state: tuple, cfg: MonitorConfig):
         filled = np.where(at >= 0, raw[np.maximum(at, 0)], last)
         low = (filled < cfg.threshold) & (held > cfg.frac * cfg.n)
         age = since + 1 + np.arange(len(raw))
-        ok = low & accepts[done:] & (age > cfg.cooldown)
+        ok = low & accepts[done:upto] & (age > cfg.cooldown)
         hits = np.flatnonzero(ok) if cfg.reset else np.empty(0, dtype=int)
         end = int(hits[0]) + 1 if len(hits) else len(raw)
         span = slice(done, done + end)
@@ -145,6 +150,10 @@ def late_data(events: DataFrame, ts: str, delay: str) -> DataFrame:
     return events.withWatermark(ts, delay)
 
 
+def _read_if_there(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    return spark.read.schema(schema).parquet(path) if exists(spark, path) else local_table(spark, schema, [])
+
+
 def act_on_alerts(
     monitored: DataFrame,
     runs: Callable[[], DataFrame],
@@ -157,16 +166,34 @@ def act_on_alerts(
     """Store accepted alerts and start the retrain job of each pipeline that may run.
 
     ``runs`` is asked anew for every batch. ``start`` gets a pipeline name and is the
-    caller's. A batch that is replayed overwrites its own alerts.
+    caller's. A batch that is played again keeps the decision of its first time, and starts
+    only what it had not started then. A pipeline that was started but is not listed yet, so that
+    it has no more runs than when it was started, is not started again by later alerts.
     """
+    started_path = f"{alerts_path.rstrip('/')}_started"
+    record = "batch_id bigint, pipeline string, listed bigint"
 
     def batch(df: DataFrame, batch_id: int) -> None:
+        spark = df.sparkSession
         path = f"{alerts_path}/batch_id={batch_id}"
-        suppress_while_running(df.where("accepted"), runs()).write.mode("overwrite").parquet(path)
-        written = df.sparkSession.read.schema(df.schema).parquet(path)
+        started = materialize(_read_if_there(spark, started_path, record), "started")
+        if not exists(spark, f"{path}/_SUCCESS"):
+            listed = runs().groupBy("pipeline").agg(F.count(F.lit(1)).alias("now"))
+            waiting = (
+                started.groupBy("pipeline").agg(F.max("listed").alias("then"))
+                .join(listed, "pipeline", "left").where(F.coalesce("now", F.lit(0)) <= F.col("then"))
+            )
+            fresh = suppress_while_running(df.where("accepted"), runs())
+            fresh = fresh.join(waiting.select(F.col("pipeline").alias(pipeline)), pipeline, "left_anti")
+            fresh.select(*df.columns).write.mode("overwrite").parquet(path)
+        written = spark.read.schema(df.schema).parquet(path)
+        mine = started.where(F.col("batch_id") == batch_id).select(F.col("pipeline").alias(pipeline))
+        counts = runs().groupBy(F.col("pipeline").alias(pipeline)).agg(F.count(F.lit(1)).alias("n"))
         # one name per pipeline, not per alert
-        for row in written.select(pipeline).distinct().toLocalIterator():
-            start(row[0])
+        todo = written.select(pipeline).distinct().join(mine, pipeline, "left_anti").join(counts, pipeline, "left")
+        for name, n in todo.select(pipeline, F.coalesce("n", F.lit(0))).toLocalIterator():
+            start(name)
+            local_table(spark, record, [(batch_id, name, n)]).coalesce(1).write.mode("append").parquet(started_path)
 
     return (
         monitored.writeStream.foreachBatch(batch)

@@ -97,3 +97,16 @@ def test_alerts_without_reset_match_the_loop(spark):
     assert {r.id for r in alerts.collect()} == {i for i, w in enumerate(want) if w[2]}
     got = {r.id: r.rolling_auc for r in held.collect()}
     assert all(got[i] == pytest.approx(w[0], abs=1e-12) for i, w in enumerate(want))
+
+
+def test_a_missing_label_is_no_class(spark):
+    rows = [(1.0, 0.9), (0.0, 0.1), (float("nan"), 0.5), (None, 0.4)]
+    got = metrics.roc_auc(spark.createDataFrame(rows, "y double, p double"), "y", "p").first()
+    assert (got.auc, got.n_pos, got.n_neg) == (1.0, 1, 1)
+
+
+def test_carried_columns_come_back_as_they_are(spark):
+    big = 9007199254740993
+    df = spark.createDataFrame([(i, i % 2, i / 10, big if i else None) for i in range(6)], "t int, y int, p double, id bigint")
+    got = metrics.rolling_auc(df, ["t"], "y", "p", n=3)
+    assert sorted(r.id for r in got.collect() if r.id) == [big] * 5

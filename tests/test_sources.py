@@ -1,3 +1,7 @@
+import os
+
+import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
@@ -162,7 +166,7 @@ def test_paths_and_times(spark):
         scalars.with_version(F.col("p"), F.lit(4)).alias("moved"),
         scalars.log_file_time(F.col("t").cast("timestamp")).alias("name"),
         scalars.day_of_file(F.lit("day_07.parquet")).alias("day"),
-        scalars.day_of_file(F.lit("day_123.parquet")).alias("no_day"),
+        scalars.day_of_file(F.lit("day_x.parquet")).alias("no_day"),
         scalars.is_day_file(F.lit("day_1xparquet")).alias("strict"),
     ).first()
     assert tuple(row) == ("model.bin", "3", None, "m/dcn/4/model.bin", "03_02_2024-04-05-06", 7, None, False)
@@ -170,3 +174,14 @@ def test_paths_and_times(spark):
 
 def test_shared_folder_of_a_local_session(spark):
     assert shared_dir(spark) == shared_dir(spark)
+
+
+def test_days_of_any_number_of_digits(spark, tmp):
+    schema = CtrSchema(conts=("I1",), cats=("C1",))
+    folder = tmp[len("file:"):]
+    for name in ("day_7", "day_100"):
+        pq.write_table(pa.table({"label": pa.array([1], pa.int32()), "I1": [2], "C1": pa.array([3], pa.int32())}), f"{folder}/{name}.parquet")
+    assert sorted(r.day for r in scans.read_days(spark, tmp, schema=schema).select("day").collect()) == [7, 100]
+    os.rename(f"{folder}/day_7.parquet", f"{folder}/day_{10**12}.parquet")
+    with pytest.raises(Exception, match="CAST"):
+        scans.read_days(spark, tmp, schema=schema).select("day").collect()

@@ -192,16 +192,17 @@ def test_schema_and_anomalies(spark, frame):
         return st.feature_stats(df, cols).select("feature", "type", "presence")
 
     counts = st.string_counts(frame, ["s"])
-    schema = val.with_threshold(val.infer_schema(stats(frame, ["x", "same", "s"]), counts), "x", 0.06)
-    rows = {r.feature: r for r in schema.collect()}
+    domain = val.infer_domain(counts)
+    schema = val.with_threshold(val.infer_schema(stats(frame, ["x", "same", "s"])), "x", 0.06)
+    rows = {r.feature: r for r in val.listed_domain(schema, domain).collect()}
     assert rows["s"].domain == ["a", "b", "ccc"] and rows["x"].domain is None
     assert rows["x"].jsd_threshold == 0.06 and rows["same"].jsd_threshold is None
-    assert val.validate(stats(frame, ["x", "same", "s"]), schema, counts).count() == 0
+    assert val.validate(stats(frame, ["x", "same", "s"]), schema, counts, domain).count() == 0
 
     new = frame.withColumn("s", F.when(F.col("id") == 5, "zzz").otherwise(F.col("s"))).withColumn(
         "x", F.when(F.col("id") > 100, F.col("x"))
     ).withColumn("same", F.col("same").cast("string")).withColumn("more", F.lit(1))
-    found = val.validate(stats(new, ["x", "same", "s", "more"]), schema, st.string_counts(new, ["s"]))
+    found = val.validate(stats(new, ["x", "same", "s", "more"]), schema, st.string_counts(new, ["s"]), domain)
     assert {tuple(r) for r in found.collect()} >= {
         ("x", "presence_low"), ("same", "type_changed"), ("more", "new_column"), ("s", "out_of_domain"),
     }
@@ -212,5 +213,16 @@ def test_schema_and_anomalies(spark, frame):
 def test_wide_domains_are_not_listed(spark):
     df = spark.range(500).select(F.col("id").cast("string").alias("s"))
     counts = st.string_counts(df, ["s"])
-    schema = val.infer_schema(st.stats_common(df, ["s"]).withColumn("type", F.lit("string")), counts)
-    assert schema.first().domain is None
+    schema = val.infer_schema(st.stats_common(df, ["s"]).withColumn("type", F.lit("string")))
+    domain = val.infer_domain(counts)
+    assert val.listed_domain(schema, domain).first().domain is None
+    # but they are checked
+    new = st.string_counts(df.union(spark.createDataFrame([("odd",), ("odd",)], "s string")), ["s"])
+    assert [tuple(r) for r in val.out_of_domain(new, domain).collect()] == [("s", 1, 2)]
+
+
+def test_infinite_values_go_to_the_outer_bins(spark):
+    df = spark.createDataFrame([(1.0,), (2.0,), (float("inf"),), (float("-inf"),), (None,)], "x double")
+    rows = st.histogram(df, ["x"], 4).orderBy("bin").collect()
+    assert [r["count"] for r in rows] == [2, 0, 0, 2]
+    assert rows[0].lo == 1.0 and rows[-1].hi == 2.0

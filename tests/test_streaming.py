@@ -2,6 +2,7 @@ import os
 import random
 from datetime import datetime, timedelta, timezone
 
+import numpy as np
 import pytest
 from naive import monitor
 from pyspark.sql import functions as F
@@ -221,3 +222,53 @@ def test_live_windows_equal_batch_windows(spark, tmp):
     whole = window_deltas(pieces[0].union(pieces[1]).union(pieces[2]), ["pod"])
     closed = whole.where(F.col("end") <= F.lit(rows[-1][1]) - F.expr("INTERVAL 1 MINUTE"))
     assert sorted(live.collect(), key=str) == sorted(closed.collect(), key=str) and live.count() > 300
+
+
+def test_many_resets_cost_little():
+    import time
+
+    rng = np.random.default_rng(0)
+    m = 60_000
+    began = time.perf_counter()
+    out = mon.advance(
+        rng.integers(0, 2, m).astype(float), rng.random(m), np.ones(m, bool), ([], [], 1.0, 0),
+        mon.MonitorConfig(n=200, threshold=0.5, cooldown=0),
+    )
+    assert out[3].sum() > 300
+    assert time.perf_counter() - began < 5
+
+
+def test_a_batch_played_again_keeps_its_decision(spark, tmp):
+    """The second time the started run is already listed as running."""
+    schema = "id int, pipeline string, accepted boolean"
+    spark.createDataFrame([(1, "idle", True)], schema).write.parquet(f"{tmp}/alerts")
+    status, started = ["Failed"], []
+
+    def runs():
+        rows = [("idle", s) for s in status]
+        return spark.createDataFrame(rows, "pipeline string, status string")
+
+    def start(name):
+        started.append(name)
+        status.append("Running")
+
+    def play(checkpoint):
+        mon.act_on_alerts(
+            spark.readStream.schema(schema).parquet(f"{tmp}/alerts"), runs, f"{tmp}/stored", f"{tmp}/{checkpoint}", start
+        ).awaitTermination()
+
+    play("first")
+    play("second")  # a new checkpoint plays batch 0 once more
+    assert started == ["idle"]
+    assert [r.id for r in spark.read.parquet(f"{tmp}/stored").collect()] == [1]
+
+
+def test_a_run_that_is_not_listed_yet_is_not_started_twice(spark, tmp):
+    schema = "id int, pipeline string, accepted boolean"
+    for i in range(2):
+        spark.createDataFrame([(i, "idle", True)], schema).coalesce(1).write.mode("append").parquet(f"{tmp}/alerts")
+    table = spark.createDataFrame([("idle", "Failed")], "pipeline string, status string")
+    started = []
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(f"{tmp}/alerts")
+    mon.act_on_alerts(stream, lambda: table, f"{tmp}/stored", f"{tmp}/ckpt", started.append).awaitTermination()
+    assert started == ["idle"]
