@@ -45,7 +45,15 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     spark = df.sparkSession
     path = new_path(spark, label)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    written = spark.read.schema(df.schema).parquet(path)
+    written._written = path
+    return written
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete tables that ``materialize`` returned, once all that is made of them is written itself."""
+    for written in tables:
+        delete_path(written.sparkSession, written._written)
 
 
 def local_table(spark: SparkSession, schema: str, rows: list[tuple]) -> DataFrame:
