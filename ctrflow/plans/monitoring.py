@@ -262,9 +262,9 @@ def counter_rate_queue(spark, sf):
     return _rate(spark, sf, "queue_us")
 
 
-@query("counter_rate_compute", _sql_rate("success"))
+@query("counter_rate_compute", _sql_rate("compute_us"))
 def counter_rate_compute(spark, sf):
-    return _rate(spark, sf, "success")
+    return _rate(spark, sf, "compute_us")
 
 
 SQL_RATIO = f"""

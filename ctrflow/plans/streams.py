@@ -7,8 +7,6 @@ from datetime import timedelta
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ctrflow.functions.scalars import micros
-from ctrflow.operators.order import dense_seq
 from ctrflow.plans.features import KEY, _sql_transformed, _typed, fit
 from ctrflow.plans.fixtures import (
     CLICKS,
@@ -27,34 +25,31 @@ from ctrflow.plans.fixtures import (
 )
 from ctrflow.plans.monitoring import ARRIVAL, N, _sql_rolling
 from ctrflow.plans.registry import query, rounded, sql_round
-from ctrflow.scratch import materialize, new_path
+from ctrflow.scratch import new_path, set_times
 from ctrflow.streaming import events as ev
 from ctrflow.streaming import monitor as mon
 from ctrflow.streaming.requestlog import log_requests
 from ctrflow.streaming.windows import window_deltas
 
 ROWS_PER_FILE = 1_000_000
-MIN_FILES = 3
 
 
 def feed(spark, df: DataFrame, order, rows_per_file: int = ROWS_PER_FILE) -> DataFrame:
-    """The rows as a stream in the given order, one file of at most ``rows_per_file`` rows
-    per batch.
+    """The rows as a stream in the given order, a file of at most ``rows_per_file`` rows per batch.
 
-    Files are written one after the other, for a file stream goes by modification time.
+    Files are written side by side, one range of the order per task. A file stream goes by modification
+    time, so the files get times in the order of their ranges.
     """
     path = new_path(spark, "feed")
-    ordered = materialize(dense_seq(df, order, "__n", start=0, unique=True), "numbered")
-    rows = ordered.count()
-    size = max(1, min(rows_per_file, -(-rows // MIN_FILES)))
-    for first in range(0, rows, size):
-        part = ordered.where(F.col("__n").between(first, first + size - 1)).drop("__n")
-        part.coalesce(1).write.mode("append").parquet(path)
+    ranges = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    ordered = df.repartitionByRange(ranges, *order).sortWithinPartitions(*order)
+    ordered.write.option("maxRecordsPerFile", rows_per_file).parquet(path)
+    set_times(spark, path)
     return spark.readStream.schema(df.schema).option("maxFilesPerTrigger", 1).parquet(path)
 
 
-def run(stream: DataFrame, spark) -> DataFrame:
-    """Play an append stream to its end and read what it wrote."""
+def played(stream: DataFrame, spark) -> tuple[DataFrame, list[int]]:
+    """Play an append stream to its end; what it wrote, and the rows of each batch."""
     path = new_path(spark, "out")
     query_ = (
         stream.writeStream.format("parquet")
@@ -63,7 +58,12 @@ def run(stream: DataFrame, spark) -> DataFrame:
         .start(path)
     )
     query_.awaitTermination()
-    return spark.read.schema(stream.schema).parquet(path)
+    sizes = [p["numInputRows"] for p in query_.recentProgress if p["numInputRows"]]
+    return spark.read.schema(stream.schema).parquet(path), sizes
+
+
+def run(stream: DataFrame, spark) -> DataFrame:
+    return played(stream, spark)[0]
 
 
 def _monitored(spark, sf, cfg):
@@ -160,25 +160,33 @@ def sink_request_log(spark, sf):
     return log.read()
 
 
-@query("stream_drain", "select * from events")
+@query("stream_drain", "select *, 0::bigint as left_behind from events")
 def stream_drain(spark, sf):
     events = table(spark, sf, "events")
     src, dst = new_path(spark, "src"), new_path(spark, "dst")
     events.write.parquet(src)
-    ev.drain(spark, src, dst, new_path(spark, "ckpt"), events.schema, max_files=2).awaitTermination()
-    return spark.read.parquet(dst)
+    checkpoint = new_path(spark, "ckpt")
+    ev.drain(spark, src, dst, checkpoint, events.schema, max_files=2).awaitTermination()
+    ev.delete_drained(spark, checkpoint)
+    left = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").load(src).count()
+    return spark.read.parquet(dst).withColumn("left_behind", F.lit(left).cast("bigint"))
 
 
-@query("stream_backpressure", "select event_id from events")
+@query("stream_backpressure", f"select event_id, {sql_round('value')} as predval, true as held_back from events")
 def stream_backpressure(spark, sf):
-    """All events, taken in one file per batch at most."""
+    """All events, taken in one of several files per batch at most."""
+    files = 6
     messages = table(spark, sf, "events").select(
         "event_id", F.col("event_type").alias("model_key"), F.col("ts").cast("timestamp").alias("ts"),
-        F.lit('{"trueval":1}').alias("payload"),
+        F.to_json(F.struct(F.col("value").alias("predval"))).alias("payload"),
     )
     path = new_path(spark, "messages")
-    messages.write.json(path)
-    return run(ev.read_events(spark, path, max_files=1).select("event_id"), spark)
+    messages.repartition(files, "event_id").write.json(path)
+    stream = ev.read_events(spark, path, max_files=1).select("event_id", "predval")
+    out, sizes = played(stream, spark)
+    bound = messages.count() * 2 // files
+    held_back = len(sizes) == files and max(sizes) <= bound
+    return rounded(out, "predval").withColumn("held_back", F.lit(held_back))
 
 
 @query("stream_transform", _sql_transformed())
@@ -203,32 +211,50 @@ def stream_transform(spark, sf):
         """d as (select metric, instance, k * 7200 as start_s, count(*) as samples,
              arg_max(value, ts) - arg_min(value, ts) as delta from w group by 1, 2, 3)""",
         body="""select metric, instance, cast(start_s as bigint) as start_s, samples,
-          case when samples >= 2 then delta end as delta from d
-        where start_s + 21600 <= (select epoch(max(ts)) from events) - 86400""",
+          case when samples >= 2 then delta end as delta from d""",
     ),
 )
 def stream_metric_window(spark, sf):
-    """Six-hour windows every two hours that closed a day before the end of the series."""
+    """Six-hour windows every two hours. A last sample long after the others closes them all."""
     live = series(spark, sf).withColumn("ts", F.col("ts").cast("timestamp"))
-    stream = feed(spark, live, ["ts", "metric", "instance"])
+    tick = live.agg(F.max("ts").alias("m")).select(
+        *[F.lit("tick").alias(c) if c in ("metric", "instance")
+          else (F.col("m") + F.expr("interval 30 days")).alias(c) if c == "ts"
+          else F.lit(0).cast(live.schema[c].dataType).alias(c) for c in live.columns]
+    )
+    stream = feed(spark, live.unionByName(tick), ["ts", "metric", "instance"])
     out = run(window_deltas(stream, ["metric", "instance"], "6 hours", "2 hours", "1 day"), spark)
-    end = table(spark, sf, "events").agg(F.max("ts").cast("timestamp").alias("m"))
-    return (
-        out.join(F.broadcast(end))  # one row
-        .where(micros(F.col("end")) <= micros(F.col("m")) - 86_400_000_000)
-        .select(
-            "metric", "instance", F.unix_seconds("start").alias("start_s"), "samples",
-            F.col("delta").cast("bigint").alias("delta"),
-        )
+    return out.where("metric <> 'tick'").select(
+        "metric", "instance", F.unix_seconds("start").alias("start_s"), "samples",
+        F.col("delta").cast("bigint").alias("delta"),
     )
 
 
+SQL_LATE = "event_id % 50 = 0 and ts < (select max(ts) from events) - interval 2 days"
+
+
 @query(
     "stream_late_data",
-    "select event_id from events",
+    f"""select event_id, (select count(*) from events where {SQL_LATE}) as dropped
+    from events where not ({SQL_LATE})""",
 )
 def stream_late_data(spark, sf):
-    """With a watermark, rows that arrive in order are all kept."""
+    """Rows that arrive days behind the watermark are dropped and counted, all others are kept."""
     events = table(spark, sf, "events").select(F.col("ts").cast("timestamp").alias("ts"), "event_id")
-    stream = mon.late_data(feed(spark, events, ARRIVAL), "ts", "1 hour")
-    return run(stream.dropDuplicatesWithinWatermark(["event_id"]), spark).select("event_id")
+    last = events.agg(F.max("ts")).first()[0]
+    late = (F.col("event_id") % 50 == 0) & (F.col("ts") < F.lit(last) - F.expr("interval 2 days"))
+    arriving = events.withColumn("late", late.cast("int"))
+    path, checkpoint, out = (new_path(spark, n) for n in ("feed", "ckpt", "out"))
+    dropped = 0
+    # what is late arrives after all the rest
+    for turn in (0, 1):
+        part = arriving.where(F.col("late") == turn)
+        part.repartitionByRange(4, "ts", "event_id").write.mode("append").parquet(path)
+        if turn == 0:
+            set_times(spark, path)
+        stream = spark.readStream.schema(arriving.schema).option("maxFilesPerTrigger", 1).parquet(path)
+        kept = mon.late_data(stream, "ts", "1 hour").dropDuplicatesWithinWatermark(["event_id"])
+        query_ = kept.writeStream.format("parquet").option("checkpointLocation", checkpoint).trigger(availableNow=True).start(out)
+        query_.awaitTermination()
+        dropped += sum(o["numRowsDroppedByWatermark"] for p in query_.recentProgress for o in p["stateOperators"])
+    return spark.read.parquet(out).select("event_id", F.lit(dropped).cast("bigint").alias("dropped"))

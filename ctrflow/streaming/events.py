@@ -9,6 +9,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ctrflow.operators.columns import parse_events
 from ctrflow.operators.workflow import FittedWorkflow
+from ctrflow.scratch import delete_path
 
 MESSAGE = T.StructType(
     [
@@ -86,8 +87,8 @@ def drain(
 ) -> StreamingQuery:
     """Move arriving Parquet files to ``dst``, polling every ``interval``.
 
-    A source file is deleted once a later batch commits, so the last ones may stay; each
-    file's rows are nevertheless copied once.
+    A source file is deleted once a later batch commits, so the last ones stay until
+    ``delete_drained``; each file's rows are copied once all the same.
     """
     reader = spark.readStream.schema(schema).option("cleanSource", "delete")
     if max_files:
@@ -97,6 +98,17 @@ def drain(
     return writer.trigger(**trigger).start(dst)
 
 
+def delete_drained(spark: SparkSession, checkpoint: str) -> None:
+    """Delete the source files of all committed batches of a drain that has ended."""
+    committed = spark.read.format("binaryFile").load(f"{checkpoint}/commits").select("path").collect()
+    done = {int(r.path.rsplit("/", 1)[1]) for r in committed}
+    entry = "path string, batchId bigint"
+    log = spark.read.text(f"{checkpoint}/sources/0").select(F.from_json("value", entry).alias("e")).select("e.*")
+    for path, batch in log.where("path is not null").distinct().toLocalIterator():
+        if batch in done:
+            delete_path(spark, path)
+
+
 def listen(query: StreamingQuery, timeout: float | None = None) -> bool:
     """Wait for a query and stop it after ``timeout`` seconds; whether it ended by itself."""
     if timeout is None:
