@@ -239,17 +239,22 @@ def bin_of(value: Column, lo: Column, hi: Column, bins: int) -> Column:
 Ranges = dict[str, tuple[float, float]]
 
 
+def _finite(df: DataFrame) -> Measures:
+    def value(c):
+        v = _present(df, c).cast("double")
+        return F.when(F.abs(v) < float("inf"), v)
+
+    return {"low": (lambda c: F.min(value(c)), "double"), "high": (lambda c: F.max(value(c)), "double")}
+
+
+def _ranges(found: list) -> Ranges:
+    return {r.feature: (r.low, r.high) for r in found if r.low is not None}
+
+
 def value_ranges(df: DataFrame, columns: Sequence[str]) -> Ranges:
     """Least and greatest finite value per feature, brought to the driver: two numbers a column."""
 
-    def finite(c):
-        value = _present(df, c).cast("double")
-        return F.when(F.abs(value) < float("inf"), value)
-
-    found = _per_feature(
-        df, columns, {"min": (lambda c: F.min(finite(c)), "double"), "max": (lambda c: F.max(finite(c)), "double")}
-    )
-    return {r.feature: (r.min, r.max) for r in found.collect() if r.min is not None}
+    return _ranges(_per_feature(df, columns, _finite(df)).collect())
 
 
 def bins_frame(spark, ranges: Ranges, bins: int) -> DataFrame:
@@ -344,7 +349,7 @@ def feature_stats(
     # every scalar of every column from one scan: one row per feature
     number = {
         m: (lambda c, make=make, t=t: make(c) if c in numeric else F.lit(None).cast(t), t)
-        for m, (make, t) in _numeric(df).items()
+        for m, (make, t) in {**_numeric(df), **_finite(df)}.items()
     }
     found = _per_feature(df, columns, {**_common(df), **number}).collect()
     head = "feature string, n_rows bigint, n_present bigint"
@@ -358,7 +363,7 @@ def feature_stats(
             "feature string, min double, max double, mean double, std double, zeros bigint",
             [(r.feature, r.min, r.max, r.mean, r.std, r.zeros) for r in found],
         )
-        ranges = {r.feature: (r.min, r.max) for r in found if r.min is not None}
+        ranges = _ranges(found)
         hist = (
             histogram(df, numeric, bins, ranges)
             .groupBy("feature")
