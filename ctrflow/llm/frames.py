@@ -64,6 +64,15 @@ def shielded(docs: DataFrame, keep: list[str], text: str) -> tuple[DataFrame, li
     return frame, names, [F.col(n).alias(c) for c, n in zip(keep, names)]
 
 
+#: Rows of a few numbers or hashes that are broadcast; larger tables are joined by shuffle.
+BROADCAST_ROWS = 200_000
+
+
+def small_or_not(written: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
+    """A written table of narrow rows, marked for broadcast if it has no more than ``rows`` of them."""
+    return F.broadcast(written) if written.count() <= rows else written
+
+
 def crc_mod(doc_id: Column | str, n: int) -> Column:
     """The remainder of the CRC-32 of an id written as text; null ids count as empty text."""
     text = F.coalesce(F.col(doc_id) if isinstance(doc_id, str) else doc_id, F.lit(None)).cast("string")

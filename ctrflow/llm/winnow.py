@@ -11,13 +11,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ctrflow.llm.frames import let, shielded
+from ctrflow.llm.frames import let, shielded, small_or_not
 from ctrflow.scratch import materialize
 
 #: Consecutive words that count as contamination, and words of a hashed k-gram at most.
 WINDOW, GRAM = 13, 5
-#: Benchmark fingerprints that are broadcast; more of them join by shuffle.
-BROADCAST_ROWS = 1_000_000
+#: Lower bits of a fingerprint that hold its position; hashes keep the others.
+PLACE_BITS = 28
 
 #: What stands between words, whatever the case of the letters.
 _BETWEEN = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
@@ -33,29 +33,38 @@ def ascii_lower(text: Column) -> Column:
     return F.translate(text, _UPPER, _LOWER)
 
 
-def _gram_hashes(found: Column, gram: int) -> Column:
-    """A hash of every run of ``gram`` words."""
+def _grams(found: Column, gram: int) -> Column:
+    """For every run of ``gram`` words its hash, above the bits of its position (from 1)."""
+    clear = ~((1 << PLACE_BITS) - 1)
     return F.when(
         F.size(found) >= gram,
         F.transform(
             F.sequence(F.lit(1), F.size(found) - gram + 1),
-            lambda i: F.xxhash64(F.slice(found, i, gram)),
+            lambda i: F.xxhash64(F.slice(found, i, gram)).bitwiseAND(F.lit(clear)).bitwiseOR(i.cast("bigint")),
         ),
     ).otherwise(F.array().cast("array<bigint>"))
 
 
 def fingerprints(found: Column, span: int, gram: int) -> Column:
-    """The least hash of each window of k-grams over ``span`` words, each value once."""
+    """The least of each window of k-grams over ``span`` words, as ``(h, at)``: hash and position."""
     width = span - gram + 1
-    least = lambda h: F.when(
-        F.size(h) >= width,
-        F.transform(
-            F.sequence(F.lit(1), F.size(h) - width + 1), lambda i: F.array_min(F.slice(h, i, width))
+
+    def least(grams: Column) -> Column:
+        if width == 1:
+            return grams
+        return F.when(
+            F.size(grams) >= width,
+            F.transform(
+                F.sequence(F.lit(1), F.size(grams) - width + 1), lambda i: F.array_min(F.slice(grams, i, width))
+            ),
+        ).otherwise(F.array().cast("array<bigint>"))
+
+    chosen = let(found, lambda w: let(_grams(w, gram), lambda g: F.array_distinct(least(g))))
+    return F.transform(
+        chosen,
+        lambda v: F.struct(
+            F.shiftright(v, PLACE_BITS).alias("h"), v.bitwiseAND(F.lit((1 << PLACE_BITS) - 1)).cast("int").alias("at")
         ),
-    ).otherwise(F.array().cast("array<bigint>"))
-    return let(
-        found,
-        lambda w: let(_gram_hashes(w, gram), lambda h: F.array_distinct(h if width == 1 else least(h))),
     )
 
 
@@ -102,32 +111,32 @@ def contamination(
     span = min(window, shortest)
     gram = min(GRAM, span)
     prints = materialize(
-        items.select(F.explode(fingerprints(F.col("u"), span, gram)).alias("h")).distinct(), "prints"
+        items.select(F.explode(fingerprints(F.col("u"), span, gram)).alias("f")).select("f.h").distinct(), "prints"
     )
-    known = F.broadcast(prints) if prints.count() <= BROADCAST_ROWS else prints
-    hits = materialize(
-        docs.select(
-            F.sha2(source, 256).alias("__hit"),
-            F.explode(fingerprints(words(F.upper(source)), span, gram)).alias("h"),
+
+    def with_words(w: Column) -> Column:
+        # what stands around a fingerprint goes with it, so that hits need not fetch their texts again
+        around = lambda f: F.greatest(F.lit(1), f["at"] - (window - gram))
+        return F.transform(
+            fingerprints(words(F.upper(source)), span, gram),
+            lambda f: F.struct(
+                f["h"].alias("h"), f["at"].alias("at"), around(f).alias("first"),
+                F.array_join(F.slice(w, around(f), f["at"] - around(f) + window), " ").alias("words"),
+            ),
         )
-        .join(known, "h")
-        .distinct()
-        .groupBy("__hit")
-        .agg(F.collect_list("h").alias("hits")),
-        "hits",
-    )
-    texts = (
-        docs.select(F.sha2(source, 256).alias("__text"), source.alias("t"))
-        .join(hits, F.col("__text") == F.col("__hit"))
-        .groupBy("__text")
-        .agg(F.first("t").alias("t"), F.first("hits").alias("hits"))
+
+    hits = (
+        docs.select(F.sha2(source, 256).alias("__text"), F.explode(let(words(source), with_words)).alias("f"))
+        .select("__text", "f.h", "f.at", "f.first", "f.words")
+        .join(small_or_not(prints), "h")
+        .dropDuplicates(["__text", "at"])
     )
     lengths = [window] if shortest >= window else [
         r[0] for r in items.select(F.least(F.size("w"), F.lit(window))).distinct().collect()
     ]
-    found = _windows_of_items(items, window).join(
-        _windows_at_hits(texts, lengths, gram), "words"
-    ).select("__text", "start", "n", "item")
+    found = _windows_of_items(items, window).join(_windows_at_hits(hits, lengths, gram), "words").select(
+        "__text", "start", "n", "item"
+    )
     found = materialize(found.distinct(), "found")
     before = (
         Window.partitionBy("__text").orderBy("start", "n").rowsBetween(Window.unboundedPreceding, -1)
@@ -140,8 +149,8 @@ def contamination(
         .agg(F.sum(F.greatest(F.lit(0), end - F.greatest("start", "reach"))).cast("bigint").alias("hit"))
     )
     named = found.groupBy("__text").agg(F.sort_array(F.collect_set("item")).alias("named"))
-    result = covered.join(named, "__text").withColumnRenamed("__text", "__found")
-    out = base.join(result, F.col("__text") == F.col("__found"), "left")
+    result = materialize(covered.join(named, "__text").withColumnRenamed("__text", "__found"), "result")
+    out = base.join(small_or_not(result), F.col("__text") == F.col("__found"), "left")
     n_hit = F.coalesce("hit", F.lit(0).cast("bigint"))
     return out.select(
         *own, "n_words", n_hit.alias("n_hit"),
@@ -159,33 +168,20 @@ def _windows_of_items(items: DataFrame, window: int) -> DataFrame:
     return items.select("item", F.explode(F.array_distinct(some)).alias("words"))
 
 
-def _windows_at_hits(texts: DataFrame, lengths: list[int], gram: int) -> DataFrame:
+def _windows_at_hits(hits: DataFrame, lengths: list[int], gram: int) -> DataFrame:
     """All windows of the given lengths that hold a hit k-gram."""
-    at_hits = texts.select(
-        "__text", "hits", words(ascii_lower(F.col("t"))).alias("w"),
-        let(
-            words(F.upper("t")),
-            lambda u: let(
-                _gram_hashes(u, gram),
-                lambda h: F.filter(
-                    F.sequence(F.lit(1), F.size(h)),
-                    lambda i: F.array_contains(F.col("hits"), F.get(h, i - 1)),
-                ),
-            ),
-        ).alias("places"),
-    )
 
     def windows(n: int) -> Column:
-        around = F.flatten(
-            F.transform("places", lambda p: F.sequence(p - (n - gram), p))
+        starts = F.sequence(F.greatest(F.col("first"), F.col("at") - (n - gram)), F.col("at"))
+        inside = F.filter(starts, lambda s: s - F.col("first") + n <= F.size("w"))
+        return F.transform(
+            inside,
+            lambda s: F.struct(
+                s.alias("start"), F.lit(n).alias("n"),
+                F.array_join(F.slice("w", s - F.col("first") + 1, n), " ").alias("words"),
+            ),
         )
-        inside = F.filter(F.array_distinct(around), lambda s: (s >= 1) & (s + n - 1 <= F.size("w")))
-        return F.transform(inside, lambda s: F.struct(s.alias("start"), F.lit(n).alias("n")))
 
-    places = at_hits.select(
-        "__text", "w",
-        F.explode(F.flatten(F.array(*[windows(n) for n in lengths]))).alias("p"),
-    )
-    return places.select(
-        "__text", "p.start", "p.n", F.array_join(F.slice("w", F.col("p.start"), F.col("p.n")), " ").alias("words")
-    )
+    split = hits.select("__text", "at", "first", F.split(ascii_lower(F.col("words")), " ").alias("w"))
+    every = F.flatten(F.array(*[windows(n) for n in lengths]))
+    return split.select("__text", F.explode(every).alias("p")).select("__text", "p.*").distinct()
