@@ -14,6 +14,7 @@ from ctrflow.plans.fixtures import (
     SQL_ALERTS,
     SQL_CLICKS,
     SQL_RUNS,
+    SQL_SCORED,
     SQL_SERIES,
     alert_rows,
     clicks,
@@ -87,13 +88,56 @@ def stream_rolling_auc(spark, sf):
     )
 
 
-@query("stream_trigger_reset")
+LIMIT, COOLDOWN = 0.45, 50
+
+#: From each start of a buffer to the next accepted alert, which is the start of the next one. Window sums come
+#: from pairs (older row i, newer row j) less than N apart: what enters with j, less what leaves with i.
+SQL_RESETS = "with recursive " + ",".join([
+    SQL_SCORED,
+    """s as (select event_id, model_key as k, trueval as y, predval as p,
+         row_number() over (partition by model_key order by seq) as n from scored)""",
+    f"""pairs as (select b.k, a.n as i, b.n as j, case when a.y = b.y then 0.0 when a.p = b.p then 0.5
+           when (a.y > b.y) = (a.p > b.p) then 1.0 else 0.0 end as c
+         from s a join s b on a.k = b.k and b.n > a.n and b.n < a.n + {N})""",
+    """entering as (select k, j as n, sum(c) as v from pairs group by 1, 2)""",
+    """leaving as (select k, i as n, sum(c) as v from pairs group by 1, 2)""",
+    f"""full_windows as (
+         select s.k, s.n, sum(coalesce(e.v, 0) - coalesce(l.v, 0)) over (partition by s.k order by s.n) as area,
+           sum(s.y) over (partition by s.k order by s.n rows {N - 1} preceding) as pos
+         from s left join entering e on e.k = s.k and e.n = s.n left join leaving l on l.k = s.k and l.n = s.n - {N})""",
+    f"""resets(k, start, event_id, in_window, auc, step) as (
+         select k, cast(1 as bigint), cast(null as bigint), cast(null as bigint), cast(null as double), 0
+         from s group by k
+       union all
+         select k, hit_at + 1, event_id, size, held, step + 1 from (
+           select *, row_number() over (partition by k order by n) as first_hit, n as hit_at from (
+             select *, coalesce(last_value(case when pos > 0 and pos < size then area / (pos * (size - pos)) end ignore nulls)
+               over (partition by k order by n rows unbounded preceding), 1.0) as held
+             from (
+               select w.k, w.step, w.start, w.n, w.event_id, least(w.n - w.start + 1, {N}) as size,
+                 case when w.n - w.start + 1 >= {N} then f.area
+                   else sum(w.v) over (partition by w.k order by w.n) end as area,
+                 case when w.n - w.start + 1 >= {N} then f.pos
+                   else sum(w.y) over (partition by w.k order by w.n) end as pos
+               from (
+                 select r.k, r.step, r.start, s.n, any_value(s.event_id) as event_id, any_value(s.y) as y,
+                   coalesce(sum(q.c), 0) as v
+                 from resets r join s on s.k = r.k and s.n >= r.start
+                 left join pairs q on q.k = r.k and q.j = s.n and q.i >= r.start and s.n < r.start + {N}
+                 group by r.k, r.step, r.start, s.n) w
+               join full_windows f on f.k = w.k and f.n = w.n))
+           where held < {LIMIT} and size > {N // 2} and (step = 0 or n - start + 1 > {COOLDOWN}))
+         where first_hit = 1)""",
+]) + f"""
+select event_id, k as model_key, in_window, {sql_round('auc', 9)} as rolling_auc from resets where step > 0"""
+
+
+@query("stream_trigger_reset", SQL_RESETS)
 def stream_trigger_reset(spark, sf):
     """Accepted alerts, each of which cleared its model's buffer."""
-    cfg = mon.MonitorConfig(n=N, threshold=0.45, cooldown=50)
-    return _monitored(spark, sf, cfg).where("accepted").select(
-        "event_id", "model_key", "in_window", "rolling_auc"
-    )
+    cfg = mon.MonitorConfig(n=N, threshold=LIMIT, cooldown=COOLDOWN)
+    out = _monitored(spark, sf, cfg).where("accepted")
+    return rounded(out.select("event_id", "model_key", "in_window", "rolling_auc"), "rolling_auc", digits=9)
 
 
 @query(
