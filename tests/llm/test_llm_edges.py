@@ -232,3 +232,20 @@ def test_nearest_with_many_pages(spark, monkeypatch):
         order = sorted((x for x in range(400) if x != q), key=lambda x: (-scores[q, x], x))[:7]
         want += [(q, i + 1, x, int(scores[q, x])) for i, x in enumerate(order)]
     assert sorted((r.query_id, r["rank"], r.vec_id, r.score) for r in got) == want
+
+
+def test_a_long_phrase_of_other_texts_does_not_hide_a_passage(spark):
+    """Most of the passage is a phrase that texts of smaller numbers hold too; whichever least tokens there are."""
+    rows = []
+    for j in range(6):
+        phrase = [f"p{j}_{i}" for i in range(44)]
+        body = [f"x{j}_{i}" for i in range(3)] + phrase + [f"y{j}_{i}" for i in range(3)]
+        for i in range(12):
+            own = [f"d{j}{i}_{k}" for k in range(60)]
+            rows.append((100 * j + i, " ".join([*own, *phrase, *reversed(own)])))
+        for i in (50, 51):
+            own = [f"g{j}{i}_{k}" for k in range(60)]
+            rows.append((100 * j + i, " ".join([*own, *body, *reversed(own)])))
+    got = passages.repeated_passages(spark.createDataFrame(rows, "doc_id int, text string")).collect()
+    assert {r.doc_id for r in got} == {100 * j + i for j in range(6) for i in (50, 51)}
+    assert {(r.start, r.stop) for r in got} == {(60, 110)}
