@@ -25,7 +25,7 @@ def _unit(*parts: Column) -> Column:
     return F.xxhash64(*parts).bitwiseAND(F.lit((1 << 40) - 1)) / float(1 << 40)
 
 
-def propagate(links: DataFrame, total: int, shards: int, rounds: int = 4) -> DataFrame:
+def propagate(links: DataFrame, total: int, shards: int, rounds: int = 6) -> DataFrame:
     """A shard for each linked node: ``(node, first, label)``, first being its least hub.
 
     ``links`` has rows ``(node, hub)``: nodes of a hub are each other's neighbours. ``total`` is the number of
@@ -40,6 +40,9 @@ def propagate(links: DataFrame, total: int, shards: int, rounds: int = 4) -> Dat
         "labels",
     )
     for turn in range(rounds):
+        load = {r[0]: r[1] for r in labels.groupBy("label").count().collect()}
+        # a full shard takes nobody, so what is left of a group looks for the next best
+        taking = F.col("to").isin([s for s in range(shards) if load.get(s, 0) < room] or [-1])
         placed = links.join(labels, "node")
         cells = placed.groupBy("hub", "label").agg(F.count(F.lit(1)).alias("n"))
         per_hub = cells.groupBy("hub").agg(F.collect_list(F.struct("label", "n")).alias("cells"))
@@ -50,7 +53,9 @@ def propagate(links: DataFrame, total: int, shards: int, rounds: int = 4) -> Dat
             .agg(F.sum("n").alias("votes"))
         )
         # of equally good shards, the one a hash of the first hub prefers, so that its nodes agree
-        ranked = votes.withColumnRenamed("label", "to").join(labels, "node").groupBy("node", "first", "label").agg(
+        ranked = votes.withColumnRenamed("label", "to").join(labels, "node").where(
+            taking | (F.col("to") == F.col("label"))
+        ).groupBy("node", "first", "label").agg(
             F.max(F.struct("votes", _unit(F.col("first"), F.col("to")).alias("tie"), "to")).alias("best"),
             F.max(F.when(F.col("to") == F.col("label"), F.col("votes"))).alias("here"),
         )
@@ -65,7 +70,6 @@ def propagate(links: DataFrame, total: int, shards: int, rounds: int = 4) -> Dat
             ),
             "wishes",
         )
-        load = {r[0]: r[1] for r in wish.groupBy("label").count().collect()}
         asked = wish.where("gain is not null").groupBy("label", "to", "gain").count().collect()
         granted = _grant(asked, load, room, shards)
         plan = local_table(spark, "__l int, __t int, __g int, share double", granted)
@@ -102,7 +106,7 @@ def _grant(asked: list, load: dict[int, int], room: int, shards: int) -> list[tu
     return out
 
 
-def assign(rows: DataFrame, shards: int, rounds: int = 4, node: str = "node", hub: str = "hub") -> DataFrame:
+def assign(rows: DataFrame, shards: int, rounds: int = 6, node: str = "node", hub: str = "hub") -> DataFrame:
     """Add ``shard`` and ``slot`` to each row of ``rows``; shard sizes are at most one row apart.
 
     ``node`` is unique; rows with equal non-null ``hub`` are linked. Slots count from 0 in each shard.
