@@ -3,7 +3,8 @@
 Two sets of Jaccard similarity at least t share l elements among the first |x| - ceil(t |x|) + l of
 each, in any common order. Rare elements come first here. A document may take a longer
 prefix (a larger l) and then leave out its l - 1 most frequent elements when it looks for partners, for at least one of the
-l shared ones remains; a pair is compared in full only if it does share l. l is the one of least estimated cost.
+l shared ones remains. l is the one of least estimated cost. A pair is compared in full only if it met in as many
+prefix elements as it must: what two sets share is in both prefixes, was left out, or stands behind one prefix.
 
 Documents of equal sets are one class. Before the join, classes are compared with one class per prefix
 element, and what is linked so becomes one group: members of a group need not find each other again, so
@@ -22,7 +23,8 @@ from pyspark.sql import functions as F
 
 from ctrflow.llm.arrays import U, blocks, lists, mix, sets, shingles, utf8, words
 from ctrflow.llm.components import components
-from ctrflow.scratch import materialize
+from ctrflow.llm.frames import small_or_not
+from ctrflow.scratch import discard, materialize
 
 #: Longest prefix that is considered: l of the above, at most.
 MATCHES = 4
@@ -123,8 +125,7 @@ def _linked(pairs: DataFrame, classes: DataFrame, docs: DataFrame, text: str, n:
     pairs = materialize(pairs, "pairs")
     wanted = pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct()
     wanted = materialize(wanted.join(classes, "id").select("id", F.col("key").alias("__key")), "wanted")
-    # a bounded number of pairs of numbers, or else a shuffle
-    keys = F.broadcast(wanted) if wanted.count() <= BROADCAST_ROWS else wanted
+    keys = small_or_not(wanted, BROADCAST_ROWS)
     texts = docs.select(F.xxhash64(docs[f"`{text}`"]).alias("__key"), docs[f"`{text}`"].alias("__t")).join(keys, "__key")
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -141,7 +142,9 @@ def _linked(pairs: DataFrame, classes: DataFrame, docs: DataFrame, text: str, n:
     )
     shared = F.size(F.array_intersect("sa", "sb")).cast("bigint")
     compared = both.select("a", "b", (F.size("sa") + F.size("sb")).cast("bigint").alias("n"), shared.alias("m"))
-    return materialize(compared.where(F.col("m") * q >= (F.col("n") - F.col("m")) * p).select("a", "b"), "links")
+    links = materialize(compared.where(F.col("m") * q >= (F.col("n") - F.col("m")) * p).select("a", "b"), "links")
+    discard(pairs, wanted, known)
+    return links
 
 
 def _elements(signed: DataFrame) -> DataFrame:
@@ -152,7 +155,9 @@ def _elements(signed: DataFrame) -> DataFrame:
     own = rows.join(again, "e").groupBy("e", "id").agg(F.min("at").alias("at"), F.min("size").alias("size"))
     own = materialize(own, "elements")
     df = own.groupBy("e").agg(F.count(F.lit(1)).alias("df")).where("df > 1")
-    return materialize(own.join(df, "e"), "elements")
+    elements = materialize(own.join(df, "e"), "elements")
+    discard(own)
+    return elements
 
 
 def link_groups(
@@ -184,7 +189,12 @@ def link_groups(
     )
     elements = _elements(signed)
     p, q = threshold.numerator, threshold.denominator
-    slack = lambda c: F.col(c) - F.expr(f"({c} * {p} + {q - 1}) div {q}")
+
+    def slack(c: str):
+        return F.col(c) - F.expr(f"({c} * {p} + {q - 1}) div {q}")
+
+    def slack_after(c: str, matches):
+        return F.col(c) - (slack(c) + matches)
 
     def near(x: str, y: str):
         return (F.col(x) * q >= F.col(y) * p) & (F.col(y) * q >= F.col(x) * p)
@@ -219,24 +229,36 @@ def link_groups(
         inside = F.filter("l", lambda s: s["at"] < F.col("base") + (matches - 1))
         used = F.slice(inside, matches, F.greatest(F.size(inside), F.lit(1)))
         cost = F.aggregate(used, F.lit(0).cast("bigint"), lambda c, s: c + s["df"])
-        return F.struct(cost.alias("cost"), F.lit(matches).alias("matches"), F.transform(used, lambda s: s["e"]).alias("used"))
+        return F.struct(cost.alias("cost"), F.lit(matches).alias("matches"), used.alias("used"))
 
     probes = listed.select(
         "id", "size", "grp", F.array_min(F.array(*[plan(m) for m in range(1, MATCHES + 1)])).alias("p")
     ).select(
         F.col("id").alias("b"), F.col("size").alias("size_b"), F.col("grp").alias("grp_b"), F.col("p.matches").alias("l"),
-        F.explode("p.used").alias("e"),
+        F.explode("p.used").alias("u"),
+    ).select("b", "size_b", "grp_b", "l", F.col("u.e").alias("e"), F.col("u.at").alias("at_b"))
+    # elements that two sets of these sizes have to share
+    due = F.expr(f"((size_a + size_b) * {p} + {p + q - 1}) div {p + q}")
+    # at most so many stand before, at and behind a shared one
+    placed = F.least("at_a", "at_b") + F.least(F.col("size_a") - F.col("at_a"), F.col("size_b") - F.col("at_b"))
+    # of what is shared, all but what stands behind one prefix or was left out must have been met
+    behind = F.greatest(
+        F.lit(0), slack_after("size_b", F.col("l")), slack_after("size_a", F.lit(MATCHES))
     )
-    found = (
-        index.select("e", F.col("id").alias("a"), F.col("size").alias("size_a"), F.col("grp").alias("grp_a"), "at", "base")
+    candidates = (
+        index.select("e", F.col("id").alias("a"), F.col("size").alias("size_a"), F.col("grp").alias("grp_a"), F.col("at").alias("at_a"))
         .join(probes, "e")
-        .where("grp_a <> grp_b and (size_a < size_b or (size_a = size_b and a < b)) and at < base + l - 1")
-        .where(near("size_a", "size_b"))
+        .where("grp_a <> grp_b and (size_a < size_b or (size_a = size_b and a < b))")
+        .where(near("size_a", "size_b") & (placed >= due))
         .groupBy("a", "b")
-        .agg(F.max("l").alias("l"), F.max("size_a").alias("size_a"), F.max("size_b").alias("size_b"))
+        .agg(
+            F.count(F.lit(1)).alias("met"), F.max("l").alias("l"), F.max("size_a").alias("size_a"), F.max("size_b").alias("size_b")
+        )
+        .where(F.col("met") + (F.col("l") - 1) + behind >= due)
+        .select("a", "b")
     )
-    candidates = _sharing(found, signed, slack)
     links = _linked(candidates, classes, renamed, "__text", n, threshold)
+    discard(elements, grouped)
     united = components(star_links.union(links))
     tied = classes.join(united.withColumnRenamed("node", "id"), "id")
     least = tied.groupBy("component").agg(F.min("least").alias("named"))
@@ -264,24 +286,18 @@ def one_of_each(docs: DataFrame, text: str = "text", name: str = "doc_id", **how
     some = docs.where(~blank)
     found = link_groups(docs, text, [name], name=name, **how).where("n_shingles > 0")
     first = F.min(F.struct(F.col(name).isNull().alias("no"), F.col(name).alias("name"), "key"))
-    stays = found.groupBy("grp").agg(first.alias("s")).select(F.col("s.name").alias("__name"), F.col("s.key").alias("__key"))
-    chosen = some.withColumn("__own", F.xxhash64(some[f"`{text}`"])).join(
-        stays, F.col(name).eqNullSafe(F.col("__name")) & (F.col("__own") == F.col("__key")), "left_semi"
+    found = materialize(found, "grouped")
+    firsts = found.groupBy("grp").agg(first.alias("s"))
+    rows = found.groupBy(F.col(name).alias("__name"), F.col("key").alias("__key"), "grp").agg(F.count(F.lit(1)).alias("n"))
+    judged = rows.join(firsts, "grp").withColumn(
+        "stays", F.col("__name").eqNullSafe(F.col("s.name")) & (F.col("__key") == F.col("s.key"))
     )
-    return chosen.dropDuplicates([name, "__own"]).drop("__own").unionByName(docs.where(blank))
+    # a row goes unless it is the first of its group; repeated first rows are looked at by themselves
+    going = materialize(judged.where("not stays or n > 1").select("__name", "__key", "stays"), "going")
+    keyed = some.withColumn("__own", F.xxhash64(some[f"`{text}`"]))
+    same = F.col(name).eqNullSafe(F.col("__name")) & (F.col("__own") == F.col("__key"))
+    once = keyed.join(small_or_not(going), same, "left_anti")
+    again = keyed.join(small_or_not(going.where("stays")), same, "left_semi").dropDuplicates([name, "__own"])
+    return once.unionByName(again).drop("__own").unionByName(docs.where(blank))
 
 
-def _sharing(found: DataFrame, signed: DataFrame, slack) -> DataFrame:
-    """Candidates that share as many prefix elements as the longer prefixes ask for."""
-    found = materialize(found, "found")
-    strict = found.where("l > 1")
-    wanted = strict.select(F.col("a").alias("id")).union(strict.select("b")).distinct()
-    held = materialize(
-        signed.join(wanted, "id").dropDuplicates(["id"]).select("id", "prefix"), "prefixes"
-    )
-    both = strict.join(held.select(F.col("id").alias("a"), F.col("prefix").alias("pa")), "a").join(
-        held.select(F.col("id").alias("b"), F.col("prefix").alias("pb")), "b"
-    )
-    cut = lambda p, s: F.slice(p, F.lit(1), (slack(s) + F.col("l")).cast("int"))
-    enough = both.where(F.size(F.array_intersect(cut("pa", "size_a"), cut("pb", "size_b"))) >= F.col("l"))
-    return found.where("l = 1").select("a", "b").union(enough.select("a", "b"))
