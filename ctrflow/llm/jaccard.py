@@ -7,7 +7,7 @@ l shared ones remains. l is the one of least estimated cost. A pair is compared
 prefix elements as it must: what two sets share is in both prefixes, was left out, or stands behind one prefix.
 
 Documents of equal sets are one class. Before the join, classes are compared with one class per prefix
-element, and what is linked so becomes one group: members of a group need not find each other again, so
+element, in a few rounds with another one each, and what is linked so becomes one group: members of a group need not find each other again, so
 a large group of near copies costs no pairs within it.
 """
 
@@ -32,6 +32,8 @@ MATCHES = 4
 SHARE = 1e-5
 #: Elements counted together when frequent ones are looked for.
 CHUNK = 4_000_000
+#: Rounds of comparing with one class per element before pairs are looked for.
+ROUNDS = 3
 #: Classes whose sets are fetched by broadcasting their keys; more of them are fetched by shuffle.
 BROADCAST_ROWS = 1_000_000
 
@@ -148,14 +150,14 @@ def _linked(pairs: DataFrame, classes: DataFrame, docs: DataFrame, text: str, n:
 
 
 def _elements(signed: DataFrame) -> DataFrame:
-    """``(e, id, at, size, df)``: prefix elements that at least two classes share."""
+    """``(e, id, at, size, df, grp)``: prefix elements that at least two classes share, each class a group of its own."""
     rows = signed.where("size > 0").select("id", "size", F.posexplode("prefix").alias("at", "e"))
     again = rows.groupBy("e").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("e")
     # copies of a class are one row from here on
     own = rows.join(again, "e").groupBy("e", "id").agg(F.min("at").alias("at"), F.min("size").alias("size"))
     own = materialize(own, "elements")
     df = own.groupBy("e").agg(F.count(F.lit(1)).alias("df")).where("df > 1")
-    elements = materialize(own.join(df, "e"), "elements")
+    elements = materialize(own.join(df, "e").withColumn("grp", F.col("id")), "elements")
     discard(own)
     return elements
 
@@ -199,28 +201,38 @@ def link_groups(
     def near(x: str, y: str):
         return (F.col(x) * q >= F.col(y) * p) & (F.col(y) * q >= F.col(x) * p)
 
-    # first, each class with the least class of its elements, where they share most of them
-    firsts = elements.groupBy("e").agg(F.min("id").alias("a"))
-    held = elements.groupBy("id").agg(F.count(F.lit(1)).alias("held"))
-    stars = (
-        elements.join(firsts, "e").where("a <> id").groupBy("a", "id").agg(
-            F.count(F.lit(1)).alias("m"), F.min("size").alias("size")
+    # first, some rounds of each class with one class per element, where they share most of them; another one each
+    # round, and only where elements are still shared across groups
+    links = None
+    for turn in range(ROUNDS):
+        firsts = elements.groupBy("e").agg(F.min_by("id", F.xxhash64("id", F.lit(turn))).alias("a"))
+        held = elements.groupBy("id").agg(F.count(F.lit(1)).alias("held"))
+        known = classes.select(F.col("id").alias("a"), F.col("size").alias("other"))
+        if links is None:
+            known = known.withColumn("other_grp", F.col("a"))
+        else:
+            known = known.join(groups.withColumnsRenamed({"id": "a", "grp": "other_grp"}), "a", "left")
+        stars = (
+            elements.select("e", "id", "size", "grp").join(firsts, "e").where("a <> id").groupBy("a", "id").agg(
+                F.count(F.lit(1)).alias("m"), F.min("size").alias("size"), F.min("grp").alias("grp")
+            )
+            .join(held, "id").where("2 * m >= held")
+            .join(known, "a")
+            .where(near("size", "other") & (F.col("grp") != F.coalesce("other_grp", "a")))
+            .select("a", F.col("id").alias("b"))
         )
-        .join(held, "id").where("2 * m >= held")
-        .join(classes.select(F.col("id").alias("a"), F.col("size").alias("other")), "a")
-        .where(near("size", "other")).select("a", F.col("id").alias("b"))
-    )
-    star_links = _linked(stars, classes, renamed, "__text", n, threshold)
-    groups = materialize(
-        components(star_links).select(F.col("node").alias("id"), F.col("component").alias("grp")), "groups"
-    )
+        found = _linked(stars, classes, renamed, "__text", n, threshold)
+        links = found if links is None else links.union(found)
+        groups = materialize(
+            components(links).select(F.col("node").alias("id"), F.col("component").alias("grp")), "groups"
+        )
+        grouped = elements.drop("grp").join(groups, "id", "left").withColumn("grp", F.coalesce("grp", "id"))
+        mixed = grouped.groupBy("e").agg(F.min("grp").alias("g0"), F.max("grp").alias("g1")).where("g0 <> g1").select("e")
+        before, elements = elements, materialize(grouped.join(mixed, "e").select(*elements.columns), "elements")
+        discard(before)
 
     # then all pairs across groups
-    grouped = materialize(
-        elements.join(groups, "id", "left").withColumn("grp", F.coalesce("grp", "id")), "grouped"
-    )
-    mixed = grouped.groupBy("e").agg(F.min("grp").alias("g0"), F.max("grp").alias("g1")).where("g0 <> g1").select("e")
-    index = grouped.join(mixed, "e").withColumn("base", slack("size") + 1)
+    index = elements.withColumn("base", slack("size") + 1)
     listed = index.groupBy("id", "size", "grp", "base").agg(
         F.sort_array(F.collect_list(F.struct("df", "at", "e")), asc=False).alias("l")
     )
@@ -257,9 +269,9 @@ def link_groups(
         .where(F.col("met") + (F.col("l") - 1) + behind >= due)
         .select("a", "b")
     )
-    links = _linked(candidates, classes, renamed, "__text", n, threshold)
-    discard(elements, grouped)
-    united = components(star_links.union(links))
+    links = links.union(_linked(candidates, classes, renamed, "__text", n, threshold))
+    discard(elements)
+    united = components(links)
     tied = classes.join(united.withColumnRenamed("node", "id"), "id")
     least = tied.groupBy("component").agg(F.min("least").alias("named"))
     named = tied.select("id", "component").join(least, "component").select("id", "named", "component")
