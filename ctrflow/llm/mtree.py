@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from ctrflow.scratch import local_table, materialize
 
 #: Routing objects (drawn by a hash of the id), entries of a page, queries of a block; all on average.
-ROUTES, PAGE, BLOCK = 64, 1024, 512
+ROUTES, PAGE, BLOCK = 64, 256, 256
 #: Largest integers that doubles hold exactly.
 _EXACT = float(1 << 53)
 
