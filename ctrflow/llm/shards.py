@@ -25,7 +25,7 @@ def _unit(*parts: Column) -> Column:
     return F.xxhash64(*parts).bitwiseAND(F.lit((1 << 40) - 1)) / float(1 << 40)
 
 
-def propagate(links: DataFrame, total: int, shards: int, rounds: int = 6) -> DataFrame:
+def propagate(links: DataFrame, total: int, shards: int, rounds: int = 5) -> DataFrame:
     """A shard for each linked node: ``(node, first, label)``, first being its least hub.
 
     ``links`` has rows ``(node, hub)``: nodes of a hub are each other's neighbours. ``total`` is the number of
@@ -106,7 +106,7 @@ def _grant(asked: list, load: dict[int, int], room: int, shards: int) -> list[tu
     return out
 
 
-def assign(rows: DataFrame, shards: int, rounds: int = 6, node: str = "node", hub: str = "hub") -> DataFrame:
+def assign(rows: DataFrame, shards: int, rounds: int = 5, node: str = "node", hub: str = "hub") -> DataFrame:
     """Add ``shard`` and ``slot`` to each row of ``rows``; shard sizes are at most one row apart.
 
     ``node`` is unique; rows with equal non-null ``hub`` are linked. Slots count from 0 in each shard.
