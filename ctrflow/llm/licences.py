@@ -95,6 +95,13 @@ GAP = 3
 #: A sentence ends at one of these before white space; the lines of a text are looked at by themselves too.
 SENTENCE_END = r"[.!?:;]+[\x09-\x0D\x20]+"
 LINE_END = r"[\n\r]+"
+#: Headings and copyright lines have no full stop: a line without letters and digits (blanks, comment marks) ends a
+#: sentence too, and so does a copyright line.
+_MARKS = r"\x09\x0B\x0C\x20-\x2F\x3A-\x40\x5B-\x60\x7B-\x7E"
+PARAGRAPH_END = (
+    rf"\n[\n\r{_MARKS}]*\n|\r[\r{_MARKS}]*\r"
+    r"|copyright[\x09\x20]*(?:\(c\)|\u00A9|[0-9]{4})[^\n\r]*[\n\r]+"
+)
 _OTHER = r"[^a-z0-9]+"
 
 
@@ -164,7 +171,8 @@ def recognise(
 ) -> DataFrame:
     """Add ``sentences`` (names of known sentences found, sorted) and ``licences`` (names of rules met, sorted).
 
-    Sentences are compared by their letters and digits, A-Z as a-z, wrapped over lines or on a line of their own. A rule
+    Sentences are compared by their letters and digits, A-Z as a-z, wrapped over lines or on a line of their own, also
+    after a heading or a copyright line without a full stop if a blank line or the copyright line ends there. A rule
     is met where its sentences follow each other in order with at most GAP unknown sentences between two
     known ones. Null and empty texts have none. Each row stands for itself, in its own task; the sentences and rules
     are fixed lists of some hundreds at most. ``keep`` names the columns that stay (default: all).
@@ -179,8 +187,8 @@ def recognise(
         some = F.lit(False)
         for h in hints(known):
             some = some | F.contains(t, F.lit(h))
-        views = [identifiers(t, SENTENCE_END, known), identifiers(t, LINE_END, known)]
-        return F.when(some, F.concat(views[0], F.lit("#"), views[1])).otherwise("")
+        views = [identifiers(t, e, known) for e in (SENTENCE_END, LINE_END, f"{SENTENCE_END}|{PARAGRAPH_END}")]
+        return F.when(some, F.concat_ws("#", *views)).otherwise("")
 
     sequence = F.col("__sequence")
     met = [F.when(F.rlike(sequence, F.lit(rule_pattern(r, names))), F.lit(licence)) for licence, r in rules]

@@ -118,6 +118,93 @@ def test_licence_edges(spark, docs, none):
     assert got == {1: ["MIT"], 2: [], 3: ["all-rights-reserved"], 4: ["MIT"]}
 
 
+MIT = """MIT License
+
+{c}
+
+Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction, including without limitation the rights
+to use, copy, modify, merge, publish, distribute, sublicense, and/or sell
+copies of the Software, and to permit persons to whom the Software is
+furnished to do so, subject to the following conditions:
+
+The above copyright notice and this permission notice shall be included in all
+copies or substantial portions of the Software.
+
+THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR
+IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY,
+FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE
+AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER
+LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM,
+OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE
+SOFTWARE."""
+ISC = """ISC License
+
+{c}
+
+Permission to use, copy, modify, and/or distribute this software for any
+purpose with or without fee is hereby granted, provided that the above
+copyright notice and this permission notice appear in all copies.
+
+THE SOFTWARE IS PROVIDED "AS IS" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH
+REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF MERCHANTABILITY
+AND FITNESS. IN NO EVENT SHALL THE AUTHOR BE LIABLE FOR ANY DAMAGES."""
+BSD = """BSD 2-Clause License
+
+{c}
+
+Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions are met:
+
+1. Redistributions of source code must retain the above copyright notice, this
+   list of conditions and the following disclaimer.
+
+2. Redistributions in binary form must reproduce the above copyright notice,
+   this list of conditions and the following disclaimer in the documentation
+   and/or other materials provided with the distribution.
+
+THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS"
+AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE
+IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE
+DISCLAIMED."""
+APACHE = """{c}
+
+Licensed under the Apache License, Version 2.0 (the "License");
+you may not use this file except in compliance with the License.
+You may obtain a copy of the License at
+
+    http://www.apache.org/licenses/LICENSE-2.0
+
+Unless required by applicable law or agreed to in writing, software
+distributed under the License is distributed on an "AS IS" BASIS,
+WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied.
+See the License for the specific language governing permissions and
+limitations under the License."""
+GPL = """frob, a tool
+{c}
+
+This program is free software: you can redistribute it and/or modify
+it under the terms of the GNU General Public License as published by
+the Free Software Foundation, either version 3 of the License, or
+(at your option) any later version."""
+
+
+def test_whole_standard_licences(spark):
+    whole = {"MIT": MIT, "ISC": ISC, "BSD-2-Clause": BSD, "Apache-2.0": APACHE, "GPL-3.0-or-later": GPL}
+    rows = []
+    for name, words in whole.items():
+        for c in ("Copyright (c) 2020 Jane Doe", "Copyright 2020 J. Doe"):
+            text = words.format(c=c)
+            for mark in ("", "# ", "// ", " * "):
+                lines = [(mark + x).rstrip() for x in text.split("\n")]
+                rows += [(name, e.join(lines)) for e in ("\n", "\r\n", "\r")]
+                # without any blank line too
+                rows += [(name, "\n".join(x for x in lines if x.strip(" #/*") and "License" != x[-7:]))]
+    found = licences.recognise(spark.createDataFrame(rows, "name string, text string")).collect()
+    assert len(found) == len(rows) and all(r["licences"] == [r["name"]] for r in found)
+
+
 def test_similarity_edges(docs, none):
     got = jaccard.link_groups(docs, n=3, threshold=Fraction(9, 10)).collect()
     assert len(got) == docs.count()
