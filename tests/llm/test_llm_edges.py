@@ -336,3 +336,46 @@ def test_a_long_phrase_of_other_texts_does_not_hide_a_passage(spark):
     got = passages.repeated_passages(spark.createDataFrame(rows, "doc_id int, text string")).collect()
     assert {r.doc_id for r in got} == {100 * j + i for j in range(6) for i in (50, 51)}
     assert {(r.start, r.stop) for r in got} == {(60, 110)}
+
+
+def test_passages_with_insertions_and_deletions(spark):
+    """One passage, not its pieces, none of which has the length by itself."""
+    rows, want = [], set()
+    for k, (length, at, cut) in enumerate([(90, (45,), 0), (120, (40, 80), 0), (60, (30,), 0), (90, (45,), 1), (100, (33,), 3), (70, (35,), 2)]):
+        body = [f"b{k}_{i}" for i in range(length)]
+        other = list(body)
+        for i in reversed(at):
+            other[i : i + cut] = [] if cut else ["extra"]
+        for i, words in enumerate((body, other)):
+            own = [f"o{k}{i}_{j}" for j in range(60)]
+            rows.append((10 * k + i, " ".join([*own, *words, *reversed(own)])))
+            want.add((10 * k + i, 60, 60 + len(words)))
+    got = passages.repeated_passages(spark.createDataFrame(rows, "doc_id int, text string")).collect()
+    assert {(r.doc_id, r.start, r.stop) for r in got} == want
+    assert all(r.similarity >= 0.8 for r in got)
+
+
+def test_spans_against_brute_force():
+    import numpy as np
+
+    rng = np.random.default_rng(1)
+    for _ in range(60):
+        a = np.arange(60, dtype=np.int32)
+        b = a.tolist()
+        for at in sorted(rng.choice(60, 4, replace=False).tolist(), reverse=True):
+            new = [1000 + at] * int(rng.integers(0, 3))
+            b[at : at + int(rng.integers(0, 3))] = new
+        b = np.array([*range(2000, 2004), *b], np.int32)
+        good = set()
+        for i0 in range(60):
+            for j0 in np.flatnonzero(b == a[i0]).tolist():
+                for i1 in range(i0 + 9, 60):
+                    for j1 in np.flatnonzero(b == a[i1]).tolist():
+                        if j1 - j0 >= 9:
+                            m = len(set(a[i0 : i1 + 1].tolist()) & set(b[j0 : j1 + 1].tolist()))
+                            if 5 * m >= 4 * (i1 - i0 + j1 - j0 + 2 - m):
+                                good.add((i0, i1 + 1, j0, j1 + 1, m))
+        got = set(passages.aligned_spans(a, b, [4], 10, 4, 5))
+        assert got <= good
+        for x in good:
+            assert any(y[0] <= x[0] and x[1] <= y[1] and y[2] <= x[2] and x[3] <= y[3] for y in got)
