@@ -379,3 +379,19 @@ def test_spans_against_brute_force():
         assert got <= good
         for x in good:
             assert any(y[0] <= x[0] and x[1] <= y[1] and y[2] <= x[2] and x[3] <= y[3] for y in got)
+
+
+def test_two_phrases_of_other_texts_do_not_hide_a_changed_passage(spark):
+    """Nearly all of the passage is two phrases that stand alone in many texts; the word between them is changed."""
+    rows = []
+    for j in range(6):
+        first, last = ([f"{p}{j}_{i}" for i in range(44)] for p in "pq")
+        for i in range(24):
+            own = [f"d{j}{i}_{k}" for k in range(60)]
+            rows.append((100 * j + i, " ".join([*own, *(last if i % 2 else first), *reversed(own)])))
+        for i in (50, 51):
+            own = [f"g{j}{i}_{k}" for k in range(60)]
+            body = [*first, *[f"x{j}_{k}" for k in range(5)], f"changed{i}", *[f"y{j}_{k}" for k in range(5)], *last]
+            rows.append((100 * j + i, " ".join([*own, *body, *reversed(own)])))
+    got = passages.repeated_passages(spark.createDataFrame(rows, "doc_id int, text string")).collect()
+    assert {(r.doc_id, r.start, r.stop) for r in got} == {(100 * j + i, 60, 159) for j in range(6) for i in (50, 51)}
