@@ -395,3 +395,12 @@ def test_two_phrases_of_other_texts_do_not_hide_a_changed_passage(spark):
             rows.append((100 * j + i, " ".join([*own, *body, *reversed(own)])))
     got = passages.repeated_passages(spark.createDataFrame(rows, "doc_id int, text string")).collect()
     assert {(r.doc_id, r.start, r.stop) for r in got} == {(100 * j + i, 60, 159) for j in range(6) for i in (50, 51)}
+
+
+def test_pipeline_language_stage_without_labels(spark):
+    import corpus_pipeline
+
+    rows = [(1, "some words", None, "x", 10), (2, "123 _ 4", None, "x", 7), (3, None, None, "x", 0), (4, "é", None, "x", 1), (5, "", None, "x", 0)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string, n_chars bigint")
+    got = corpus_pipeline.language(spark, docs, "")
+    assert got.columns == corpus_pipeline.COLUMNS and sorted(r.doc_id for r in got.collect()) == [1, 4]
