@@ -241,7 +241,9 @@ def link_groups(
         inside = F.filter("l", lambda s: s["at"] < F.col("base") + (matches - 1))
         used = F.slice(inside, matches, F.greatest(F.size(inside), F.lit(1)))
         cost = F.aggregate(used, F.lit(0).cast("bigint"), lambda c, s: c + s["df"])
-        return F.struct(cost.alias("cost"), F.lit(matches).alias("matches"), used.alias("used"))
+        # a set has to share so many elements with any other that is linked with it
+        fits = F.lit(matches) <= F.greatest(F.expr(f"(size * {p} + {q - 1}) div {q}"), F.lit(1))
+        return F.when(fits, F.struct(cost.alias("cost"), F.lit(matches).alias("matches"), used.alias("used")))
 
     probes = listed.select(
         "id", "size", "grp", F.array_min(F.array(*[plan(m) for m in range(1, MATCHES + 1)])).alias("p")

@@ -404,3 +404,21 @@ def test_pipeline_language_stage_without_labels(spark):
     docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string, n_chars bigint")
     got = corpus_pipeline.language(spark, docs, "")
     assert got.columns == corpus_pipeline.COLUMNS and sorted(r.doc_id for r in got.collect()) == [1, 4]
+
+
+def test_small_sets_at_a_low_threshold(spark):
+    """Sets of one and two elements share one at 1/2; the other texts of that element are linked with neither."""
+    rows, want = [], {}
+    for k in range(10):
+        texts = [f"a{k}", f"a{k} x{k}", *[" ".join([f"a{k}", *[f"y{k}_{i}_{j}" for j in range(9)]]) for i in range(30)]]
+        for i, text in enumerate(texts):
+            rows.append((100 * k + i, text))
+            want[100 * k + i] = 100 * k + (0 if i == 1 else i)
+    for size in range(1, 5):
+        # two of four, three of four and so on
+        words = [f"z{size}_{i}" for i in range(2 * size)]
+        rows += [(5000 + 10 * size, " ".join(words[:size])), (5001 + 10 * size, " ".join(words))]
+        want |= {5000 + 10 * size: 5000 + 10 * size, 5001 + 10 * size: 5000 + 10 * size}
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    got = jaccard.link_groups(docs, n=1, threshold=Fraction(1, 2)).collect()
+    assert {r.doc_id: r.component_id for r in got} == want
