@@ -332,7 +332,7 @@ def hash_bucket(spark, sf):
     with_sql(
         SQL_CLICKS, SQL_MOMENTS,
         body=" union all ".join(
-            f"select '{c}' as feature, {sql_round(f'm_{c}')} as mean, {sql_round(f's_{c}')} as std from moments"
+            f"select '{c}' as feature, {sql_round(f'm_{c}', 7)} as mean, {sql_round(f's_{c}', 7)} as std from moments"
             for c in CONTS
         ),
     ),
@@ -342,7 +342,7 @@ def normalize_fit(spark, sf):
     fitted = Workflow(CONTS >> FillMissing() >> Clip(min_value=0) >> Normalize()).fit(train)
     state = [(c, m["mean"], m["std"]) for c, m in fitted.moments.items()]
     out = spark.createDataFrame(state, "feature string, mean double, std double")
-    return rounded(out, "mean", "std")
+    return rounded(out, "mean", "std", digits=7)
 
 
 @query(
@@ -448,7 +448,7 @@ def workflow_compose(spark, sf):
     with_sql(
         SQL_CLICKS, SQL_MOMENTS, SQL_VOCAB,
         body=" union all ".join(
-            f"select '{c}' as name, {sql_round(f'm_{c}')} as mean, cast(null as bigint) as n from moments"
+            f"select '{c}' as name, {sql_round(f'm_{c}', 7)} as mean, cast(null as bigint) as n from moments"
             for c in CONTS
         )
         + " union all select col, null, count(*) from vocab group by col",
@@ -458,7 +458,7 @@ def workflow_fit(spark, sf):
     fitted = fit(spark, sf)
     rows = [(c, m["mean"], None) for c, m in fitted.moments.items()]
     rows += [(c, None, s.n) for c, s in fitted.sizes.items()]
-    return rounded(spark.createDataFrame(rows, "name string, mean double, n bigint"), "mean")
+    return rounded(spark.createDataFrame(rows, "name string, mean double, n bigint"), "mean", digits=7)
 
 
 @query("workflow_transform", _sql_transformed())

@@ -180,7 +180,7 @@ _STATS_COLS = [*CLICKS.conts, *CLICKS.cats]
         SQL_CLICKS,
         body=" union all ".join(
             f"""select '{c}' as feature, count({c}) as n_present,
-              {sql_round(f'avg({c})') if c[0] == 'i' else 'null'} as mean,
+              {sql_round(f'avg({c})', 7) if c[0] == 'i' else 'null'} as mean,
               {'null' if c[0] == 'i' else f'count(distinct {c})'} as n_unique from clicks"""
             for c in _STATS_COLS
         ),
@@ -192,4 +192,4 @@ def load_saved_stats(spark, sf):
     out = load_stats(spark, path).select(
         "feature", "n_present", F.col("num.mean").alias("mean"), F.col("str.n_unique").alias("n_unique")
     )
-    return rounded(out, "mean")
+    return rounded(out, "mean", digits=7)

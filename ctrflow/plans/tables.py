@@ -42,8 +42,8 @@ def limit_rows(spark, sf):
         select 'm' || cast(o_custkey % 17 as varchar) as o_clerk, o_orderkey % 997 as version,
           'models/m' || cast(o_custkey % 17 as varchar) || '/v' || cast(o_orderkey % 997 as varchar)
             || '/weights.bin' as path from orders) group by 1, 2)
-    select model, cast(max(version) as int) as version, arg_max(path, version) as path,
-      cast(max(version) + 1 as int) as next_version from log group by model""",
+    select model, cast(max(version) as bigint) as version, arg_max(path, version) as path,
+      cast(max(version) + 1 as bigint) as next_version from log group by model""",
 )
 def latest_version(spark, sf):
     paths = table(spark, sf, "orders").select(
