@@ -73,6 +73,19 @@ def small_or_not(written: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     return F.broadcast(written) if written.count() <= rows else written
 
 
+def keyed(rows: DataFrame, side: DataFrame, on: list[str], limit: int = BROADCAST_ROWS, salts: int = 64) -> DataFrame:
+    """``rows`` joined with a written table that has one row per key, however many rows a key has.
+
+    The table is broadcast if it has no more than ``limit`` rows. Otherwise each of its rows goes to ``salts``
+    places, over which the rows of a hot key are dealt. Null keys meet nothing.
+    """
+    if side.count() <= limit:
+        return rows.join(F.broadcast(side), on)
+    dealt = rows.withColumn("__salt", F.pmod(F.xxhash64(*rows.columns), F.lit(salts)))
+    copies = side.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1)).cast("array<bigint>")))
+    return dealt.join(copies, [*on, "__salt"]).drop("__salt")
+
+
 def crc_mod(doc_id: Column | str, n: int) -> Column:
     """The remainder of the CRC-32 of an id written as text; null ids count as empty text."""
     text = F.coalesce(F.col(doc_id) if isinstance(doc_id, str) else doc_id, F.lit(None)).cast("string")

@@ -4,6 +4,7 @@ from ctrflow.llm import (  # noqa: F401
     decontamination,
     language,
     licence_query,
+    mixing,
     nearest,
     quality,
     secrets_query,
