@@ -1,7 +1,9 @@
 """All queries of this package. Importing the modules registers them."""
 
 from ctrflow.llm import (  # noqa: F401
+    collocations,
     decontamination,
+    divergence,
     language,
     licence_query,
     mixing,
