@@ -14,6 +14,7 @@ from pyspark.sql import types as T
 
 from ctrflow.functions.auc import rolling_auc as _rolling
 from ctrflow.operators.order import carry_last, dense_seq
+from ctrflow.scratch import materialize
 
 
 def class_counts(df: DataFrame, label: str = "label") -> DataFrame:
@@ -92,6 +93,19 @@ def rolling_auc(
     over many tasks and small keys share one. Each block also gets copies of
     the ``n - 1`` rows before it.
     """
+    out = _in_blocks(df, order, y, p, n, key, block, unique, None)
+    names = [*df.columns, "rolling_auc", "in_window"]
+    return out.select(*names).withColumn("rolling_auc", F.nanvl("rolling_auc", F.lit(None).cast("double")))
+
+
+def _in_blocks(
+    df: DataFrame, order: Sequence[str], y: str, p: str, n: int, key: Sequence[str], block: int | None,
+    unique: bool, known: str | None,
+) -> DataFrame:
+    """``rolling_auc`` with its ``__block`` and ``__seq``, and ``__held``: the last AUC of the key so far in the block.
+
+    ``known`` names a column whose value, where there is one, is held instead of a row's own.
+    """
     block = block or max(20 * n, 20_000)
     numbered = dense_seq(df, [*key, *order], "__seq", start=0, unique=unique)
     seq = F.col("__seq")
@@ -100,12 +114,15 @@ def rolling_auc(
     blocks = numbered.withColumn("__home", home).withColumn(
         "__block", F.explode(F.sequence(home, last))
     )
-    names, keys = list(df.columns), list(key)
+    names, keys = [*df.columns, "__block", "__seq"], list(key)
+    fields = {f.name: f for f in blocks.schema.fields}
+    double = T.DoubleType()
     schema = T.StructType(
         [
-            *df.schema.fields,
-            T.StructField("rolling_auc", T.DoubleType()),
+            *[fields[c] for c in names],
+            T.StructField("rolling_auc", double),
             T.StructField("in_window", T.LongType()),
+            T.StructField("__held", double),
         ]
     )
 
@@ -116,16 +133,76 @@ def rolling_auc(
         if keys:
             pdf = part.select(keys).to_pandas(types_mapper=pd.ArrowDtype)
             segment = pdf.groupby(keys, sort=False, dropna=False).ngroup().to_numpy()
-        labels, scores = (
-            pc.fill_null(part.column(c).cast(pa.float64()), float("nan")).to_numpy() for c in (y, p)
-        )
-        auc, size = _rolling(labels, scores, n, segment)
+
+        def numbers(c):
+            return pc.fill_null(part.column(c).cast(pa.float64()), float("nan")).to_numpy()
+
+        auc, size = _rolling(numbers(y), numbers(p), n, segment)
         mine = pc.equal(part.column("__home"), part.column("__block")).to_numpy()
+        held = auc[mine]
+        if known:
+            given = numbers(known)[mine]
+            held = np.where(np.isnan(given), held, given)
+        row = np.arange(len(held))
+        at = np.maximum.accumulate(np.where(np.isnan(held), -1, row)) if len(held) else row
+        if segment is not None:
+            # not beyond where the key's rows begin
+            ours = segment[mine]
+            begin = np.maximum.accumulate(np.where(np.r_[True, ours[1:] != ours[:-1]], row, 0)) if len(ours) else row
+            at = np.where(at < begin, -1, at)
+        held = np.where(at >= 0, held[np.maximum(at, 0)], np.nan)
         out = part.select(names).filter(pa.array(mine))
-        return out.append_column("rolling_auc", pa.array(auc[mine])).append_column("in_window", pa.array(size[mine]))
+        for name, values in (("rolling_auc", auc[mine]), ("in_window", size[mine]), ("__held", held)):
+            out = out.append_column(name, pa.array(values))
+        return out
+
+    return blocks.groupBy("__block").applyInArrow(one_block, schema)
+
+
+def rolling_auc_held(
+    df: DataFrame,
+    order: Sequence[str],
+    y: str,
+    p: str,
+    n: int = 500,
+    key: Sequence[str] = (),
+    block: int | None = None,
+    unique: bool = False,
+    init: float = 1.0,
+    known: str | None = None,
+) -> DataFrame:
+    """``rolling_auc`` where each row has the last AUC there was; ``init`` before any.
 
-    out = blocks.groupBy("__block").applyInArrow(one_block, schema)
-    return out.withColumn("rolling_auc", F.nanvl("rolling_auc", F.lit(None).cast("double")))
+    The rows are put in order once. Each block carries its own values; what goes from block to block is one row per
+    block, the last key there and the last value it has had.
+    """
+    blocks = materialize(_in_blocks(df, order, y, p, n, key, block, unique, known), "blocks")
+    none = F.lit(None).cast("double")
+    held = F.nanvl("__held", none)
+    last = F.max_by(F.struct(*[F.col(k) for k in key], held.alias("held")), F.col("__seq")).alias("last")
+    ends = blocks.groupBy("__block").agg(last).select(
+        F.col("__block").alias("__after"), *[F.col("last")[k].alias(f"__k{i}") for i, k in enumerate(key)], "last.held"
+    )
+    names = [f"__k{i}" for i in range(len(key))]
+    # a block that starts with a key follows blocks that end with it, if there are earlier rows of the key
+    begins = materialize(
+        blocks.groupBy("__block").agg(F.min_by(F.struct(F.lit(0), *key), F.col("__seq")).alias("first")).select(
+            "__block", *[F.col("first")[k].alias(f"__k{i}") for i, k in enumerate(key)]
+        ).withColumn("held", none).select(F.col("__block").alias("__after"), *names, "held", F.lit(True).alias("asks"))
+        .unionAll(ends.select("__after", *names, "held", F.lit(False))),
+        "ends",
+    )
+    earlier = Window.partitionBy(*names).orderBy("__after", F.desc("asks")).rowsBetween(Window.unboundedPreceding, -1)
+    asked = begins.withColumn("__carried", F.last("held", ignorenulls=True).over(earlier)).where("asks").where(
+        "__carried is not null"
+    )
+    same = F.col("__block") == F.col("__after")
+    for k, name in zip(key, names):
+        same = same & F.col(k).eqNullSafe(F.col(name))
+    out = blocks.join(asked, same, "left")
+    return out.select(
+        *df.columns, F.coalesce(held, "__carried", F.lit(init)).alias("rolling_auc"), "in_window"
+    )
 
 
 def carry_last_valid(

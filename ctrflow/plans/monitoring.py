@@ -105,7 +105,7 @@ def rolling_auc_by_model(spark, sf):
 
 
 def carried(spark, sf):
-    return metrics.carry_last_valid(rolled(spark, sf), ARRIVAL, unique=True)
+    return metrics.rolling_auc_held(scored(spark, sf), ARRIVAL, "trueval", "predval", N, unique=True)
 
 
 @query(

@@ -30,7 +30,7 @@ from ctrflow.scratch import new_path, set_times
 from ctrflow.streaming import events as ev
 from ctrflow.streaming import monitor as mon
 from ctrflow.streaming.requestlog import log_requests
-from ctrflow.streaming.windows import window_deltas
+from ctrflow.streaming.windows import live_increase, window_deltas
 
 ROWS_PER_FILE = 1_000_000
 
@@ -51,7 +51,14 @@ def feed(spark, df: DataFrame, order, rows_per_file: int = ROWS_PER_FILE) -> Dat
 
 def played(stream: DataFrame, spark) -> tuple[DataFrame, list[int]]:
     """Play an append stream to its end; what it wrote, and the rows of each batch."""
+    out, progress = followed(stream, spark)
+    return out, [p["numInputRows"] for p in progress if p["numInputRows"]]
+
+
+def followed(stream: DataFrame, spark) -> tuple[DataFrame, list]:
+    """Play an append stream to its end; what it wrote, and the progress of every batch."""
     path = new_path(spark, "out")
+    spark.conf.set("spark.sql.streaming.numRecentProgressUpdates", 1_000_000)
     query_ = (
         stream.writeStream.format("parquet")
         .option("checkpointLocation", new_path(spark, "ckpt"))
@@ -59,17 +66,24 @@ def played(stream: DataFrame, spark) -> tuple[DataFrame, list[int]]:
         .start(path)
     )
     query_.awaitTermination()
-    sizes = [p["numInputRows"] for p in query_.recentProgress if p["numInputRows"]]
-    return spark.read.schema(stream.schema).parquet(path), sizes
+    return spark.read.schema(stream.schema).parquet(path), query_.recentProgress
+
+
+def dropped_rows(progress: list) -> int:
+    """Rows that came behind the watermark."""
+    return sum(o["numRowsDroppedByWatermark"] for p in progress for o in p["stateOperators"])
+
+
+def sql_passed(ts: str, step_ms: int, latest: str, delay_ms: int) -> str:
+    """Whether the watermark passes the end of the step that holds a time before the stream ends."""
+    return f"(epoch_us({ts}) // {step_ms * 1000} + 1) * {step_ms} <= epoch_us({latest}) // 1000 - {delay_ms}"
 
 
 def run(stream: DataFrame, spark) -> DataFrame:
     return played(stream, spark)[0]
 
 
-def _monitored(spark, sf, cfg):
-    events = scored(spark, sf)
-    return run(mon.monitor_stream(feed(spark, events, ARRIVAL), cfg), spark)
+HOUR = 3_600_000
 
 
 @query(
@@ -82,7 +96,11 @@ def _monitored(spark, sf, cfg):
     ),
 )
 def stream_rolling_auc(spark, sf):
-    out = _monitored(spark, sf, mon.MonitorConfig(n=N, reset=False))
+    """Without resets: every batch in blocks of all keys."""
+    path = new_path(spark, "rolling")
+    events = feed(spark, scored(spark, sf), ARRIVAL)
+    mon.rolling_auc_stream(events, path, new_path(spark, "ckpt"), N).awaitTermination()
+    out = mon.read_rolling(spark, path)
     return rounded(
         out.select("event_id", "model_key", "in_window", "rolling_auc"), "rolling_auc", digits=9
     )
@@ -129,14 +147,16 @@ SQL_RESETS = "with recursive " + ",".join([
            where held < {LIMIT} and size > {N // 2} and (step = 0 or n - start + 1 > {COOLDOWN}))
          where first_hit = 1)""",
 ]) + f"""
-select event_id, k as model_key, in_window, {sql_round('auc', 9)} as rolling_auc from resets where step > 0"""
+select event_id, k as model_key, in_window, {sql_round('auc', 9)} as rolling_auc from resets
+join scored using (event_id) where step > 0 and {sql_passed('ts', HOUR, '(select max(ts) from events)', 0)}"""
 
 
 @query("stream_trigger_reset", SQL_RESETS)
 def stream_trigger_reset(spark, sf):
-    """Accepted alerts, each of which cleared its model's buffer."""
+    """Accepted alerts, each of which cleared its model's buffer, in the hours that the stream has passed."""
     cfg = mon.MonitorConfig(n=N, threshold=LIMIT, cooldown=COOLDOWN)
-    out = _monitored(spark, sf, cfg).where("accepted")
+    events = scored(spark, sf).withColumn("ts", F.col("ts").cast("timestamp"))
+    out = run(mon.monitor_stream(feed(spark, events, ARRIVAL), cfg, step="1 hour"), spark).where("accepted")
     return rounded(out.select("event_id", "model_key", "in_window", "rolling_auc"), "rolling_auc", digits=9)
 
 
@@ -209,11 +229,9 @@ def stream_drain(spark, sf):
     events = table(spark, sf, "events")
     src, dst = new_path(spark, "src"), new_path(spark, "dst")
     events.write.parquet(src)
-    checkpoint = new_path(spark, "ckpt")
-    ev.drain(spark, src, dst, checkpoint, events.schema, max_files=2).awaitTermination()
-    ev.delete_drained(spark, checkpoint)
+    ev.drain(spark, src, dst, new_path(spark, "ckpt"), events.schema, max_files=2).awaitTermination()
     left = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").load(src).count()
-    return spark.read.parquet(dst).withColumn("left_behind", F.lit(left).cast("bigint"))
+    return ev.read_drained(spark, dst, events.schema).withColumn("left_behind", F.lit(left).cast("bigint"))
 
 
 @query("stream_backpressure", f"select event_id, {sql_round('value')} as predval, true as held_back from events")
@@ -242,7 +260,7 @@ def stream_transform(spark, sf):
     out = new_path(spark, "features")
     stream = spark.readStream.schema(new.schema).option("maxFilesPerTrigger", 4).parquet(path)
     ev.transform_stream(stream, fit(spark, sf), out, new_path(spark, "ckpt"), ROW_KEY).awaitTermination()
-    return _typed(spark.read.parquet(out))
+    return _typed(ev.read_transformed(spark, out))
 
 
 @query(
@@ -255,25 +273,48 @@ def stream_transform(spark, sf):
         """d as (select metric, instance, k * 7200 as start_s, count(*) as samples,
              arg_max(value, ts) - arg_min(value, ts) as delta from w group by 1, 2, 3)""",
         body="""select metric, instance, cast(start_s as bigint) as start_s, samples,
-          case when samples >= 2 then delta end as delta from d""",
+          case when samples >= 2 then delta end as delta from d
+          where (start_s + 21600) * 1000 <= (select epoch_us(max(ts)) // 1000 from events) - 86400000""",
     ),
 )
 def stream_metric_window(spark, sf):
-    """Six-hour windows every two hours. A last sample long after the others closes them all."""
+    """Six-hour windows every two hours, as far as the watermark has come, a day behind the last sample."""
     live = series(spark, sf).withColumn("ts", F.col("ts").cast("timestamp"))
-    tick = live.agg(F.max("ts").alias("m")).select(
-        *[F.lit("tick").alias(c) if c in ("metric", "instance")
-          else (F.col("m") + F.expr("interval 30 days")).alias(c) if c == "ts"
-          else F.lit(0).cast(live.schema[c].dataType).alias(c) for c in live.columns]
-    )
-    stream = feed(spark, live.unionByName(tick), ["ts", "metric", "instance"])
+    stream = feed(spark, live, ["ts", "metric", "instance"])
     out = run(window_deltas(stream, ["metric", "instance"], "6 hours", "2 hours", "1 day"), spark)
-    return out.where("metric <> 'tick'").select(
+    return out.select(
         "metric", "instance", F.unix_seconds("start").alias("start_s"), "samples",
         F.col("delta").cast("bigint").alias("delta"),
     )
 
 
+@query(
+    "stream_metric_increase",
+    with_sql(
+        SQL_SERIES,
+        """stepped as (select *, case when change is null then 0 when change < 0 then value else change end as step from (
+             select *, value - lag(value) over (partition by metric, instance order by ts, value) as change from series))""",
+        """w as (select *, unnest(range((epoch_us(ts) + 7199999999) // 7200000000, (epoch_us(ts) + 21600000000) // 7200000000 + 1)) as k
+             from stepped)""",
+        f"""d as (select metric, instance, k * 7200 as at_s, count(*) as samples, sum(step) as increase,
+             last(value order by ts, value) - first(value order by ts, value) as delta
+             from w where ((k * 7200000) // {6 * HOUR} + 1) * {6 * HOUR} <= (select epoch_us(max(ts)) // 1000 from events) - 43200000
+             group by 1, 2, 3)""",
+        body=f"""select metric, instance, cast(at_s as bigint) as at_s, samples, cast(increase as bigint) as increase,
+          {sql_round('increase / 21600.0', 9)} as rate, case when samples > 1 then delta end as delta from d""",
+    ),
+)
+def stream_metric_increase(spark, sf):
+    """Increase, rate and delta over six hours every two hours, of samples that arrive up to half a day late."""
+    live = series(spark, sf).withColumn("ts", F.col("ts").cast("timestamp"))
+    # each series has its own lag, so that rows of different times meet in a batch
+    lag = F.pmod(F.crc32(F.concat("metric", "instance").cast("binary")), F.lit(43_000)) * 1_000_000
+    stream = feed(spark, live.withColumn("arrival", F.unix_micros("ts") + lag), ["arrival", "ts", "metric", "instance"])
+    out = run(live_increase(stream, ["metric", "instance"], "6 hours", "2 hours", "12 hours", "6 hours"), spark)
+    out = out.select("metric", "instance", F.unix_seconds("at").alias("at_s"), "samples", "increase", "rate", "delta")
+    return rounded(out, "rate", digits=9)
+
+
 SQL_LATE = "event_id % 50 = 0 and ts < (select max(ts) from events) - interval 2 days"
 
 
@@ -290,6 +331,7 @@ def stream_late_data(spark, sf):
     arriving = events.withColumn("late", late.cast("int"))
     path, checkpoint, out = (new_path(spark, n) for n in ("feed", "ckpt", "out"))
     dropped = 0
+    spark.conf.set("spark.sql.streaming.numRecentProgressUpdates", 1_000_000)
     # what is late arrives after all the rest
     for turn in (0, 1):
         part = arriving.where(F.col("late") == turn)
@@ -300,5 +342,38 @@ def stream_late_data(spark, sf):
         kept = mon.late_data(stream, "ts", "1 hour").dropDuplicatesWithinWatermark(["event_id"])
         query_ = kept.writeStream.format("parquet").option("checkpointLocation", checkpoint).trigger(availableNow=True).start(out)
         query_.awaitTermination()
-        dropped += sum(o["numRowsDroppedByWatermark"] for p in query_.recentProgress for o in p["stateOperators"])
+        dropped += dropped_rows(query_.recentProgress)
     return spark.read.parquet(out).select("event_id", F.lit(dropped).cast("bigint").alias("dropped"))
+
+
+#: Every fiftieth event of the first half of the time comes last.
+SQL_LAST = """event_id % 50 = 0 and epoch_us(ts) < (select (epoch_us(min(ts)) + epoch_us(max(ts))) // 2 from events)"""
+SQL_ON_TIME = SQL_SCORED.replace("from events", f"from events where not ({SQL_LAST})")
+
+
+@query(
+    "stream_event_order",
+    _sql_rolling(
+        f"""select event_id, model_key, in_window, {sql_round('held', 9)} as rolling_auc,
+          (select count(*) from events where {SQL_LAST}) as dropped from (
+            select *, coalesce(last_value(auc ignore nulls) over (
+              partition by model_key order by n rows unbounded preceding), 1.0) as held from rolling)
+        join scored using (event_id, model_key)
+        where {sql_passed('ts', HOUR, '(select max(ts) from events)', HOUR)}""",
+        "model_key",
+    ).replace(SQL_SCORED, SQL_ON_TIME),
+)
+def stream_event_order(spark, sf):
+    """Events that arrive up to an hour out of order are evaluated in their order; what is far too late is dropped and counted."""
+    events = scored(spark, sf).withColumn("ts", F.col("ts").cast("timestamp"))
+    first, last = events.agg(F.min(F.unix_micros("ts")), F.max(F.unix_micros("ts"))).first()
+    late = (F.col("event_id") % 50 == 0) & (F.unix_micros("ts") < (first + last) // 2)
+    on_the_way = F.pmod(F.xxhash64("event_id"), F.lit(3_599_000_000))
+    arrival = F.when(late, F.lit(last + 2 * HOUR * 1000)).otherwise(F.unix_micros("ts") + on_the_way)
+    stream = feed(spark, events.withColumn("arrival", arrival), ["arrival", "event_id"])
+    cfg = mon.MonitorConfig(n=N, reset=False)
+    out, progress = followed(mon.monitor_stream(stream, cfg, delay="1 hour", step="1 hour"), spark)
+    out = out.withColumn("dropped", F.lit(dropped_rows(progress)).cast("bigint"))
+    return rounded(
+        out.select("event_id", "model_key", "in_window", "rolling_auc", "dropped"), "rolling_auc", digits=9
+    )

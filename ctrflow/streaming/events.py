@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
+from urllib.parse import unquote
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -9,7 +13,9 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ctrflow.operators.columns import parse_events
 from ctrflow.operators.workflow import FittedWorkflow
-from ctrflow.scratch import delete_path
+from ctrflow.scratch import delete_path, exists
+
+_FILE = "__file"
 
 MESSAGE = T.StructType(
     [
@@ -66,16 +72,28 @@ def publish(events: DataFrame, path: str, checkpoint: str, **trigger) -> Streami
 def transform_stream(
     rows: DataFrame, workflow: FittedWorkflow, path: str, checkpoint: str, keep=(), **trigger
 ) -> StreamingQuery:
-    """Apply a saved workflow to arriving rows."""
+    """Apply a saved workflow to arriving rows, batch by batch; ``read_transformed`` reads the results.
+
+    A batch is a table of its own, so values that are frequent in it are found before large vocabularies are
+    joined. A batch that is played again replaces what it wrote.
+    """
+
+    def batch(df: DataFrame, batch_id: int) -> None:
+        workflow.transform(df, keep).write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+
     return (
-        workflow.transform(rows, keep)
-        .writeStream.format("parquet")
+        rows.writeStream.foreachBatch(batch)
         .option("checkpointLocation", checkpoint)
         .trigger(**(trigger or {"availableNow": True}))
-        .start(path)
+        .start()
     )
 
 
+def read_transformed(spark: SparkSession, path: str) -> DataFrame:
+    """What ``transform_stream`` has written."""
+    return spark.read.parquet(path).drop("batch_id")
+
+
 def drain(
     spark: SparkSession,
     src: str,
@@ -84,29 +102,40 @@ def drain(
     schema: T.StructType,
     interval: str | None = None,
     max_files: int | None = None,
+    delete: Callable[[SparkSession, str], None] = delete_path,
 ) -> StreamingQuery:
-    """Move arriving Parquet files to ``dst``, polling every ``interval``.
+    """Move arriving Parquet files to ``dst``, polling every ``interval``; ``read_drained`` reads them there.
 
-    A source file is deleted once a later batch commits, so the last ones stay until
-    ``delete_drained``; each file's rows are copied once all the same.
+    Per batch: the names of its files are written down, their rows copied to the batch's own folder, and
+    then the files deleted. A batch that is played again after a failure copies anew if the copy was not
+    whole, and else only deletes what is left of its files, so each row is moved once.
     """
-    reader = spark.readStream.schema(schema).option("cleanSource", "delete")
+    log = f"{checkpoint.rstrip('/')}/drained"
+
+    def batch(df: DataFrame, batch_id: int) -> None:
+        files, copy = f"{log}/{batch_id}", f"{dst}/batch_id={batch_id}"
+        if not exists(spark, f"{copy}/_SUCCESS"):
+            df.select(_FILE).distinct().write.mode("overwrite").parquet(files)
+            df.drop(_FILE).write.mode("overwrite").parquet(copy)
+        named = spark.read.schema(f"{_FILE} string").parquet(files)
+        with ThreadPoolExecutor(16) as pool:
+            # a batch has a bounded number of files
+            for _ in pool.map(lambda r: delete(spark, unquote(r[0])), named.toLocalIterator()):
+                pass
+        delete_path(spark, f"{log}/{batch_id - 1}")
+
+    reader = spark.readStream.schema(schema)
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
-    writer = reader.parquet(src).writeStream.format("parquet").option("checkpointLocation", checkpoint)
+    rows = reader.parquet(src).select("*", F.col("_metadata.file_path").alias(_FILE))
     trigger = {"processingTime": interval} if interval else {"availableNow": True}
-    return writer.trigger(**trigger).start(dst)
-
-
-def delete_drained(spark: SparkSession, checkpoint: str) -> None:
-    """Delete the source files of all committed batches of a drain that has ended."""
-    committed = spark.read.format("binaryFile").load(f"{checkpoint}/commits").select("path").collect()
-    done = {int(r.path.rsplit("/", 1)[1]) for r in committed}
-    entry = "path string, batchId bigint"
-    log = spark.read.text(f"{checkpoint}/sources/0").select(F.from_json("value", entry).alias("e")).select("e.*")
-    for path, batch in log.where("path is not null").distinct().toLocalIterator():
-        if batch in done:
-            delete_path(spark, path)
+    return rows.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint).trigger(**trigger).start()
+
+
+def read_drained(spark: SparkSession, dst: str, schema: T.StructType) -> DataFrame:
+    """The rows that ``drain`` has moved."""
+    moved = T.StructType([*schema.fields, T.StructField("batch_id", T.LongType())])
+    return spark.read.schema(moved).parquet(dst).drop("batch_id")
 
 
 def listen(query: StreamingQuery, timeout: float | None = None) -> bool:

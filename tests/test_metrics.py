@@ -99,6 +99,27 @@ def test_alerts_without_reset_match_the_loop(spark):
     assert all(got[i] == pytest.approx(w[0], abs=1e-12) for i, w in enumerate(want))
 
 
+@pytest.mark.parametrize("key", [[], ["k"], ["k", "m"]])
+def test_held_in_blocks_equals_carried(spark, key):
+    """Keys that end inside a block, span several, have no AUC at first or none at all, and a null key."""
+    rng = random.Random(4)
+    rows = []
+    for i in range(700):
+        k = rng.choice(["a", "a", "a", "b", None, "c"])
+        y = {"c": 1.0, "b": float(i > 400 and rng.random() < 0.3)}.get(k, float(rng.random() < 0.05))
+        rows.append((i, k, i % 2 if k == "a" else 0, y, rng.random(), None))
+    df = spark.createDataFrame(rows, "id int, k string, m int, y double, p double, known double").repartition(4)
+    raw = metrics.rolling_auc(df, ["id"], "y", "p", 9, key, block=16, unique=True)
+    want = metrics.carry_last_valid(raw, ["id"], key, unique=True)
+    got = metrics.rolling_auc_held(df, ["id"], "y", "p", 9, key, block=16, unique=True)
+    assert sorted((r.id, r.rolling_auc, r.in_window) for r in got.collect()) == sorted(
+        (r.id, r.rolling_auc, r.in_window) for r in want.collect()
+    )
+    known = df.withColumn("known", F.when(F.col("id") % 97 == 0, 0.25))
+    got = metrics.rolling_auc_held(known, ["id"], "y", "p", 9, key, block=16, unique=True, known="known")
+    assert {r.rolling_auc for r in got.where("id % 97 = 0").collect()} == {0.25}
+
+
 def test_a_missing_label_is_no_class(spark):
     rows = [(1.0, 0.9), (0.0, 0.1), (float("nan"), 0.5), (None, 0.4)]
     got = metrics.roc_auc(spark.createDataFrame(rows, "y double, p double"), "y", "p").first()
