@@ -10,8 +10,12 @@ Sizes known from the fit decide how a column is looked up:
 * large: the few frequent values are broadcast - a value holding at least one row in
   ``HOT_SHARE`` can occur ``HOT_SHARE`` times at most, which bounds that table - and the
   others go through a shuffle join in which no known value is frequent. Rows that need no
-  lookup any more are spread by a hash instead of meeting on one null key. A value that
-  is frequent in new rows only is left to Spark's skew join, which may split this side.
+  lookup any more are spread by a hash instead of meeting on one null key.
+
+All large columns of a table are looked up together (``lookup_all``): what is joined are narrow rows
+``(row, column, value)``, so the wide rows are exchanged once however many columns there are. Values that are frequent in the
+rows at hand, whether the fit saw them or not, are found by a summary of those rows and broadcast too. Only
+streams that are not taken batch by batch look up one column after the other, and leave such values to chance.
 """
 
 from __future__ import annotations
@@ -23,12 +27,16 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ctrflow.operators.heavy import frequent_values
 from ctrflow.operators.order import dense_seq
-from ctrflow.scratch import new_path
+from ctrflow.scratch import materialize, new_path
 
 VOCAB = "column string, value_int bigint, value string, code bigint, freq bigint"
 HOT_SHARE = 10_000
+#: Share of the rows at hand from which a value counts as frequent there.
+AT_HAND = 1 / 2_000
 SPREAD = "__spread"
+ROW = "__row"
 _INTEGRAL = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
 
 
@@ -177,3 +185,64 @@ def lookup(
         cold, (F.col("__v") == F.col("__k")) & (F.col("__s") == F.col("__ks")), "left"
     ).drop("__k", "__ks", "__v", "__s")
     return df, F.coalesce(F.col(code + "_hot"), F.col(code), F.lit(0).cast("bigint"))
+
+
+def lookup_all(
+    df: DataFrame, wanted: dict[str, tuple[Column, str]], vocab: DataFrame, sizes: dict[str, VocabSize]
+) -> DataFrame:
+    """Add the codes of several columns with large vocabularies; the wide rows are exchanged once.
+
+    ``wanted`` maps a new column to the value and the column whose vocabulary it is looked up in. The rows are written
+    down with a number each, so that the narrow rows made of them and the rows themselves agree.
+    """
+    values = {f"__v{i}": (out, name) for i, (out, (_, name)) in enumerate(wanted.items())}
+    texts = []
+    for v, (out, name) in values.items():
+        value = wanted[out][0]
+        texts.append((value.try_cast("bigint") if sizes[name].integral else value).cast("string").alias(v))
+    base = materialize(df.select("*", F.monotonically_increasing_id().alias(ROW), *texts), "rows")
+    key = F.coalesce("value", F.col("value_int").cast("string")).alias("__k")
+    names = sorted({name for _, name in values.values()})
+    total = F.create_map(*[x for n in names for x in (F.lit(n), F.lit(sizes[n].total))])
+    words = vocab.where(F.col("column").isin(names))
+    known = words.where(F.col("freq") * HOT_SHARE >= total[F.col("column")]).select("column", key, "code")
+    # frequent in these rows: at most 2 / AT_HAND values a column
+    here = frequent_values(base.select(*values), list(values), AT_HAND)
+    of = F.create_map(*[x for v, (_, name) in values.items() for x in (F.lit(v), F.lit(name))])
+    here = here.select(of[F.col("feature")].alias("column"), F.col("value").alias("__k")).distinct()
+    keyed = words.select("column", key, "code")
+    here = here.join(keyed.join(F.broadcast(here), ["column", "__k"], "left_semi"), ["column", "__k"], "left")
+    hot = materialize(
+        known.unionByName(here).groupBy("column", "__k").agg(F.coalesce(F.max("code"), F.lit(0)).alias("__hot")), "hot"
+    )
+    cells = F.array(*[
+        F.struct(F.lit(i).alias("at"), F.lit(name).alias("column"), F.col(v).alias("value"))
+        for i, (v, (_, name)) in enumerate(values.items())
+    ])
+    narrow = base.select(ROW, F.explode(cells).alias("c")).where("c.value is not null").select(ROW, "c.*")
+    narrow = narrow.join(
+        F.broadcast(hot.withColumnRenamed("column", "__hc")),
+        (F.col("column") == F.col("__hc")) & (F.col("value") == F.col("__k")), "left",
+    ).drop("__hc", "__k")
+    open_ = F.col("__hot").isNull()
+    narrow = narrow.withColumns(
+        {"__v": F.when(open_, F.col("value")), "__s": F.when(open_, F.lit(-1)).otherwise(F.col(ROW))}
+    )
+    cold = keyed.join(F.broadcast(hot), ["column", "__k"], "left_anti").select(
+        F.col("column").alias("__cc"), "__k", F.lit(-1).cast("bigint").alias("__ks"), "code"
+    )
+    partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    if sum(sizes[n].table_bytes for n in names) / partitions < 64 << 20:
+        cold = cold.hint("shuffle_hash")  # spares sorting the narrow rows
+    found = narrow.join(
+        cold,
+        (F.col("column") == F.col("__cc")) & (F.col("__v") == F.col("__k")) & (F.col("__s") == F.col("__ks")), "left",
+    ).select(ROW, "at", F.coalesce("__hot", "code").alias("code"))
+    codes = found.groupBy(ROW).agg(
+        *[F.max(F.when(F.col("at") == i, F.col("code"))).alias(f"__c{i}") for i in range(len(values))]
+    )
+    out = base.join(codes, ROW, "left")
+    return out.select(
+        *df.columns,
+        *[F.coalesce(F.col(f"__c{i}"), F.lit(0).cast("bigint")).alias(o) for i, (o, _) in enumerate(values.values())],
+    )

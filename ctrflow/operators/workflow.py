@@ -104,6 +104,9 @@ class FittedWorkflow:
     def _apply(self, df, upto, only=None, keep=()):
         small = vocabulary.broadcastable(self.sizes, self.limits)
         shuffled = set(self.sizes) - small
+        together = {}
+        if shuffled and not df.isStreaming:
+            df, together = self._look_up_together(df, upto, only, shuffled, keep)
         if shuffled:
             used = [c for i, b in enumerate(self.branches) if only is None or only[i] for c in b.columns]
             df = vocabulary.with_spread(df, list(dict.fromkeys([*keep, *used])))
@@ -113,8 +116,10 @@ class FittedWorkflow:
                 continue
             for column in branch.columns:
                 name, col = column, F.col(column)
-                for step in branch.steps[:end]:
-                    if isinstance(step, Categorify):
+                for at, step in enumerate(branch.steps[:end]):
+                    if (index, column, at) in together:
+                        col = F.col(together[index, column, at])
+                    elif isinstance(step, Categorify):
                         df, col = vocabulary.lookup(
                             df, col, name, self.vocab, self.sizes[name], name in small
                         )
@@ -124,6 +129,30 @@ class FittedWorkflow:
                 outputs.append(col.alias(name))
         return df.select(*keep, *outputs)
 
+    def _look_up_together(self, df, upto, only, large, keep):
+        """The first lookups of all columns with large vocabularies: the wider frame, and the code column of each."""
+        wanted, places, used = {}, {}, []
+        for index, (branch, end) in enumerate(zip(self.branches, upto)):
+            if only is not None and not only[index]:
+                continue
+            used += branch.columns
+            for column in branch.columns:
+                name, col = column, F.col(column)
+                for at, step in enumerate(branch.steps[:end]):
+                    if isinstance(step, Categorify):
+                        if name in large:
+                            code = f"__large{len(wanted)}"
+                            wanted[code] = (col, name)
+                            places[index, column, at] = code
+                        break
+                    col = step.apply(col, self.moments.get(name))
+                    name = step.out_name(name)
+        if not wanted:
+            return df, {}
+        # other columns are not carried through the exchange
+        rows = df.select(*dict.fromkeys([*keep, *used]))
+        return vocabulary.lookup_all(rows, wanted, self.vocab, self.sizes), places
+
     def embedding_sizes(self, spark: SparkSession) -> DataFrame:
         """Per categorical column: cardinality with slot 0, and embedding width."""
         if self.vocab is None:

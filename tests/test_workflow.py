@@ -8,6 +8,7 @@ from ctrflow.operators.transforms import (
 )
 from ctrflow.operators.vocab import LookupLimits, broadcastable
 from ctrflow.operators.workflow import FittedWorkflow, Workflow
+from ctrflow.scratch import materialize
 
 
 @pytest.fixture(scope="module")
@@ -83,6 +84,54 @@ def test_shuffled_lookup_equals_broadcast_lookup(spark, train):
     assert "Broadcast" in plan and "ShuffledHashJoin" in plan
 
 
+def test_wide_rows_are_exchanged_once(spark, train):
+    wide = train.na.fill(0.5, ["x"]).withColumns({"e": F.concat("c", F.lit("e")), "g": F.col("id") % 50})
+
+    def exchanges(columns):
+        fitted = Workflow(columns >> Categorify()).fit(wide)
+        small = sorted(fitted.transform(wide, ["id", "x"]).collect(), key=str)
+        fitted.limits = LookupLimits(column_bytes=0)
+        large = fitted.transform(wide, ["id", "x"])
+        assert sorted(large.collect(), key=str) == small
+        plan = large._jdf.queryExecution().executedPlan().toString()
+        return sum("Exchange hashpartitioning(__row" in line for line in plan.split("== Initial Plan ==")[0].splitlines())
+
+    # the rows and their codes
+    assert exchanges(["c"]) == exchanges(["c", "d", "e", "g"]) == 2
+
+
+def test_values_frequent_in_the_rows_at_hand_are_broadcast(spark, train, monkeypatch):
+    from ctrflow.operators import vocab
+
+    written = {}
+
+    def keep(df, label):
+        written[label] = materialize(df, label)
+        return written[label]
+
+    fitted = Workflow(["c", "d"] >> Categorify()).fit(train)
+    new = train.withColumn("c", F.when(F.col("id") % 2 == 0, "unseen").otherwise(F.col("c")))
+    small = sorted(fitted.transform(new, ["id"]).collect())
+    fitted.limits = LookupLimits(column_bytes=0)
+    monkeypatch.setattr(vocab, "materialize", keep)
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        assert sorted(fitted.transform(new, ["id"]).collect()) == small
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    hot = {(r.column, r["__k"]): r["__hot"] for r in written["hot"].collect()}
+    # codes are never 0, which marks a value that no vocabulary has
+    assert hot["c", "unseen"] == 0 and hot["c", "hot"] > 0
+
+
+def test_steps_around_large_lookups(spark, train):
+    steps = (["c"] >> LambdaOp(lambda c: F.coalesce(c, F.lit("none"))) >> Categorify() >> Normalize()) + (["x"] >> FillMissing())
+    fitted = Workflow(steps).fit(train)
+    small = fitted.transform(train, ["id"]).collect()
+    fitted.limits = LookupLimits(column_bytes=0)
+    assert sorted(fitted.transform(train, ["id"]).collect()) == sorted(small)
+
+
 def test_hot_values_are_bounded(spark, train):
     from ctrflow.operators.vocab import HOT_SHARE
 
