@@ -130,11 +130,11 @@ def top_values_in_two_scans(df: DataFrame, columns: Sequence[str], k: int = 20,
     }
     # a summary that never took off knows every value
     least = {c: (kth[c][1] if kth[c][0] == k else 0) - off[c] for c in kth}
-    undecided = [c for c in kth if off[c] and least[c] <= 0]
-    limits = F.create_map(*[x for c in kth if c not in undecided for x in (F.lit(c), F.lit(least[c]))]) if len(kth) > len(undecided) else None
-    if limits is None:
-        return df.sparkSession.createDataFrame([], SUMMARY + ", rank int"), undecided
+    undecided = [c for c, taken in sorted(off.items()) if taken and least.get(c, 0) <= 0]
     able = [c for c in kth if c not in undecided]
+    if not able:
+        return df.sparkSession.createDataFrame([], SUMMARY + ", rank int"), undecided
+    limits = F.create_map(*[x for c in able for x in (F.lit(c), F.lit(least[c]))])
     candidates = materialize(
         held.where(F.col("feature").isin(able) & (F.col("count") >= limits[F.col("feature")])).select("feature", "value"),
         "candidates",

@@ -3,7 +3,7 @@
 A series is long: ``metric``, label columns, ``ts``, ``value``. A *step* is the change
 from the previous sample of the same series, dated at the later one; a negative step is a
 counter reset and counts as the new value; the first sample's step is 0. A frame is
-``[t - w, t]``, closed at both ends, and nothing is extrapolated to its edges.
+``[t - w, t]``, closed at both ends, and nothing is extrapolated to its edges, unless asked for (``extrapolated``).
 
 A single busy series can hold much of the data, so no window is partitioned by
 series alone: each series is cut into time slabs, and a slab is given the samples it needs from
@@ -155,12 +155,17 @@ def increase(
     by: Sequence[str],
     every_seconds: int | None = None,
     slab_seconds: int | None = None,
+    extrapolate: bool = False,
 ) -> DataFrame:
     """``sum(increase)`` by label at instants ``every_seconds`` apart: ``(by..., at, increase)``.
 
     ``at`` is in seconds since 1970. Each step is sent to the instants whose frame
-    holds it, so the sums are pre-aggregated before the shuffle.
+    holds it, so the sums are pre-aggregated before the shuffle. With ``extrapolate`` the series'
+    increases are carried on to the frame's edges first (``extrapolated``).
     """
+    if extrapolate:
+        each = extrapolated(series, key, frame_seconds, "increase", every_seconds, slab_seconds)
+        return each.groupBy(*by, "at").agg(F.sum("value").alias("increase"))
     every_us, frame_us = (every_seconds or frame_seconds) * SECOND, frame_seconds * SECOND
     t = micros(F.col("ts"))
     first, last = _floor_div(t + (every_us - 1), every_us), _floor_div(t + frame_us, every_us)
@@ -173,6 +178,62 @@ def increase(
     )
 
 
+def extrapolated(
+    series: DataFrame,
+    key: Sequence[str],
+    frame_seconds: int,
+    kind: str = "increase",
+    every_seconds: int | None = None,
+    slab_seconds: int | None = None,
+) -> DataFrame:
+    """``increase``, ``rate`` or ``delta`` per series at instants, carried on to the frame's edges: ``(key..., at, value)``.
+
+    The rule is PromQL's. The change between the first and the last sample of the frame is stretched to the
+    frame's start and end, each unless it is 1.1 average sample distances or more away, and else by half such a
+    distance. A counter (``increase``, ``rate``) is not carried back beyond where it would have been zero. Below two samples there
+    is no value. Samples are sent to the instants whose frame holds them, and pre-aggregated per instant.
+    """
+    if kind not in ("increase", "rate", "delta"):
+        raise ValueError(f"no such kind: {kind}")
+    every_us, frame_us = (every_seconds or frame_seconds) * SECOND, frame_seconds * SECOND
+    t = micros(F.col("ts"))
+    first, last = _floor_div(t + (every_us - 1), every_us), _floor_div(t + frame_us, every_us)
+    sample = F.struct(t.alias("t"), F.col("value").cast("double").alias("v"), F.col("__s").cast("double").alias("s"))
+    sent = (
+        steps(series, key, slab_seconds, "__s")
+        .where(first <= last)
+        .select(*key, sample.alias("x"), F.explode(F.sequence(first, last)).alias("k"))
+        .groupBy(*key, "k")
+        .agg(
+            F.count(F.lit(1)).alias("n"), F.min_by("x", "x.t").alias("a"), F.max_by("x", "x.t").alias("b"),
+            F.sum("x.s").alias("s"),
+        )
+        .where("n > 1 and a.t < b.t")
+    )
+    counter = kind != "delta"
+    change = F.col("s") - F.col("a.s") if counter else F.col("b.v") - F.col("a.v")
+    end = F.col("k") * F.lit(every_us)
+    framed = sent.select(
+        *key, (F.col("k") * F.lit(every_us // SECOND)).cast("bigint").alias("at"), change.alias("change"),
+        F.col("a.v").alias("zero"), (F.col("b.t") - F.col("a.t")).cast("double").alias("covered"),
+        (F.col("a.t") - (end - frame_us)).cast("double").alias("before"), (end - F.col("b.t")).cast("double").alias("after"),
+        (F.col("n") - 1).cast("double").alias("gaps"),
+    )
+    distance = F.col("covered") / F.col("gaps")
+
+    def reach(c: str) -> Column:
+        return F.when(F.col(c) >= 1.1 * distance, distance / 2).otherwise(F.col(c))
+
+    before = reach("before")
+    if counter:
+        from_zero = F.when((F.col("change") > 0) & (F.col("zero") >= 0), F.col("covered") * F.col("zero") / F.col("change"))
+        before = F.least(before, F.coalesce(from_zero, before))
+    value = F.col("change") * ((F.col("covered") + before + reach("after")) / F.col("covered"))
+    if kind == "rate":
+        value = value / F.lit(float(frame_seconds))
+    return framed.select(*key, "at", value.alias("value"))
+
+
 def delta_ratio(
     series: DataFrame,
     labels: Sequence[str],

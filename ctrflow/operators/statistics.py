@@ -335,85 +335,278 @@ def rank_histogram(
     return top.select("feature", "rank", "value", "count")
 
 
+def _first_scan(df: DataFrame, columns: list[str], numeric: list[str], probs: list[float], by: str | None) -> list:
+    """Scalars, finite ranges and sketched quantiles of every column: one row per feature (and value of ``by``)."""
+
+    def only_numbers(make, kind):
+        return lambda c: make(c) if c in numeric else F.lit(None).cast(kind)
+
+    measures = {
+        **_common(df),
+        **{m: (only_numbers(make, t), t) for m, (make, t) in {**_numeric(df), **_finite(df)}.items()},
+        "sketch": (
+            only_numbers(lambda c: F.percentile_approx(_present(df, c).cast("double"), probs, ACCURACY), "array<double>"),
+            "array<double>",
+        ),
+    }
+    aggs = [make(c).cast(t).alias(f"{m}__{i}") for i, c in enumerate(columns) for m, (make, t) in measures.items()]
+    structs = [
+        F.struct(F.lit(c).alias("feature"), *[F.col(f"{m}__{i}").alias(m) for m in measures]) for i, c in enumerate(columns)
+    ]
+    keys = [F.col(by).alias("side")] if by else []
+    found = df.groupBy(*keys).agg(*aggs) if keys else df.agg(*aggs).withColumn("side", F.lit(None).cast("string"))
+    return found.select("side", F.explode(F.array(*structs)).alias("f")).select("side", "f.*").collect()
+
+
+def _second_scan(df: DataFrame, strings: list[str], limits: dict, bins: int, by: str | None) -> DataFrame:
+    """``(side, feature, bin, region, value, text, count)``: histogram and bracket cells of numbers, values of strings.
+
+    ``limits`` has, per side and numeric feature, ``(low, high, brackets)``. What is shuffled is one row per task and
+    cell, value inside a bracket, or string value.
+    """
+    sides = sorted({s for s, _ in limits}, key=str)
+    names = sorted({f for _, f in limits})
+    numbers = {c: f"__x{i}" for i, c in enumerate(names)}
+    # -0.0 is 0.0
+    base = df.select(
+        F.col(by).alias("side") if by else F.lit(None).cast("string").alias("side"),
+        *[(_present(df, c).cast("double") + F.lit(0.0)).alias(x) for c, x in numbers.items()],
+        *[F.col(c).cast("string").alias(f"__s{i}") for i, c in enumerate(strings)],
+    )
+
+    def per_side(make) -> Column:
+        """The expression of the row's side."""
+        out = None
+        for side in sides:
+            value = make(side)
+            if value is None:
+                continue
+            mine = F.col("side").eqNullSafe(F.lit(side))
+            out = F.when(mine, value) if out is None else out.when(mine, value)
+        return out
+
+    cells = []
+    for c, x in numbers.items():
+
+        def bin_cell(side, c=c, x=x):
+            low, high, _ = limits.get((side, c), (None, None, None))
+            return None if low is None else bin_of(F.col(x), F.lit(low), F.lit(high), bins)
+
+        def region(side, c=c, x=x):
+            if (side, c) not in limits:
+                return None
+            return F.expr(" + ".join(f"int({x} >= {_literal(a)}) + int({x} > {_literal(b)})" for a, b in limits[side, c][2]))
+
+        place, passed = per_side(bin_cell), per_side(region)
+        cells.append(
+            F.when(
+                F.col(x).isNotNull(),
+                F.struct(
+                    F.lit(c).alias("feature"), (F.lit(None) if place is None else place).cast("int").alias("bin"),
+                    passed.alias("region"), F.when(passed % 2 == 1, F.col(x)).alias("value"),
+                    F.lit(None).cast("string").alias("text"),
+                ),
+            )
+        )
+    for i, c in enumerate(strings):
+        s = F.col(f"__s{i}")
+        none = F.lit(None)
+        cells.append(
+            F.when(
+                s.isNotNull(),
+                F.struct(
+                    F.lit(c).alias("feature"), none.cast("int").alias("bin"), none.cast("int").alias("region"),
+                    none.cast("double").alias("value"), s.alias("text"),
+                ),
+            )
+        )
+    long = base.select("side", F.explode(F.array(*cells)).alias("c")).where("c is not null").select("side", "c.*")
+    return long.groupBy("side", "feature", "bin", "region", "value", "text").agg(F.count(F.lit(1)).alias("count"))
+
+
+def _brackets(sketched: Sequence[float], parts: int) -> list[tuple]:
+    """Ranges of values that hold the wanted ranks, from quantiles a margin below and above each."""
+    lows, highs = list(sketched[: parts + 1]), list(sketched[parts + 1 :])
+    lows[0], highs[-1] = float("-inf"), float("inf")
+    return _merged(list(zip(lows, highs)))
+
+
+def _wanted(n: int, parts: int) -> dict[int, tuple[int, float]]:
+    """Per quantile the rank below it, and how far it lies from there to the next."""
+    return {q: (q * (n - 1) // parts, q * (n - 1) % parts / parts) for q in range(parts + 1)}
+
+
+_KEY = "__key"
+
+
+def _sides_key(feature: Column, side: Column) -> Column:
+    return F.concat(feature, F.lit("/"), F.coalesce(side.cast("string"), F.lit("")))
+
+
 def feature_stats(
     df: DataFrame,
     columns: Sequence[str] | None = None,
     bins: int = 10,
     top: int = 20,
     sketch: bool = False,
+    by: str | None = None,
 ) -> DataFrame:
-    """Statistics record per feature: common counts, and a ``num`` or ``str`` struct."""
-    columns = list(columns or df.columns)
+    """Statistics record per feature: common counts, and a ``num`` or ``str`` struct.
+
+    Two scans whatever the columns: one for scalars, ranges and sketches, one that counts histogram cells, the
+    values inside the brackets of wanted quantiles, and the values of strings. With ``by``, a column of few
+    values such as the two sides of a comparison, one record per value of it, from the same two scans, and that column in front.
+    """
+    columns = [c for c in (columns or df.columns) if c != by]
     numeric, strings = split_kinds(df, columns)
     spark = df.sparkSession
-    # every scalar of every column from one scan: one row per feature
-    number = {
-        m: (lambda c, make=make, t=t: make(c) if c in numeric else F.lit(None).cast(t), t)
-        for m, (make, t) in {**_numeric(df), **_finite(df)}.items()
-    }
-    found = _per_feature(df, columns, {**_common(df), **number}).collect()
-    head = "feature string, n_rows bigint, n_present bigint"
+    parts = 2 * bins  # they hold both the bin limits and the median
+    grid = [q / parts for q in range(parts + 1)]
+    margin = 2 / ACCURACY
+    probs = grid if sketch else [max(0.0, p - margin) for p in grid] + [min(1.0, p + margin) for p in grid]
+    found = _first_scan(df, columns, numeric, probs, by)
+    kind = dict(df.dtypes)[by] if by else "string"
+    sides = {str(i): r for i, r in enumerate(dict.fromkeys(r.side for r in found))}
+    number = {side: i for i, side in sides.items()}
+    head = "__side string, feature string, n_rows bigint, n_present bigint"
     out = _with_presence(
-        local_table(spark, head, [(r.feature, r.n_rows, r.n_present) for r in found])
+        local_table(spark, head, [(number[r.side], r.feature, r.n_rows, r.n_present) for r in found])
     ).withColumn("type", F.when(F.col("feature").isin(numeric), "numeric").otherwise("string"))
-    found = [r for r in found if r.feature in numeric]
+    numbers = [r for r in found if r.feature in numeric]
+    # a side is known by its number from here on
+    numbered = df
+    if by:
+        which = F.lit(None).cast("string")
+        for i, side in sides.items():
+            which = F.when(F.col(by).eqNullSafe(F.lit(side).cast(kind)), F.lit(i)).otherwise(which)
+        numbered = df.withColumn("__side", which)
+    limits = {
+        (number[r.side] if by else None, r.feature): (
+            r.low, r.high, [(float("-inf"), float("-inf"))] if sketch else _brackets(r.sketch, parts)
+        )
+        for r in numbers if r.n_present
+    }
+    counts = materialize(_second_scan(numbered, strings, limits, bins, "__side" if by else None), "cells")
+    if not by:
+        counts = counts.withColumn("side", F.lit("0"))
+    counts = counts.withColumnRenamed("side", "__side")
+    on = ["__side", "feature"]
     if numeric:
-        scalars = local_table(
+        num = local_table(
             spark,
-            "feature string, min double, max double, mean double, std double, zeros bigint",
-            [(r.feature, r.min, r.max, r.mean, r.std, r.zeros) for r in found],
-        )
-        ranges = _ranges(found)
-        hist = (
-            histogram(df, numeric, bins, ranges)
-            .groupBy("feature")
-            .agg(
-                F.array_sort(
-                    F.collect_list(F.struct("lo", "hi", F.col("count").cast("double").alias("count")))
-                ).alias("std_hist")
-            )
+            "__side string, feature string, min double, max double, mean double, std double, zeros bigint",
+            [(number[r.side], r.feature, r.min, r.max, r.mean, r.std, r.zeros) for r in numbers],
         )
-        # 2 * bins parts hold both the bin limits and the median
-        grid = (
-            quantiles(df, numeric, 2 * bins, sketch)
-            .groupBy("feature")
-            .agg(F.array_sort(F.collect_list(F.struct("q", "value"))).alias("g"))
+        frames = []
+        for r in numbers:
+            if r.low is not None:
+                width, n = (r.high - r.low) / bins, bins if r.high > r.low else 1
+                frames += [
+                    (number[r.side], r.feature, i, r.low + width * i, r.low + width * (i + 1) if i < n - 1 else r.high)
+                    for i in range(n)
+                ]
+        frame = local_table(spark, "__side string, feature string, bin int, lo double, hi double", frames)
+        binned = counts.where("bin is not null").groupBy(*on, "bin").agg(F.sum("count").alias("count"))
+        cell = F.struct("lo", "hi", F.coalesce(F.col("count"), F.lit(0)).cast("double").alias("count"))
+        hist = frame.join(binned, [*on, "bin"], "left").groupBy(*on).agg(F.array_sort(F.collect_list(cell)).alias("std_hist"))
+        values = _quantile_values(counts, numbers, number, parts, sketch, numbered if by else df, by is not None)
+        grids = [
+            (number[r.side], r.feature, values[number[r.side], r.feature]) for r in numbers if r.n_present
+        ]
+        rows = [(s, f, q, v) for s, f, vs in grids for q, v in enumerate(vs)]
+        listed = (
+            local_table(spark, "__side string, feature string, q int, value double", rows)
+            .groupBy(*on).agg(F.array_sort(F.collect_list(F.struct("q", "value"))).alias("g"))
             .select(
-                "feature",
-                F.transform(F.filter("g", lambda s: s["q"] % 2 == 0), lambda s: s["value"]).alias(
-                    "quantiles"
-                ),
+                *on,
+                F.transform(F.filter("g", lambda s: s["q"] % 2 == 0), lambda s: s["value"]).alias("quantiles"),
                 F.get("g", F.lit(bins))["value"].alias("median"),
             )
         )
-        num = reduce(lambda a, b: a.join(b, "feature", "left"), [scalars, hist, grid])
-        num = num.select(
-            "feature",
-            F.struct(
-                "min", "max", "mean", "std", "zeros", "median", "std_hist", "quantiles"
-            )
-            .cast(NUM)
-            .alias("num"),
+        num = reduce(lambda a, b: a.join(b, on, "left"), [num, hist, listed]).select(
+            *on,
+            F.struct("min", "max", "mean", "std", "zeros", "median", "std_hist", "quantiles").cast(NUM).alias("num"),
         )
-        out = out.join(num, "feature", "left")
+        out = out.join(num, on, "left")
     if strings:
-        counts = materialize(string_counts(df, strings), "counts")
+        texts = counts.where("text is not null").select(
+            _sides_key(F.col("feature"), F.col("__side")).alias(_KEY), *on, F.col("text").alias("value"), "count"
+        )
+        keyed = texts.drop(*on).withColumnRenamed(_KEY, "feature")
         tops = (
-            top_values(df, strings, top, counts)
+            top_values(df, strings, top, keyed)
             .groupBy("feature")
             .agg(F.array_sort(F.collect_list(F.struct("rank", "value", "count"))).alias("t"))
             .select(
-                "feature",
+                F.col("feature").alias(_KEY),
                 F.transform("t", lambda s: F.struct(s["value"].alias("value"), s["count"].alias("count"))).alias("top"),
             )
         )
-        strs = string_stats(df, strings, counts).join(tops, "feature", "left").select(
-            "feature", F.struct("n_unique", "avg_len", "top").cast(STR).alias("str")
+        strs = string_stats(df, strings, keyed).withColumnRenamed("feature", _KEY).join(tops, _KEY, "left").select(
+            _KEY, F.struct("n_unique", "avg_len", "top").cast(STR).alias("str")
         )
-        out = out.join(strs, "feature", "left")
+        out = out.withColumn(_KEY, _sides_key(F.col("feature"), F.col("__side"))).join(strs, _KEY, "left").drop(_KEY)
+    if by:
+        back = F.lit(None).cast(kind)
+        for i, side in sides.items():
+            back = F.when(F.col("__side") == i, F.lit(side).cast(kind)).otherwise(back)
+        out = out.select(back.alias(by), *[c for c in out.columns if c != "__side"])
+    return out.drop("__side")
+
+
+def _quantile_values(
+    counts: DataFrame, numbers: list, number: dict, parts: int, sketch: bool, df: DataFrame, sided: bool
+) -> dict[tuple[str, str], list[float]]:
+    """``(side, feature) -> quantiles``, from the counted brackets."""
+    present = [r for r in numbers if r.n_present]
+    if sketch:
+        return {(number[r.side], r.feature): list(r.sketch) for r in present}
+    if not present:
+        return {}
+    ranks = {}
+    for r in present:
+        spans = _wanted(r.n_present, parts).values()
+        ranks[f"{r.feature}/{number[r.side]}"] = {k for below, rest in spans for k in ({below, below + 1} if rest else {below})}
+    cells = counts.where("region is not null").groupBy(
+        _sides_key(F.col("feature"), F.col("__side")).alias(_KEY), "region", "value"
+    ).agg(F.sum("count").alias("count"))
+    sliced = slice_in_order(cells, [_KEY, "region", "value"], unique=True)
+    found = {(r[_KEY], r["rank"]): r["value"] for r in pick_ranks(sliced, "value", "count", _KEY, ranks).collect()}
+    missed = {key for (key, _), v in found.items() if v is None}
+    for r in present:
+        key = f"{r.feature}/{number[r.side]}"
+        if key in missed:
+            # a bracket that does not hold its rank: all values of the feature are ordered
+            rows = df.where(F.col("__side") == number[r.side]) if sided else df
+            again = _pick(rows, {r.feature: [(float("-inf"), float("inf"))]}, {r.feature: ranks[key]})
+            found.update({(key, rank): v for (_, rank), v in again.items()})
+    out = {}
+    for r in present:
+        key, values = f"{r.feature}/{number[r.side]}", []
+        for below, rest in _wanted(r.n_present, parts).values():
+            low = found[key, below]
+            values.append(low + (found[key, below + 1] - low) * rest if rest else low)
+        out[number[r.side], r.feature] = values
     return out
 
 
+def presence_and_values(df: DataFrame, columns: Sequence[str] | None = None) -> tuple[DataFrame, DataFrame]:
+    """``stats_common`` with each feature's ``type``, and ``string_counts`` of the string features, from one scan."""
+    columns = list(columns or df.columns)
+    numeric, strings = split_kinds(df, columns)
+    none = F.lit(None).cast("string")
+    cells = [F.struct(F.lit("").alias("feature"), none.alias("value"))]
+    for c in columns:
+        value = none if c in numeric else F.col(c).cast("string")
+        cells.append(F.when(_present(df, c).isNotNull(), F.struct(F.lit(c).alias("feature"), value.alias("value"))))
+    long = df.select(F.explode(F.array(*cells)).alias("c")).where("c is not null").select("c.*")
+    counts = materialize(long.groupBy("feature", "value").agg(F.count(F.lit(1)).alias("count")), "counts")
+    held = {r.feature: r.n for r in counts.groupBy("feature").agg(F.sum("count").alias("n")).collect()}
+    rows = [(c, held.get("", 0), held.get(c, 0), "numeric" if c in numeric else "string") for c in columns]
+    common = local_table(df.sparkSession, "feature string, n_rows bigint, n_present bigint, type string", rows)
+    return _with_presence(common), counts.where("value is not null").select("feature", "value", "count")
+
+
 def save_stats(stats: DataFrame, path: str) -> None:
     """Keep a statistics record."""
     stats.write.mode("overwrite").parquet(path)

@@ -27,15 +27,19 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
-#: Click logs written by ``stage``, by application and folder.
+#: Click logs written by ``stage``, by application and folder: as one table, and in a folder per day.
 _STAGED: dict[tuple[str, str], str] = {}
+_STAGED_DAYS: dict[tuple[str, str], str] = {}
 
 
 def stage(spark: SparkSession, sf: str) -> None:
-    """Write the click log once; this application's queries then read it instead of deriving it."""
-    rows, path = clicks(spark, sf), new_path(spark, "clicks")
+    """Write the click log once, both ways; this application's queries then read it instead of deriving it."""
+    rows, path, days = clicks(spark, sf), new_path(spark, "clicks"), new_path(spark, "days")
     rows.repartition(int(spark.conf.get("spark.sql.shuffle.partitions"))).write.parquet(path)
-    _STAGED[spark.sparkContext.applicationId, sf] = path
+    key = spark.sparkContext.applicationId, sf
+    _STAGED[key] = path
+    spark.read.parquet(path).write.partitionBy("day").parquet(days)
+    _STAGED_DAYS[key] = days
 
 
 def clicks(spark: SparkSession, sf: str) -> DataFrame:
@@ -78,6 +82,9 @@ def day_log(spark: SparkSession, sf: str, columns: tuple[str, ...] = ()) -> Data
     rows = clicks(spark, sf)
     if columns:
         rows = rows.select(*columns, "day")
+    staged = _STAGED_DAYS.get((spark.sparkContext.applicationId, sf))
+    if staged:
+        return spark.read.schema(rows.schema).parquet(staged)
     path = new_path(spark, "days")
     rows.write.partitionBy("day").parquet(path)
     return spark.read.schema(rows.schema).parquet(path)

@@ -239,6 +239,52 @@ def counter_increase(spark, sf):
     return counters.increase(ratio_series(spark, sf), ["instance", "le"], HOURS6, ["le"])
 
 
+def _sql_extrapolated(source: str, key: str, change: str, zero: str) -> tuple[str, ...]:
+    """CTEs up to ``carried(key, at, value)``: the change in each frame, carried on to its edges."""
+    us = HOURS6 * 10**6
+    return (
+        f"prev as (select *, lag(value) over (partition by {key} order by ts) as before from {source})",
+        f"""sent as (select {key}, epoch_us(ts) as t, value::double as v,
+             case when before is null then 0 when value < before then value else value - before end as step,
+             unnest(range((epoch_us(ts) + {us - 1}) // {us}, (epoch_us(ts) + {us}) // {us} + 1)) as k from prev)""",
+        f"""framed as (select {key}, k, count(*) - 1 as gaps, {change} as change, arg_min(v, t) as first_v,
+             (max(t) - min(t))::double as covered, (min(t) - (k * {us} - {us}))::double as head, (k * {us} - max(t))::double as tail
+             from sent group by {key}, k having count(*) > 1 and max(t) > min(t))""",
+        f"""edges as (select *, case when head >= 1.1 * covered / gaps then covered / gaps / 2 else head end as head_1,
+             case when tail >= 1.1 * covered / gaps then covered / gaps / 2 else tail end as tail_1 from framed)""",
+        f"""carried as (select {key}, cast(k * {HOURS6} as bigint) as "at", change * (covered + {zero} + tail_1) / covered as value
+             from edges)""",
+    )
+
+
+_TO_ZERO = "least(head_1, case when change > 0 and first_v >= 0 then covered * first_v / change else head_1 end)"
+
+
+@query(
+    "counter_increase_extrapolated",
+    with_sql(
+        SQL_RATIO_SERIES,
+        *_sql_extrapolated("ratio_series", "instance, le", "sum(step) - arg_min(step, t)", _TO_ZERO),
+        body=f"""select le, "at", {sql_round('sum(value)')} as increase from carried group by le, "at\"""",
+    ),
+)
+def counter_increase_extrapolated(spark, sf):
+    out = counters.increase(ratio_series(spark, sf), ["instance", "le"], HOURS6, ["le"], extrapolate=True)
+    return rounded(out, "increase")
+
+
+@query(
+    "counter_delta_extrapolated",
+    with_sql(
+        SQL_SERIES,
+        *_sql_extrapolated("series", "metric, instance", "arg_max(v, t) - arg_min(v, t)", "head_1"),
+        body=f"""select metric, instance, "at", {sql_round('value', 5)} as value from carried""",
+    ),
+)
+def counter_delta_extrapolated(spark, sf):
+    return rounded(counters.extrapolated(series(spark, sf), SERIES_KEY, HOURS6, "delta"), "value", digits=5)
+
+
 def _sql_rate(metric: str) -> str:
     return with_sql(
         SQL_SERIES, SQL_STEPS,

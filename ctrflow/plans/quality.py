@@ -4,10 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ctrflow.operators import drift, statistics as st, validation as val
+from ctrflow.operators import dailystats as daily
+from ctrflow.operators import drift, heavy
+from ctrflow.operators import statistics as st
+from ctrflow.operators import validation as val
 from ctrflow.plans.fixtures import CLICKS, SQL_CLICKS, clicks, day_log, with_sql
 from ctrflow.plans.registry import query, rounded, sql_round
-from ctrflow.scratch import materialize, new_path
+from ctrflow.scratch import local_table, materialize, new_path
 
 CONTS, CATS = list(CLICKS.conts), list(CLICKS.cats)
 COLS = CONTS + CATS
@@ -163,7 +166,7 @@ def stats_rank_histogram(spark, sf):
     ),
 )
 def feature_stats(spark, sf):
-    out = st.feature_stats(_log(spark, sf), COLS).select(
+    out = st.feature_stats(clicks(spark, sf), COLS).select(
         "feature", "type", "n_present", F.col("num.mean").alias("mean"),
         F.col("num.quantiles")[3].alias("q3"), F.col("str.n_unique").alias("n_unique"),
         F.col("str.top")[0]["value"].alias("most"),
@@ -270,7 +273,7 @@ def set_drift_threshold(spark, sf):
     ),
 )
 def validate_schema(spark, sf):
-    order, rows = F.col("l_orderkey"), _log(spark, sf)
+    order, rows = F.col("l_orderkey"), clicks(spark, sf)
     new = (
         rows.where(NEW)
         .drop("i6")
@@ -279,9 +282,10 @@ def validate_schema(spark, sf):
         .withColumn("i2", F.when(order % 3 != 0, F.col("i2")))
         .withColumn("c4", F.when(order % 50 == 0, "NOWHERE").otherwise(F.col("c4")))
     )
-    cols = ["i1", "i2", "i3", "i4", "i5", "i7", *CATS]
-    counts = st.string_counts(new, CATS[1:])
-    return val.validate(_typed_stats(new, cols), _ref_schema(rows), counts, _ref_domain(rows))
+    # one scan a side gives presence and values
+    stats, counts = st.presence_and_values(new, ["i1", "i2", "i3", "i4", "i5", "i7", *CATS])
+    ref_stats, ref_counts = st.presence_and_values(rows.where(REF), COLS)
+    return val.validate(stats, val.infer_schema(ref_stats), counts, val.infer_domain(ref_counts))
 
 
 @query(
@@ -372,10 +376,14 @@ SQL_SAVED = ",".join(
 )
 
 
-def _saved(spark, df):
+def _saved_sides(spark, rows):
+    """Saved records of both sides, from two scans of the rows of both."""
     path = new_path(spark, "stats")
-    st.save_stats(st.feature_stats(df, CONTS), path)
-    return st.load_stats(spark, path)
+    rows = rows.select(*CONTS, F.when(F.expr(REF), "ref").when(F.expr(NEW), "new").alias("side"))
+    both = st.feature_stats(rows.where("side is not null"), CONTS, by="side")
+    for side in ("ref", "new"):
+        st.save_stats(both.where(F.col("side") == side).drop("side"), f"{path}/{side}")
+    return st.load_stats(spark, f"{path}/ref"), st.load_stats(spark, f"{path}/new")
 
 
 @query(
@@ -383,8 +391,7 @@ def _saved(spark, df):
     with_sql(SQL_CLICKS, SQL_SAVED, SQL_JSD, body=f"select feature, {sql_round('value')} as value from jsd"),
 )
 def drift_js_saved(spark, sf):
-    ref, new = _sides(spark, sf, _log(spark, sf))
-    out = drift.js_from_stats(_saved(spark, ref), _saved(spark, new), CONTS)
+    out = drift.js_from_stats(*_saved_sides(spark, clicks(spark, sf)), CONTS)
     return rounded(out, "value")
 
 
@@ -403,3 +410,92 @@ def drift_decision(spark, sf):
     ref, new = _sides(spark, sf, rows)
     schema = val.with_threshold(_ref_schema(rows), "i2", 0.00005)
     return rounded(drift.drift_report(drift.js_divergence(ref, new, CONTS), schema), "value", digits=9)
+
+
+# --- daily records ----------------------------------------------------------------------------
+
+PROBS = [0.0, 0.01, 0.1, 0.25, 0.5, 0.75, 0.9, 0.99, 1.0]
+
+
+@query(
+    "stats_merge_days",
+    with_sql(
+        SQL_CLICKS,
+        body=_each(
+            "select '{c}' as feature, count(*) as n_rows, count({c}) as n_present, " + sql_round("avg({c})", 7)
+            + " as mean, " + sql_round("stddev_pop({c})", 5) + " as std, min({c}) as min, max({c}) as max, "
+            "count(*) filter ({c} = 0) as zeros, cast(null as double) as avg_len, "
+            f"{len(PROBS)}::bigint as quantiles_held, true as distinct_held, true as frequent_held from clicks where {REF}",
+            CONTS,
+        )
+        + " union all "
+        + _each(
+            "select '{c}', count(*), count({c}), null, null, null, null, null, " + sql_round("avg(length({c}))", 7)
+            + f", 0::bigint, true, true from clicks where {REF}",
+            CATS,
+        ),
+    ),
+)
+def stats_merge_days(spark, sf):
+    """Daily records saved in two goes and merged over the reference days; how many estimates keep to their bounds.
+
+    The exact ranks, distinct counts and value counts that estimates are held against are taken from the rows here only.
+    """
+    rows, path = clicks(spark, sf).where("day is not null"), new_path(spark, "days")
+    for part in (REF, NEW):
+        daily.save_days(daily.daily_records(rows.where(part), COLS), path)
+    record = materialize(daily.merge_days(daily.load_days(spark, path, last=11)), "merged")
+    told = daily.describe(record, PROBS).collect()
+    ref = rows.where(REF)
+    # an estimate keeps to its bound if its ranks, from the first of its equals to the last, come near the wanted one
+    checks = []
+    for r in told:
+        if r.quantiles is None:
+            checks.append(F.countDistinct(r.feature).alias(r.feature))
+            continue
+        x = F.col(r.feature)
+        kept = [
+            (F.count(F.when(x < v, 1)) <= (p + daily.RANK_ERROR) * F.count(x))
+            & (F.count(F.when(x <= v, 1)) >= (p - daily.RANK_ERROR) * F.count(x))
+            for p, v in zip(PROBS, r.quantiles)
+        ]
+        checks.append(sum(k.cast("bigint") for k in kept).alias(r.feature))
+    exact = ref.agg(*checks).first().asDict()
+    held = local_table(
+        spark, "feature string, quantiles_held bigint, distinct_ok bigint",
+        [
+            (r.feature, exact[r.feature] if r.quantiles is not None else 0,
+             int(r.n_unique is None or abs(r.n_unique - exact[r.feature]) <= max(1, daily.DISTINCT_ERROR * exact[r.feature])))
+            for r in told
+        ],
+    )
+    counts = st.string_counts(ref, CATS)
+    frequent = daily.frequent(record, 50).join(counts, ["feature", "value"], "left").groupBy("feature").agg(
+        F.bool_and(F.col("count").between(F.col("low"), F.col("high"))).alias("frequent_ok")
+    )
+    out = daily.describe(record, PROBS).join(held, "feature").join(frequent, "feature", "left").select(
+        "feature", "n_rows", "n_present", "mean", "std", "min", "max", "zeros", "avg_len", "quantiles_held",
+        (F.col("distinct_ok") == 1).alias("distinct_held"), F.coalesce("frequent_ok", F.lit(True)).alias("frequent_held"),
+    )
+    return rounded(rounded(out, "mean", "avg_len", digits=7), "std", digits=5)
+
+
+@query(
+    "top_values_two_scans",
+    with_sql(
+        SQL_CLICKS,
+        body=_each(
+            """select * from (select '{c}' as feature, {c} as value, count(*) as count,
+              cast(row_number() over (order by count(*) desc, {c}) as int) as rank from clicks where {c} is not null
+              group by {c}) where rank <= 20""",
+            CATS[:6],
+        ),
+    ),
+)
+def top_values_two_scans(spark, sf):
+    """Summaries first, then exact counts of what may be among the first; a column they leave open is counted in full."""
+    rows = clicks(spark, sf).select(*CATS[:6])
+    found, undecided = heavy.top_values_in_two_scans(rows, CATS[:6], 20, size=300)
+    if undecided:
+        found = found.unionByName(st.top_values(rows, undecided, 20).select(*found.columns))
+    return found.select("feature", "value", "count", "rank")

@@ -97,3 +97,45 @@ def test_cost_per_request(spark):
     out = s.delta_ratio(df, ["pod"], 30, ["pod"], over="queue", per="done")
     assert [(r.pod, r.value) for r in out.collect()] == [("x", 2.0)]
     assert s.over_target(out, 0.2).count() == 1 and s.over_target(out, 2.0).count() == 0
+
+
+def plain_extrapolated(rows, at, frame, counter):
+    """The rule for one series and frame, in seconds."""
+    inside = [(t, v) for t, v in rows if at - frame <= t <= at]
+    if len(inside) < 2:
+        return None
+    (t0, v0), (t1, v1) = inside[0], inside[-1]
+    change = v1 - v0
+    if counter:
+        change += sum(a for (_, a), (_, b) in zip(inside, inside[1:]) if b < a)
+    covered = t1 - t0
+    distance = covered / (len(inside) - 1)
+    head, tail = t0 - (at - frame), at - t1
+    head = distance / 2 if head >= 1.1 * distance else head
+    if counter and change > 0 and v0 >= 0:
+        head = min(head, covered * v0 / change)
+    tail = distance / 2 if tail >= 1.1 * distance else tail
+    return change * (covered + head + tail) / covered
+
+
+@pytest.mark.parametrize("kind", ["increase", "rate", "delta"])
+def test_extrapolated_changes(frame, samples, kind):
+    got = {(r.instance, r["at"]): r.value for r in s.extrapolated(frame, ["metric", "instance"], FRAME, kind, 300, 1000).collect()}
+    began = int(START.timestamp())
+    want = {}
+    for name, rows in samples.items():
+        for at in range(began // 300 * 300, began + rows[-1][0] + FRAME + 1, 300):
+            value = plain_extrapolated(rows, at - began, FRAME, kind != "delta")
+            if value is not None:
+                want[name, at] = value / FRAME if kind == "rate" else value
+    assert got.keys() == want.keys() and len(want) > 200
+    assert all(got[k] == pytest.approx(v, abs=1e-9) for k, v in want.items())
+    total = s.increase(frame, ["metric", "instance"], FRAME, ["metric"], 300, extrapolate=True)
+    if kind == "increase":
+        sums = {r["at"]: r.increase for r in total.collect()}
+        assert sum(sums.values()) == pytest.approx(sum(want.values()))
+
+
+def test_unknown_kinds_of_change(frame):
+    with pytest.raises(ValueError):
+        s.extrapolated(frame, ["instance"], FRAME, "idelta")
