@@ -205,33 +205,6 @@ def sink_events(spark, sf):
     return ops.unpack_event(ops.parse_events(messages), EVENT_SCHEMA, ROW_KEY)
 
 
-@query(
-    "source_events",
-    with_sql(
-        SQL_SCORED,
-        body="""select event_id,
-          case when event_id % 13 = 0 then null when event_id % 5 = 0 then null else predval end as predval,
-          case when event_id % 13 = 0 then null else cast(trueval as double) end as trueval,
-          event_id % 13 = 0 as corrupt from scored""",
-    ),
-)
-def source_events(spark, sf):
-    """Payloads with bare NaN and with unreadable JSON among them."""
-    text = F.when(F.col("event_id") % 13 == 0, F.lit("{broken")).otherwise(
-        F.concat(
-            F.lit('{"input0":[1.0],"input1":[2.0],"trueval":'), F.col("trueval").cast("string"),
-            F.lit(',"predval":'),
-            F.when(F.col("event_id") % 5 == 0, "NaN").otherwise(F.col("predval").cast("string")),
-            F.lit("}"),
-        )
-    )
-    messages = scored(spark, sf).select("event_id", text.alias("payload"))
-    parsed = ops.parse_events(messages)
-    return parsed.select(
-        "event_id", "predval", "trueval", F.col("corrupt").isNotNull().alias("corrupt")
-    )
-
-
 @query(
     "slice_batches",
     with_sql(

@@ -234,6 +234,56 @@ def stream_drain(spark, sf):
     return ev.read_drained(spark, dst, events.schema).withColumn("left_behind", F.lit(left).cast("bigint"))
 
 
+@query(
+    "source_events",
+    with_sql(
+        SQL_SCORED,
+        """said as (select event_id, model_key, event_id % 13 = 0 as corrupt, event_id % 5 = 0 as gap, event_id % 3 as k,
+             predval, cast(trueval as double) as trueval from scored)""",
+        body="""select event_id, cast(model_key as varchar) as model_key, corrupt,
+          case when not corrupt and not gap then predval end as predval, case when not corrupt then trueval end as trueval,
+          case when not corrupt then cast(event_id as double) end as a0, case when not corrupt and k <> 0 then -1.5::double end as a1,
+          case when not corrupt then k::double end as b0, case when not corrupt and k > 0 then 7::double end as b1,
+          case when not corrupt and k > 1 then cast(model_key as double) end as b2,
+          case when not corrupt then 2 end::int as n_a, case when not corrupt then k + 1 end::int as n_b from said""",
+    ),
+)
+def source_events(spark, sf):
+    """Messages read as a stream: arrays of several numbers, of different lengths, with bare NaN, and unreadable JSON."""
+    k = F.col("event_id") % 3
+
+    def text(c):
+        return F.col(c).cast("string")
+
+    lists = F.concat(
+        F.lit('{"input0":['), text("event_id"), F.lit(","), F.when(k == 0, "NaN").otherwise("-1.5"),
+        F.lit('],"input1":['), k.cast("string"), F.when(k > 0, ",7").otherwise(""),
+        F.when(k > 1, F.concat(F.lit(","), text("model_key"))).otherwise(""),
+    )
+    payload = F.when(F.col("event_id") % 13 == 0, "{broken").otherwise(
+        F.concat(
+            lists, F.lit('],"trueval":'), text("trueval"), F.lit(',"predval":'),
+            F.when(F.col("event_id") % 5 == 0, "NaN").otherwise(text("predval")), F.lit("}"),
+        )
+    )
+    path = new_path(spark, "messages")
+    messages = scored(spark, sf).select(
+        "event_id", text("model_key").alias("model_key"), F.col("ts").cast("timestamp").alias("ts"), payload.alias("payload")
+    )
+    messages.repartition(6, "event_id").write.json(path)
+    out = run(ev.read_events(spark, path, max_files=2), spark)
+
+    def at(array, i):
+        return F.get(array, F.lit(i)).alias(f"{'a' if array == 'input0' else 'b'}{i}")
+
+    return out.select(
+        "event_id", "model_key", F.col("corrupt").isNotNull().alias("corrupt"), "predval", "trueval",
+        *[at("input0", i) for i in range(2)], *[at("input1", i) for i in range(3)],
+        F.when(F.col("corrupt").isNull(), F.size("input0")).alias("n_a"),
+        F.when(F.col("corrupt").isNull(), F.size("input1")).alias("n_b"),
+    )
+
+
 @query("stream_backpressure", f"select event_id, {sql_round('value')} as predval, true as held_back from events")
 def stream_backpressure(spark, sf):
     """All events, taken in one of several files per batch at most."""
