@@ -1,14 +1,16 @@
 """Similarity join on sets of word n-grams by prefixes of adaptive length.
 
 Two sets of Jaccard similarity at least t share l elements among the first |x| - ceil(t |x|) + l of
-each, in any common order. Rare elements come first here. A document may take a longer
+each, in any common order. Rare elements come first here: they are hashed into an array of counters of a fixed size, which
+all tasks fill and sum, and ordered by their counter. A document may take a longer
 prefix (a larger l) and then leave out its l - 1 most frequent elements when it looks for partners, for at least one of the
 l shared ones remains. l is the one of least estimated cost. A pair is compared in full only if it met in as many
 prefix elements as it must: what two sets share is in both prefixes, was left out, or stands behind one prefix.
 
 Documents of equal sets are one class. Before the join, classes are compared with one class per prefix
-element, in a few rounds with another one each, and what is linked so becomes one group: members of a group need not find each other again, so
-a large group of near copies costs no pairs within it.
+element, in a few rounds with another one each, and what is linked so becomes one group: members of a group need not find each other again.
+The pairs that are left are verified in rounds, too: a class with the one that it met most often; what a round has linked
+is united, and pairs inside one group are dropped. A large group of near copies so costs few pairs within it.
 """
 
 from __future__ import annotations
@@ -28,10 +30,8 @@ from ctrflow.scratch import discard, materialize
 
 #: Longest prefix that is considered: l of the above, at most.
 MATCHES = 4
-#: Elements holding at least this share of all are put last; there can be 4 / SHARE of them at most.
-SHARE = 1e-5
-#: Elements counted together when frequent ones are looked for.
-CHUNK = 4_000_000
+#: Counters of elements, and how many of them travel together.
+SLOTS, CHUNK = 1 << 21, 1 << 16
 #: Rounds of comparing with one class per element before pairs are looked for.
 ROUNDS = 3
 #: Classes whose sets are fetched by broadcasting their keys; more of them are fetched by shuffle.
@@ -42,66 +42,57 @@ def _sets(column: pa.Array, n: int) -> tuple[np.ndarray, np.ndarray]:
     return sets(*shingles(*words(*utf8(column)), n))
 
 
-def _frequent(docs: DataFrame, text: str, n: int) -> np.ndarray:
-    """Elements that hold a share of ``SHARE`` of all, or little less, the most frequent last.
+def _slot(value: np.ndarray) -> np.ndarray:
+    return (value >> U(64 - SLOTS.bit_length() + 1)).astype(np.int64)
 
-    An element with that share has it in at least one chunk, so each chunk names its candidates.
-    """
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, size, total = [], 0, 0
+def _summed(group: pa.Table) -> pa.Table:
+    total = sum(np.frombuffer(v.as_buffer(), np.uint32) for v in group.column("counts"))
+    return pa.table({"chunk": group.column("chunk")[:1], "counts": pa.array([total.tobytes()], pa.binary())})
 
-        def named():
-            found, times = np.unique(np.concatenate(held), return_counts=True)
-            some = times >= max(3, SHARE * size)
-            return pa.RecordBatch.from_arrays(
-                [pa.array(found[some].view(np.int64)), pa.array(times[some], pa.int64())], ["e", "n"]
-            )
 
+def _counters(docs: DataFrame, text: str, n: int) -> np.ndarray:
+    """How many elements of all sets fall on each of ``SLOTS`` counters."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(SLOTS, np.uint32)
         for block in blocks(batches, "t"):
-            value, _ = _sets(block.column("t"), n)
-            held.append(value)
-            size += len(value)
-            total += len(value)
-            if size >= CHUNK:
-                yield named()
-                held, size = [], 0
-        if size:
-            yield named()
-        yield pa.RecordBatch.from_arrays([pa.array([None], pa.int64()), pa.array([total], pa.int64())], ["e", "n"])
-
-    counted = materialize(
-        docs.select(docs[f"`{text}`"].alias("t")).mapInArrow(count, "e bigint, n bigint")
-        .groupBy("e").agg(F.sum("n").alias("n")),
-        "frequent",
-    )
-    total = counted.where("e is null").agg(F.sum("n")).first()[0] or 0
-    rows = counted.where(F.col("e").isNotNull() & (F.col("n") >= max(3.0, SHARE * total / 4))).toArrow()
-    order = np.lexsort((rows.column("e").to_numpy(), rows.column("n").to_numpy()))
-    return rows.column("e").to_numpy()[order]
+            found, times = np.unique(_slot(_sets(block.column("t"), n)[0]), return_counts=True)
+            total[found] += times.astype(np.uint32)
+        for i in range(0, SLOTS, CHUNK):
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([i // CHUNK], pa.int64()), pa.array([total[i : i + CHUNK].tobytes()], pa.binary())],
+                ["chunk", "counts"],
+            )
+
+    rows = "chunk bigint, counts binary"
+    counted = docs.select(docs[f"`{text}`"].alias("t")).mapInArrow(count, rows)
+    # first among the tasks of each residue, so that no task gets the counters of all
+    part = F.pmod(F.spark_partition_id(), F.lit(64))
+    some = counted.withColumn("part", part).groupBy("part", "chunk").applyInArrow(_summed, rows)
+    whole = some.groupBy("chunk").applyInArrow(_summed, rows).toArrow()
+    out = np.zeros(SLOTS, np.uint32)
+    for chunk, counts in zip(whole.column("chunk").to_pylist(), whole.column("counts").to_pylist()):
+        out[chunk * CHUNK : (chunk + 1) * CHUNK] = np.frombuffer(counts, np.uint32)
+    return out
 
 
 def signatures(
     docs: DataFrame, text: str, keep: list[str], n: int, threshold: Fraction
 ) -> DataFrame:
     """``keep``, ``size`` of the set, ``id`` (a hash of the set), ``key`` (of the text) and ``prefix``."""
-    last = docs.sparkSession.sparkContext.broadcast(_frequent(docs, text, n))
+    counters = docs.sparkSession.sparkContext.broadcast(_counters(docs, text, n))
     p, q = threshold.numerator, threshold.denominator
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        frequent = last.value.view(U)
-        by_value = np.argsort(frequent)
-        sorted_values = frequent[by_value]
+        times = counters.value
         for block in blocks(batches, "__t"):
             value, ends = _sets(block.column("__t"), n)
             size = np.diff(ends)
             row = np.repeat(np.arange(len(size)), size)
             sums = np.concatenate((np.zeros(1, U), np.cumsum(mix(value ^ U(0x5851F42D4C957F2D)), dtype=U)))
             ids = mix(sums[ends[1:]] - sums[ends[:-1]] + size.astype(U))
-            if len(frequent) and len(value):
-                at = np.minimum(np.searchsorted(sorted_values, value), len(frequent) - 1)
-                place = np.where(sorted_values[at] == value, by_value[at] + 1, 0)
-                value = value[np.lexsort((value, place, row))]
+            value = value[np.lexsort((value, times[_slot(value)], row))]
             length = np.minimum(size, size - -(-size * p // q) + MATCHES)
             cut = np.concatenate(([0], np.cumsum(length)))
             flat = np.arange(cut[-1]) - np.repeat(cut[:-1], length) + np.repeat(ends[:-1], length)
@@ -121,10 +112,8 @@ def signatures(
     )
 
 
-def _linked(pairs: DataFrame, classes: DataFrame, docs: DataFrame, text: str, n: int, threshold: Fraction) -> DataFrame:
-    """Those of ``pairs(a, b)`` whose sets are similar enough, by the whole sets."""
-    p, q = threshold.numerator, threshold.denominator
-    pairs = materialize(pairs, "pairs")
+def _fetched(pairs: DataFrame, classes: DataFrame, docs: DataFrame, text: str, n: int) -> DataFrame:
+    """``(id, s)``: the whole sets of the classes in ``pairs(a, b)``."""
     wanted = pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct()
     wanted = materialize(wanted.join(classes, "id").select("id", F.col("key").alias("__key")), "wanted")
     keys = small_or_not(wanted, BROADCAST_ROWS)
@@ -139,13 +128,69 @@ def _linked(pairs: DataFrame, classes: DataFrame, docs: DataFrame, text: str, n:
     known = materialize(
         texts.select("id", "__t").mapInArrow(read, "id bigint, s array<bigint>").dropDuplicates(["id"]), "sets"
     )
+    discard(wanted)
+    return known
+
+
+def _verified(pairs: DataFrame, known: DataFrame, threshold: Fraction) -> DataFrame:
+    """Those of ``pairs(a, b)`` whose sets are similar enough."""
+    p, q = threshold.numerator, threshold.denominator
     both = pairs.join(known.select(F.col("id").alias("a"), F.col("s").alias("sa")), "a").join(
         known.select(F.col("id").alias("b"), F.col("s").alias("sb")), "b"
     )
     shared = F.size(F.array_intersect("sa", "sb")).cast("bigint")
     compared = both.select("a", "b", (F.size("sa") + F.size("sb")).cast("bigint").alias("n"), shared.alias("m"))
-    links = materialize(compared.where(F.col("m") * q >= (F.col("n") - F.col("m")) * p).select("a", "b"), "links")
-    discard(pairs, wanted, known)
+    return materialize(compared.where(F.col("m") * q >= (F.col("n") - F.col("m")) * p).select("a", "b"), "links")
+
+
+def _linked(pairs: DataFrame, classes: DataFrame, docs: DataFrame, text: str, n: int, threshold: Fraction) -> DataFrame:
+    """Those of ``pairs(a, b)`` whose sets are similar enough, by the whole sets."""
+    pairs = materialize(pairs, "pairs")
+    known = _fetched(pairs, classes, docs, text, n)
+    links = _verified(pairs, known, threshold)
+    discard(pairs, known)
+    return links
+
+
+def _groups(links: DataFrame) -> DataFrame:
+    return materialize(components(links).select(F.col("node").alias("id"), F.col("component").alias("grp")), "groups")
+
+
+def _across(pairs: DataFrame, groups: DataFrame) -> DataFrame:
+    """Those of ``pairs`` that are not inside one group."""
+    def of(c: str) -> DataFrame:
+        return groups.select(F.col("id").alias(c), F.col("grp").alias(f"grp_{c}"))
+
+    named = pairs.join(of("a"), "a", "left").join(of("b"), "b", "left")
+    return named.where(F.coalesce("grp_a", "a") != F.coalesce("grp_b", "b")).select(*pairs.columns)
+
+
+def _linked_in_rounds(
+    candidates: DataFrame, links: DataFrame, classes: DataFrame, docs: DataFrame, text: str, n: int, threshold: Fraction
+) -> DataFrame:
+    """``links`` and enough of the similar ones among ``candidates(a, b, met)`` to tie all that they tie.
+
+    Per round each class is compared with one other, the one it met most often. Rounds go on while a tenth of what they
+    compare is linked, so that groups grow and hold more of the pairs; what is left then is verified in one go.
+    """
+    open_ = materialize(candidates, "candidates")
+    left, turn = open_.count(), 0
+    if not left:
+        return links
+    known = _fetched(open_, classes, docs, text, n)
+    while left:
+        best = F.struct(F.col("met"), F.xxhash64("a", F.lit(turn)))
+        chosen = materialize(open_.groupBy("b").agg(F.max_by("a", best).alias("a")).select("a", "b"), "pairs")
+        found = _verified(chosen, known, threshold)
+        links = links.union(found)
+        rest = materialize(_across(open_.join(chosen, ["a", "b"], "left_anti"), _groups(links)), "candidates")
+        fruitful = 10 * found.count() >= chosen.count()
+        discard(open_, chosen)
+        open_, left, turn = rest, rest.count(), turn + 1
+        if not fruitful:
+            links = links.union(_verified(open_.select("a", "b"), known, threshold))
+            break
+    discard(open_, known)
     return links
 
 
@@ -223,9 +268,7 @@ def link_groups(
         )
         found = _linked(stars, classes, renamed, "__text", n, threshold)
         links = found if links is None else links.union(found)
-        groups = materialize(
-            components(links).select(F.col("node").alias("id"), F.col("component").alias("grp")), "groups"
-        )
+        groups = _groups(links)
         grouped = elements.drop("grp").join(groups, "id", "left").withColumn("grp", F.coalesce("grp", "id"))
         mixed = grouped.groupBy("e").agg(F.min("grp").alias("g0"), F.max("grp").alias("g1")).where("g0 <> g1").select("e")
         before, elements = elements, materialize(grouped.join(mixed, "e").select(*elements.columns), "elements")
@@ -269,9 +312,9 @@ def link_groups(
             F.count(F.lit(1)).alias("met"), F.max("l").alias("l"), F.max("size_a").alias("size_a"), F.max("size_b").alias("size_b")
         )
         .where(F.col("met") + (F.col("l") - 1) + behind >= due)
-        .select("a", "b")
+        .select("a", "b", "met")
     )
-    links = links.union(_linked(candidates, classes, renamed, "__text", n, threshold))
+    links = _linked_in_rounds(candidates, links, classes, renamed, "__text", n, threshold)
     discard(elements)
     united = components(links)
     tied = classes.join(united.withColumnRenamed("node", "id"), "id")
