@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -15,7 +15,7 @@ from pyspark.sql import types as T
 from ctrflow.llm.arrays import ASCII_LOWER, blocks, utf8
 
 UNKNOWN = "und"
-LETTER = re.compile(r"[^\W\d_]")
+LETTER = regex.compile(r"\p{L}")
 _BLANK = 32
 
 #: Letters of ASCII in lower case and all bytes of longer characters; other bytes are blanks.

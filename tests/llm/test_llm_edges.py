@@ -236,6 +236,9 @@ def test_language_edges(spark, docs, none):
     mixed = "the cat and the dog and the cat " * 20 + "der Hund und die Katze und der Hund " * 20
     one = langmix.identify(spark.createDataFrame([(mixed,)], "text string"), model).first()
     assert set(one.langs) == {"de", "en"} and 0.3 < one.weights[0] < 0.7
+    numerals = spark.createDataFrame([("²³",), ("½ ①",), ("Ⅷ 12",), ("_",), ("ª",), ("字",)], "text string")
+    told = {r.text: r.lang_pred for r in langmix.identify(numerals, model).collect()}
+    assert {t for t, lang in told.items() if lang == "und"} == {"²³", "½ ①", "Ⅷ 12", "_"}
     nothing = langmix.fit(learn.where("lang = 'none'"))
     assert {r.lang_pred for r in langmix.identify(docs, nothing).collect()} == {"und"}
     assert count(langmix.identify(none, model)) == 0
