@@ -185,12 +185,11 @@ def rolling_auc_held(
     )
     names = [f"__k{i}" for i in range(len(key))]
     # a block that starts with a key follows blocks that end with it, if there are earlier rows of the key
-    begins = materialize(
+    begins = (
         blocks.groupBy("__block").agg(F.min_by(F.struct(F.lit(0), *key), F.col("__seq")).alias("first")).select(
             "__block", *[F.col("first")[k].alias(f"__k{i}") for i, k in enumerate(key)]
         ).withColumn("held", none).select(F.col("__block").alias("__after"), *names, "held", F.lit(True).alias("asks"))
-        .unionAll(ends.select("__after", *names, "held", F.lit(False))),
-        "ends",
+        .unionAll(ends.select("__after", *names, "held", F.lit(False)))
     )
     earlier = Window.partitionBy(*names).orderBy("__after", F.desc("asks")).rowsBetween(Window.unboundedPreceding, -1)
     asked = begins.withColumn("__carried", F.last("held", ignorenulls=True).over(earlier)).where("asks").where(

@@ -35,8 +35,8 @@ from ctrflow.streaming.windows import live_increase, window_deltas
 ROWS_PER_FILE = 1_000_000
 
 
-def feed(spark, df: DataFrame, order, rows_per_file: int = ROWS_PER_FILE) -> DataFrame:
-    """The rows as a stream in the given order, a file of at most ``rows_per_file`` rows per batch.
+def feed(spark, df: DataFrame, order, rows_per_file: int = ROWS_PER_FILE, files: int = 1) -> DataFrame:
+    """The rows as a stream in the given order, ``files`` files of at most ``rows_per_file`` rows per batch.
 
     Files are written side by side, one range of the order per task. A file stream goes by modification
     time, so the files get times in the order of their ranges.
@@ -46,7 +46,7 @@ def feed(spark, df: DataFrame, order, rows_per_file: int = ROWS_PER_FILE) -> Dat
     ordered = df.repartitionByRange(ranges, *order).sortWithinPartitions(*order)
     ordered.write.option("maxRecordsPerFile", rows_per_file).parquet(path)
     set_times(spark, path)
-    return spark.readStream.schema(df.schema).option("maxFilesPerTrigger", 1).parquet(path)
+    return spark.readStream.schema(df.schema).option("maxFilesPerTrigger", files).parquet(path)
 
 
 def played(stream: DataFrame, spark) -> tuple[DataFrame, list[int]]:
@@ -98,7 +98,8 @@ HOUR = 3_600_000
 def stream_rolling_auc(spark, sf):
     """Without resets: every batch in blocks of all keys."""
     path = new_path(spark, "rolling")
-    events = feed(spark, scored(spark, sf), ARRIVAL)
+    # a batch is put in order as a whole, so it may as well be large
+    events = feed(spark, scored(spark, sf), ARRIVAL, files=4)
     mon.rolling_auc_stream(events, path, new_path(spark, "ckpt"), N).awaitTermination()
     out = mon.read_rolling(spark, path)
     return rounded(
