@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
-from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,6 +17,9 @@ from ctrflow.scratch import delete_path, exists
 
 _FILE = "__file"
 
+#: What a reader takes for a pattern in a path.
+_GLOB = re.compile(r"([\\*?\[\]{}])")
+
 MESSAGE = T.StructType(
     [
         T.StructField("event_id", T.LongType()),
@@ -106,30 +109,35 @@ def drain(
 ) -> StreamingQuery:
     """Move arriving Parquet files to ``dst``, polling every ``interval``; ``read_drained`` reads them there.
 
-    Per batch: the names of its files are written down, their rows copied to the batch's own folder, and
-    then the files deleted. A batch that is played again after a failure copies anew if the copy was not
-    whole, and else only deletes what is left of its files, so each row is moved once.
+    The stream is one of file names, so that a file without rows is drained too. Per batch: the names of its files are
+    written down, their rows copied to the batch's own folder, and then the files deleted. A batch that is played
+    again after a failure copies anew if the copy was not whole, and else only deletes what is left of its
+    files, so each row is moved once.
     """
     log = f"{checkpoint.rstrip('/')}/drained"
 
     def batch(df: DataFrame, batch_id: int) -> None:
         files, copy = f"{log}/{batch_id}", f"{dst}/batch_id={batch_id}"
+        named = spark.read.schema(f"{_FILE} string")
+        # a batch has a bounded number of files
         if not exists(spark, f"{copy}/_SUCCESS"):
-            df.select(_FILE).distinct().write.mode("overwrite").parquet(files)
-            df.drop(_FILE).write.mode("overwrite").parquet(copy)
-        named = spark.read.schema(f"{_FILE} string").parquet(files)
+            df.write.mode("overwrite").parquet(files)
+            paths = [_GLOB.sub(r"\\\1", r[0]) for r in named.parquet(files).toLocalIterator()]
+            if paths:
+                reader = spark.read.schema(schema)
+                reader = reader if _GLOB.search(src) else reader.option("basePath", src)
+                reader.parquet(*paths).write.mode("overwrite").parquet(copy)
         with ThreadPoolExecutor(16) as pool:
-            # a batch has a bounded number of files
-            for _ in pool.map(lambda r: delete(spark, unquote(r[0])), named.toLocalIterator()):
+            for _ in pool.map(lambda r: delete(spark, r[0]), named.parquet(files).toLocalIterator()):
                 pass
         delete_path(spark, f"{log}/{batch_id - 1}")
 
-    reader = spark.readStream.schema(schema)
+    reader = spark.readStream.format("binaryFile").schema("path string, modificationTime timestamp, length long, content binary")
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
-    rows = reader.parquet(src).select("*", F.col("_metadata.file_path").alias(_FILE))
+    names = reader.load(src).select(F.col("path").alias(_FILE))
     trigger = {"processingTime": interval} if interval else {"availableNow": True}
-    return rows.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint).trigger(**trigger).start()
+    return names.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint).trigger(**trigger).start()
 
 
 def read_drained(spark: SparkSession, dst: str, schema: T.StructType) -> DataFrame:

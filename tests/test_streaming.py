@@ -175,6 +175,19 @@ def test_drain_copies_each_row_once(spark, tmp):
     assert not [f for f in os.listdir(tmp[len("file:"):] + "/src") if f.endswith(".parquet")]
 
 
+def test_drain_moves_files_without_rows_and_with_odd_names(spark, tmp):
+    df = spark.range(40, numPartitions=2)
+    df.write.parquet(f"{tmp}/src")
+    df.where("id < 0").write.mode("append").parquet(f"{tmp}/src")  # one file without rows
+    local = tmp[len("file:"):] + "/src"
+    first = sorted(f for f in os.listdir(local) if f.endswith(".parquet"))[0]
+    os.replace(f"{local}/{first}", f"{local}/odd [a] 100%25 {{b}}.parquet")
+    assert len([f for f in os.listdir(local) if f.endswith(".parquet")]) == 3
+    ev.drain(spark, f"{tmp}/src", f"{tmp}/dst", f"{tmp}/ckpt", df.schema, max_files=1).awaitTermination()
+    assert sorted(r.id for r in ev.read_drained(spark, f"{tmp}/dst", df.schema).collect()) == list(range(40))
+    assert not [f for f in os.listdir(local) if f.endswith(".parquet")]
+
+
 @pytest.mark.parametrize("fails_at", [1, 2, 4])
 def test_drain_goes_on_after_a_failure_between_copy_and_delete(spark, tmp, fails_at):
     from ctrflow.scratch import delete_path
