@@ -499,3 +499,29 @@ def test_a_pipeline_may_start_again_once_its_run_is_listed(spark, tmp):
     stream = spark.readStream.schema(ALERT).option("maxFilesPerTrigger", 1).parquet(f"{tmp}/alerts")
     mon.act_on_alerts(stream, runs, f"{tmp}/stored", f"{tmp}/ckpt", start).awaitTermination()
     assert started == ["p", "p"] and asked
+
+
+def test_batches_of_a_feed_do_not_follow_the_partitions(spark):
+    from ctrflow.plans.streams import feed
+
+    partitions = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "100")
+    try:
+        stream = feed(spark, spark.range(5000), ["id"], 1000)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", partitions)
+    sizes = []
+    query = stream.writeStream.foreachBatch(lambda df, n: sizes.append(df.agg(F.count("id"), F.max("id")).first()))
+    query.trigger(availableNow=True).start().awaitTermination()
+    assert len(sizes) == 8 and sum(n for n, _ in sizes) == 5000
+    assert [top for _, top in sizes] == sorted(top for _, top in sizes)
+
+
+def test_every_window_of_the_live_series_is_closed(spark):
+    from ctrflow.plans.fixtures import series as live_series
+    from ctrflow.plans.streams import stream_metric_window
+
+    sf = "/root/testdata/sf0.001"
+    rows = live_series(spark, sf).withColumn("ts", F.col("ts").cast("timestamp"))
+    want = window_deltas(rows, ["metric", "instance"], "6 hours", "2 hours", "1 day").count()
+    assert stream_metric_window(spark, sf).count() == want
