@@ -94,6 +94,38 @@ def _step() -> tuple[Column, Column]:
     return prev, F.when(prev.isNull(), F.lit(0)).when(change < 0, F.col("value")).otherwise(change)
 
 
+def _in_frames(rows: DataFrame, key: Sequence[str], frame_us: int, of) -> DataFrame:
+    """Add what a frame ``[t - w, t]`` holds as two structs: ``__in`` of its own cell of time, ``__from`` of the cell before.
+
+    Cells are as long as a frame, which so lies in two of them: it is what its own cell holds up to the sample, and what the
+    cell before holds after the last sample that has left. In a sweep over time each sample comes, and leaves a frame
+    later; what remains of its cell is carried to the samples after that. Nothing is subtracted, and a sample costs
+    the same however many a frame holds. ``of(upto, later, cell)`` gives the three structs of a sample in these windows.
+    """
+    width = frame_us + 1  # the first instant whose frame does not hold a sample any more
+    cell = Window.partitionBy(*key, _SLAB, "__cell")
+    in_time = cell.orderBy(_T)
+    upto = in_time.rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    later = cell.orderBy(F.desc(_T)).rangeBetween(Window.unboundedPreceding, -1)
+    held, remains, whole = of(upto, later, cell)
+    rows = rows.withColumn("__cell", _floor_div(F.col(_T), width)).withColumns(
+        {"__in": held, "__remains": remains, "__whole": whole, "__nth": F.row_number().over(in_time)}
+    )
+
+    def event(at, turn, carried):
+        return F.struct(at.alias("at"), F.lit(turn).alias("turn"), carried.alias("carried"))
+
+    t, own = F.col(_T), F.col("__cell")
+    begins = F.when(F.col("__nth") == 1, event((own + 1) * F.lit(width), 0, F.struct(own.alias("cell"), F.col("__whole").alias("x"))))
+    leaves = event(t + F.lit(width), 1, F.struct(own.alias("cell"), F.col("__remains").alias("x")))
+    comes = event(t, 2, F.when(F.lit(False), F.struct(own.alias("cell"), F.col("__whole").alias("x"))))
+    swept = rows.withColumn("__e", F.explode(F.array_compact(F.array(begins, leaves, comes)))).drop("__remains", "__whole", "__nth")
+    sweep = Window.partitionBy(*key, _SLAB).orderBy("__e.at", "__e.turn").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    swept = swept.withColumn("__c", F.last("__e.carried", ignorenulls=True).over(sweep)).where("__e.turn = 2")
+    before = F.when(F.col("__c.cell") == F.col("__cell") - 1, F.col("__c.x"))
+    return swept.withColumn("__from", before).drop("__e", "__c", "__cell")
+
+
 def _framed(
     series: DataFrame, key: Sequence[str], frame_seconds: int, slab_seconds: int | None, add
 ) -> DataFrame:
@@ -105,9 +137,8 @@ def _framed(
     in_order = Window.partitionBy(*key, _SLAB).orderBy(_T)
     rows = rows.withColumn("__prev", F.lag("value").over(in_order))
     rows = rows.withColumn("__step", _step()[1])
-    frame = in_order.rangeBetween(-frame_us, Window.currentRow)
-    out = add(rows, frame).where(~F.col(_HALO))
-    return out.drop(_T, _SLAB, _HALO, "__prev", "__step")
+    out = add(rows, frame_us).where(~F.col(_HALO))
+    return out.drop(_T, _SLAB, _HALO, "__prev", "__step", "__in", "__from")
 
 
 def steps(
@@ -121,10 +152,15 @@ def increase_at(
     series: DataFrame, key: Sequence[str], frame_seconds: int, slab_seconds: int | None = None
 ) -> DataFrame:
     """Add, per sample, the ``increase`` over the frame that ends there."""
-    return _framed(
-        series, key, frame_seconds, slab_seconds,
-        lambda r, f: r.withColumn("increase", F.sum("__step").over(f)),
-    )
+
+    def sums(*windows):
+        return [F.struct(F.sum("__step").over(w).alias("s")) for w in windows]
+
+    def add(rows, frame_us):
+        own, older = F.col("__in.s"), F.col("__from.s")
+        return _in_frames(rows, key, frame_us, sums).withColumn("increase", F.coalesce(own + older, own, older))
+
+    return _framed(series, key, frame_seconds, slab_seconds, add)
 
 
 def rate_at(
@@ -140,10 +176,16 @@ def delta_at(
 ) -> DataFrame:
     """Add, per sample, ``delta``: last minus first value in the frame, null below two samples."""
 
-    def add(rows, frame):
+    def firsts(upto, later, cell):
         # the sample carried in from before the halo lies outside every frame
-        first, n = F.first("value").over(frame), F.count(F.lit(1)).over(frame)
-        return rows.withColumn("delta", F.when(n >= 2, F.col("value") - first))
+        values = (upto, F.first("value").over(upto)), (later, F.last("value").over(later)), (cell, F.col("value"))
+        return [F.struct(F.count(F.lit(1)).over(w).alias("n"), v.alias("v")) for w, v in values]
+
+    def add(rows, frame_us):
+        older = F.coalesce("__from.n", F.lit(0))
+        first = F.when(older > 0, F.col("__from.v")).otherwise(F.col("__in.v"))
+        rows = _in_frames(rows, key, frame_us, firsts)
+        return rows.withColumn("delta", F.when(older + F.col("__in.n") >= 2, F.col("value") - first))
 
     return _framed(series, key, frame_seconds, slab_seconds, add)
 

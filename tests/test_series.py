@@ -1,8 +1,10 @@
 import random
+import re
 from datetime import datetime, timedelta, timezone
 
 import pytest
 from naive import counter
+from pyspark.sql import functions as F
 
 from ctrflow.operators import series as s
 
@@ -139,3 +141,28 @@ def test_extrapolated_changes(frame, samples, kind):
 def test_unknown_kinds_of_change(frame):
     with pytest.raises(ValueError):
         s.extrapolated(frame, ["instance"], FRAME, "idelta")
+
+
+def test_work_does_not_grow_with_the_samples_in_a_frame(spark):
+    # every frame holds half of all samples: 40,000 x 20,000 of them one by one
+    n, frame = 40_000, 20_000
+    at = F.timestamp_seconds(F.lit(1_700_000_000) + F.col("id"))
+    df = spark.range(n).select(F.lit("m").alias("metric"), at.alias("ts"), (F.col("id") * 2).alias("value"))
+    out = s.increase_at(df, ["metric"], frame)
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert not re.search(r"RangeFrame, -\d+, currentrow", plan), plan
+    both = out.join(s.delta_at(df, ["metric"], frame).select("ts", "delta"), "ts")
+    i = F.unix_seconds("ts") - 1_700_000_000
+    want = F.when(i == 0, 0).otherwise(2 * F.least(i, F.lit(frame) + 1))
+    moved = F.when(i > 0, 2 * F.least(i, F.lit(frame)))
+    assert both.count() == n
+    assert both.where(~F.col("increase").eqNullSafe(want) | ~F.col("delta").eqNullSafe(moved)).count() == 0
+
+
+def test_a_frame_of_fractions_is_not_blurred_by_what_has_left_it(spark):
+    # a counter that falls from a huge value, and one that is not a number for a while
+    rows = [(0, 0.0), (10, 1e17), (1000, 0.25), (1010, 0.5), (2000, float("nan")), (3000, 1.0), (4000, 1.5)]
+    rows = [("m", START + timedelta(seconds=t), v) for t, v in rows]
+    df = spark.createDataFrame(rows, "metric string, ts timestamp, value double")
+    got = [r.increase for r in s.increase_at(df, ["metric"], 300).orderBy("ts").collect()]
+    assert got[:4] == [0.0, 1e17, 0.25, 0.5] and got[6] == 0.5
