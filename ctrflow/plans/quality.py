@@ -8,7 +8,7 @@ from ctrflow.operators import dailystats as daily
 from ctrflow.operators import drift, heavy
 from ctrflow.operators import statistics as st
 from ctrflow.operators import validation as val
-from ctrflow.plans.fixtures import CLICKS, SQL_CLICKS, clicks, day_log, with_sql
+from ctrflow.plans.fixtures import CLICKS, SQL_CLICKS, clicks, day_log, kept_clicks, with_sql
 from ctrflow.plans.registry import query, rounded, sql_round
 from ctrflow.scratch import local_table, materialize, new_path
 
@@ -441,17 +441,18 @@ def stats_merge_days(spark, sf):
 
     The exact ranks, distinct counts and value counts that estimates are held against are taken from the rows here only.
     """
-    rows, path = clicks(spark, sf).where("day is not null"), new_path(spark, "days")
+    rows, path = kept_clicks(spark, sf, [*COLS, "day"]).where("day is not null"), new_path(spark, "days")
     for part in (REF, NEW):
         daily.save_days(daily.daily_records(rows.where(part), COLS), path)
     record = materialize(daily.merge_days(daily.load_days(spark, path, last=11)), "merged")
     told = daily.describe(record, PROBS).collect()
     ref = rows.where(REF)
+    counts = materialize(st.string_counts(ref, CATS), "counts")
+    n_values = {r.feature: r["count"] for r in counts.groupBy("feature").count().collect()}
     # an estimate keeps to its bound if its ranks, from the first of its equals to the last, come near the wanted one
     checks = []
     for r in told:
         if r.quantiles is None:
-            checks.append(F.countDistinct(r.feature).alias(r.feature))
             continue
         x = F.col(r.feature)
         kept = [
@@ -460,7 +461,8 @@ def stats_merge_days(spark, sf):
             for p, v in zip(PROBS, r.quantiles)
         ]
         checks.append(sum(k.cast("bigint") for k in kept).alias(r.feature))
-    exact = ref.agg(*checks).first().asDict()
+    held_at = ref.agg(*checks).first().asDict() if checks else {}
+    exact = {**{r.feature: n_values.get(r.feature, 0) for r in told}, **held_at}
     held = local_table(
         spark, "feature string, quantiles_held bigint, distinct_ok bigint",
         [
@@ -469,7 +471,6 @@ def stats_merge_days(spark, sf):
             for r in told
         ],
     )
-    counts = st.string_counts(ref, CATS)
     frequent = daily.frequent(record, 50).join(counts, ["feature", "value"], "left").groupBy("feature").agg(
         F.bool_and(F.col("count").between(F.col("low"), F.col("high"))).alias("frequent_ok")
     )

@@ -18,6 +18,7 @@ class Seen(Exception):
     "name, owner, attr, at",
     [
         ("sink_stats", "ctrflow.plans.files", "feature_stats", 0),
+        ("stats_merge_days", "ctrflow.operators.dailystats", "daily_records", 0),
     ],
 )
 def test_rows_read_several_times_are_written_down(spark, monkeypatch, name, owner, attr, at):
