@@ -58,7 +58,7 @@ def stats_common(spark, sf):
     ),
 )
 def stats_numeric(spark, sf):
-    out = st.stats_numeric(clicks(spark, sf).select(*CONTS), CONTS)
+    out = st.stats_numeric(kept_clicks(spark, sf, CONTS), CONTS)
     return rounded(rounded(out, "std", "median"), "mean", digits=7)
 
 
@@ -100,7 +100,7 @@ def stats_std_histogram(spark, sf):
     ),
 )
 def stats_quantile_histogram(spark, sf):
-    return rounded(st.quantiles(clicks(spark, sf).select(*CONTS), CONTS, 10), "value")
+    return rounded(st.quantiles(kept_clicks(spark, sf, CONTS), CONTS, 10), "value")
 
 
 @query(

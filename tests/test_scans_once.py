@@ -18,6 +18,8 @@ class Seen(Exception):
     "name, owner, attr, at",
     [
         ("sink_stats", "ctrflow.plans.files", "feature_stats", 0),
+        ("stats_numeric", st, "stats_numeric", 0),
+        ("stats_quantile_histogram", st, "quantiles", 0),
         ("stats_merge_days", "ctrflow.operators.dailystats", "daily_records", 0),
     ],
 )
