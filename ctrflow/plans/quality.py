@@ -166,7 +166,7 @@ def stats_rank_histogram(spark, sf):
     ),
 )
 def feature_stats(spark, sf):
-    out = st.feature_stats(clicks(spark, sf), COLS).select(
+    out = st.feature_stats(kept_clicks(spark, sf, COLS), COLS).select(
         "feature", "type", "n_present", F.col("num.mean").alias("mean"),
         F.col("num.quantiles")[3].alias("q3"), F.col("str.n_unique").alias("n_unique"),
         F.col("str.top")[0]["value"].alias("most"),
