@@ -18,6 +18,7 @@ class Seen(Exception):
     "name, owner, attr, at",
     [
         ("feature_stats", st, "feature_stats", 0),
+        ("load_stats", "ctrflow.plans.files", "feature_stats", 0),
         ("sink_stats", "ctrflow.plans.files", "feature_stats", 0),
         ("stats_numeric", st, "stats_numeric", 0),
         ("stats_quantile_histogram", st, "quantiles", 0),
