@@ -377,7 +377,7 @@ SQL_SAVED = ",".join(
 
 
 def _saved_sides(spark, rows):
-    """Saved records of both sides, from two scans of the rows of both."""
+    """Saved records of both sides, from the same scans of the rows of both."""
     path = new_path(spark, "stats")
     rows = rows.select(*CONTS, F.when(F.expr(REF), "ref").when(F.expr(NEW), "new").alias("side"))
     both = st.feature_stats(rows.where("side is not null"), CONTS, by="side")
@@ -391,7 +391,7 @@ def _saved_sides(spark, rows):
     with_sql(SQL_CLICKS, SQL_SAVED, SQL_JSD, body=f"select feature, {sql_round('value')} as value from jsd"),
 )
 def drift_js_saved(spark, sf):
-    out = drift.js_from_stats(*_saved_sides(spark, clicks(spark, sf)), CONTS)
+    out = drift.js_from_stats(*_saved_sides(spark, kept_clicks(spark, sf, [*CONTS, "day"])), CONTS)
     return rounded(out, "value")
 
 

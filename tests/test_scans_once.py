@@ -20,6 +20,7 @@ class Seen(Exception):
         ("feature_stats", st, "feature_stats", 0),
         ("load_stats", "ctrflow.plans.files", "feature_stats", 0),
         ("sink_stats", "ctrflow.plans.files", "feature_stats", 0),
+        ("drift_js_saved", st, "feature_stats", 0),
         ("stats_numeric", st, "stats_numeric", 0),
         ("stats_quantile_histogram", st, "quantiles", 0),
         ("stats_merge_days", "ctrflow.operators.dailystats", "daily_records", 0),
