@@ -25,6 +25,7 @@ from ctrflow.plans.fixtures import (
     SQL_SCORED,
     clicks,
     day_log,
+    kept_clicks,
     scored,
     with_sql,
     workflow,
@@ -379,10 +380,10 @@ def join_vocab(spark, sf):
     """Lookup by shuffle join, as for vocabularies too large to broadcast."""
     from ctrflow.operators.vocab import LookupLimits
 
-    train, _ = _days(spark, sf)
-    fitted = Workflow(["c6", "c7"] >> Categorify()).fit(train)
+    rows = kept_clicks(spark, sf, [*ROW_KEY, "c6", "c7", "day"])
+    fitted = Workflow(["c6", "c7"] >> Categorify()).fit(day_split(rows, N_TRAIN, N_VAL)[0])
     fitted.limits = LookupLimits(column_bytes=0)
-    return fitted.transform(clicks(spark, sf), ROW_KEY)
+    return fitted.transform(rows, ROW_KEY)
 
 
 @query(

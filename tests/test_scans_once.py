@@ -5,6 +5,7 @@ import pyarrow as pa
 import pytest
 
 from ctrflow.operators import statistics as st
+from ctrflow.operators import workflow as wf
 from ctrflow.plans import catalog, fixtures
 
 SF = "/root/testdata/sf0.001"
@@ -24,6 +25,7 @@ class Seen(Exception):
         ("stats_numeric", st, "stats_numeric", 0),
         ("stats_quantile_histogram", st, "quantiles", 0),
         ("stats_merge_days", "ctrflow.operators.dailystats", "daily_records", 0),
+        ("join_vocab", wf.FittedWorkflow, "transform", 1),
     ],
 )
 def test_rows_read_several_times_are_written_down(spark, monkeypatch, name, owner, attr, at):
