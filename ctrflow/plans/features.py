@@ -123,7 +123,9 @@ def concat_groups(spark, sf):
     ),
 )
 def split_features_label(spark, sf):
-    features, label = ops.split_features_label(clicks(spark, sf), CLICKS)
+    # both frames come from these rows
+    rows = kept_clicks(spark, sf, [*ROW_KEY, *CONTS, *CATS, "label"])
+    features, label = ops.split_features_label(rows, CLICKS)
     return features.join(label, list(ROW_KEY)).select(
         *ROW_KEY, *CONTS, *CATS, "label"
     )

@@ -25,6 +25,7 @@ class Seen(Exception):
         ("stats_numeric", st, "stats_numeric", 0),
         ("stats_quantile_histogram", st, "quantiles", 0),
         ("stats_merge_days", "ctrflow.operators.dailystats", "daily_records", 0),
+        ("split_features_label", "ctrflow.operators.columns", "split_features_label", 0),
         ("join_vocab", wf.FittedWorkflow, "transform", 1),
     ],
 )
