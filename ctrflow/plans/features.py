@@ -446,9 +446,9 @@ def workflow_transform(spark, sf):
 @query("workflow_transform_new", _sql_transformed())
 def workflow_transform_new(spark, sf):
     """The table as it comes, not the staged days, through a workflow that was saved and loaded again."""
-    path = new_path(spark, "workflow")
-    fit(spark, sf).save(spark, path)
-    return _typed(FittedWorkflow.load(spark, path).transform(clicks(spark, sf), ROW_KEY))
+    path, rows = new_path(spark, "workflow"), kept_clicks(spark, sf)
+    workflow().fit(day_split(rows, N_TRAIN, N_VAL)[0]).save(spark, path)
+    return _typed(FittedWorkflow.load(spark, path).transform(rows, ROW_KEY))
 
 
 @query(

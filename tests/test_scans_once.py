@@ -27,6 +27,7 @@ class Seen(Exception):
         ("stats_merge_days", "ctrflow.operators.dailystats", "daily_records", 0),
         ("split_features_label", "ctrflow.operators.columns", "split_features_label", 0),
         ("join_vocab", wf.FittedWorkflow, "transform", 1),
+        ("workflow_transform_new", wf.FittedWorkflow, "transform", 1),
     ],
 )
 def test_rows_read_several_times_are_written_down(spark, monkeypatch, name, owner, attr, at):
