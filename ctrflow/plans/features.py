@@ -91,6 +91,11 @@ def _days(spark, sf):
     return day_split(day_log(spark, sf), N_TRAIN, N_VAL)
 
 
+def _kept_days(spark, sf, *columns):
+    """Training and validation days of the click log (or some columns), written down as one table."""
+    return day_split(kept_clicks(spark, sf, (*columns, "day") if columns else ()), N_TRAIN, N_VAL)
+
+
 def fit(spark, sf, order: str = "value") -> FittedWorkflow:
     return workflow(order).fit(_days(spark, sf)[0])
 
@@ -473,7 +478,7 @@ def load_workflow(spark, sf):
 @query("sink_features", _sql_transformed())
 def sink_features(spark, sf):
     """Both parts as written, training rows in shuffled order within partitions."""
-    train, valid = _days(spark, sf)
+    train, valid = _kept_days(spark, sf)
     fitted, path = workflow().fit(train), new_path(spark, "features")
     for name, part, seed in (("train", train, 7), ("valid", valid, None)):
         out = fitted.transform(part, ROW_KEY)
