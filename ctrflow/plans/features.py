@@ -378,7 +378,7 @@ def _sql_codes(names):
 
 @query("categorify_transform", _sql_codes(CATS))
 def categorify_transform(spark, sf):
-    train, valid = _days(spark, sf)
+    train, valid = _kept_days(spark, sf, *ROW_KEY, *CATS)
     return Workflow(CATS >> Categorify()).fit(train).transform(train.unionByName(valid), ROW_KEY)
 
 

@@ -28,6 +28,7 @@ class Seen(Exception):
         ("split_features_label", "ctrflow.operators.columns", "split_features_label", 0),
         ("join_vocab", wf.FittedWorkflow, "transform", 1),
         ("workflow_transform_new", wf.FittedWorkflow, "transform", 1),
+        ("categorify_transform", wf.FittedWorkflow, "transform", 1),
         ("sink_features", wf.FittedWorkflow, "transform", 1),
     ],
 )
