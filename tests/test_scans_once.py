@@ -45,6 +45,19 @@ def test_rows_read_several_times_are_written_down(spark, monkeypatch, name, owne
     assert seen and not [f for f in seen if "lineitem" in f or "day=" in f]
 
 
+def test_stream_transform_fits_on_the_rows_that_arrive(spark, monkeypatch):
+    seen = []
+
+    def look(self, train):
+        seen.extend(train.inputFiles())
+        raise Seen
+
+    monkeypatch.setattr(wf.Workflow, "fit", look)
+    with pytest.raises(Seen):
+        catalog.QUERIES["stream_transform"](spark, SF)
+    assert seen and all("arriving" in f for f in seen)
+
+
 def test_orders_meet_customers_before_the_line_items(spark, capsys):
     fixtures.clicks(spark, SF).explain("extended")
     plan = capsys.readouterr().out.split("== Optimized Logical Plan ==")[1].split("== Physical Plan ==")[0]
