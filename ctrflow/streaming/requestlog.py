@@ -19,7 +19,8 @@ LOG_TIME = "%d_%m_%Y-%H-%M-%S"
 class RequestLog:
     """Rows wait in ``pending/batch_id=N``, one folder per micro-batch. When at least
     ``min_rows`` wait and ``min_gap`` has passed since the last flush, all that wait become
-    one table ``log/batch_id=N/<time>.parquet``, of as many files as its size asks for.
+    one table ``log/batch_id=N/<time>.parquet``, of as many files as its size asks for. A batch
+    that is enough by itself, with no others waiting, goes there at once and is written a single time.
 
     ``state/batch_id=N`` records the flush that batch N caused and is written last. A batch
     that is played again overwrites its own folders, so no row is logged twice. Pending
@@ -52,6 +53,16 @@ class RequestLog:
 
     def batch(self, df: DataFrame, batch_id: int) -> None:
         """One micro-batch: store it, and flush when both conditions hold."""
+        done = self.flushes()
+        if any(b >= batch_id for b, _ in done):
+            return
+        # a flush that was cut short may have left rows there
+        delete_path(self.spark, self._folder("log", batch_id))
+        after, at = done[-1][0] if done else -1, self.now()
+        if after == batch_id - 1 and self._due(done, at) and df.limit(self.min_rows).count() >= self.min_rows:
+            self._log(df, batch_id, at)
+            self._record(done, batch_id, at, self.spark.read.schema(df.schema).parquet(self._file(batch_id, at)).count())
+            return
         df.write.mode("overwrite").parquet(self._folder("pending", batch_id))
         self._flush(df.schema, batch_id, force=False)
 
@@ -69,29 +80,39 @@ class RequestLog:
         ).first()[0]
         return last is not None and self._flush(schema, last, force=True)
 
-    def _flush(self, schema: T.StructType, batch_id: int, force: bool) -> bool:
-        done = self.flushes()
-        if any(b >= batch_id for b, _ in done):
-            return False
-        after, flushed_at = done[-1] if done else (-1, None)
-        folders = [self._folder("pending", b) for b in range(after + 1, batch_id + 1)]
-        waiting = self.spark.read.schema(schema).parquet(*folders)
-        rows, at = waiting.count(), self.now()
-        due = flushed_at is None or at.timestamp() - flushed_at >= self.min_gap.total_seconds()
-        if rows == 0 or not (force or (rows >= self.min_rows and due)):
-            return False
+    def _due(self, done: list[tuple[int, float]], at: datetime) -> bool:
+        return not done or at.timestamp() - done[-1][1] >= self.min_gap.total_seconds()
+
+    def _file(self, batch_id: int, at: datetime) -> str:
+        return f"{self._folder('log', batch_id)}/{at.strftime(LOG_TIME)}.parquet"
+
+    def _log(self, rows: DataFrame, batch_id: int, at: datetime) -> None:
         # the folder goes first: a flush that was cut short may have left another time there
         delete_path(self.spark, self._folder("log", batch_id))
-        name = at.strftime(LOG_TIME) + ".parquet"
-        waiting.write.parquet(f"{self._folder('log', batch_id)}/{name}")
+        rows.write.parquet(self._file(batch_id, at))
+
+    def _record(self, done: list[tuple[int, float]], batch_id: int, at: datetime, rows: int) -> None:
         record = local_table(self.spark, "at double, rows bigint", [(at.timestamp(), rows)])
         record.write.mode("overwrite").parquet(self._folder("state", batch_id))
         # what the flush before this one has covered cannot be played again
         for old, _ in done[:-1]:
             delete_path(self.spark, self._folder("state", old))
-        first = done[-2][0] if len(done) > 1 else -1
+        first, after = done[-2][0] if len(done) > 1 else -1, done[-1][0] if done else -1
         for old in range(first + 1, after + 1):
             delete_path(self.spark, self._folder("pending", old))
+
+    def _flush(self, schema: T.StructType, batch_id: int, force: bool) -> bool:
+        done = self.flushes()
+        if any(b >= batch_id for b, _ in done):
+            return False
+        after = done[-1][0] if done else -1
+        folders = [self._folder("pending", b) for b in range(after + 1, batch_id + 1)]
+        waiting = self.spark.read.schema(schema).parquet(*folders)
+        rows, at = waiting.count(), self.now()
+        if rows == 0 or not (force or (rows >= self.min_rows and self._due(done, at))):
+            return False
+        self._log(waiting, batch_id, at)
+        self._record(done, batch_id, at, rows)
         return True
 
     def read(self) -> DataFrame:

@@ -7,6 +7,7 @@ import pytest
 from ctrflow.operators import statistics as st
 from ctrflow.operators import workflow as wf
 from ctrflow.plans import catalog, fixtures
+from ctrflow.streaming.requestlog import RequestLog
 
 SF = "/root/testdata/sf0.001"
 
@@ -87,3 +88,23 @@ def test_numbers_are_counted_by_bin_and_region(spark):
         for key in ((side, b, None, None), (side, None, region, v + 0.0 if region % 2 else None)):
             want[key] = want.get(key, 0) + 1
     assert got == want
+
+
+def test_a_batch_that_is_enough_is_written_once(spark, tmp):
+    from datetime import timedelta
+
+    from ctrflow.scratch import exists
+
+    log = RequestLog(spark, f"{tmp}/log", 5, timedelta(0))
+    log.batch(spark.range(10), 0)
+    assert not exists(spark, f"{tmp}/log/pending/batch_id=0")
+    log.batch(spark.range(10, 13), 1)
+    assert exists(spark, f"{tmp}/log/pending/batch_id=1")
+    log.batch(spark.range(20, 30), 2)
+    # as if a flush of the next batch had been cut short, and the clock then set back
+    spark.range(90, 99).write.parquet(f"{tmp}/log/log/batch_id=3/old.parquet")
+    log.min_gap = timedelta(days=1)
+    log.batch(spark.range(30, 40), 3)
+    assert sorted(r.id for r in log.read().collect()) == [*range(13), *range(20, 30)]
+    assert log.close(spark.range(1).schema)
+    assert sorted(r.id for r in log.read().collect()) == [*range(13), *range(20, 40)]
