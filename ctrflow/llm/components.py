@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ctrflow.scratch import materialize
+from ctrflow.scratch import discard, materialize
 
 
 def _both(edges: DataFrame) -> DataFrame:
@@ -40,7 +40,8 @@ def components(edges: DataFrame) -> DataFrame:
 
     seen = state(now)
     while seen[0]:
-        now = materialize(_small(_large(now).distinct()).distinct(), "edges")
+        before, now = now, materialize(_small(_large(now).distinct()).distinct(), "edges")
+        discard(before)
         after = state(now)
         if after == seen:
             break

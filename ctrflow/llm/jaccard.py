@@ -9,6 +9,8 @@ prefix elements as it must: what two sets share is in both prefixes, was left ou
 
 Documents of equal sets are one class. Before the join, classes are compared with one class per prefix
 element, in a few rounds with another one each, and what is linked so becomes one group: members of a group need not find each other again.
+The first is the class with the fewest elements of its own. Elements that only one group holds are then left out, and a
+class that has lost too many to be similar to any other is not looked for.
 The pairs that are left are verified in rounds, too: a class with the one that it met most often; what a round has linked
 is united, and pairs inside one group are dropped. A large group of near copies so costs few pairs within it.
 """
@@ -20,7 +22,7 @@ from fractions import Fraction
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ctrflow.llm.arrays import U, blocks, lists, mix, sets, shingles, utf8, words
@@ -194,16 +196,35 @@ def _linked_in_rounds(
     return links
 
 
-def _elements(signed: DataFrame) -> DataFrame:
-    """``(e, id, at, size, df, grp)``: prefix elements that at least two classes share, each class a group of its own."""
+def _across_groups(held: DataFrame, p: int, q: int) -> DataFrame:
+    """``(e, id, at, size, grp, df, before, lost)`` of what can still tie a class to another group.
+
+    What two sets share before a shared prefix element is in both prefixes; so of the ``at`` elements before it only those count
+    that stand in prefixes of several groups, ``before``. Where so many others are lost that the rest is no longer
+    similar enough to the whole, an element leads to no link.
+    """
+    shared = held.groupBy("e").agg(
+        F.count(F.lit(1)).alias("df"), F.min("grp").alias("g0"), F.max("grp").alias("g1")
+    ).where("g0 <> g1").select("e", "df")
+    by = Window.partitionBy("id")
+    ranked = held.select("e", "id", "at", "size", "grp").join(shared, "e").withColumn(
+        "before", (F.row_number().over(by.orderBy("at")) - 1).cast("bigint")
+    )
+    useful = ranked.where((F.col("size") - (F.col("at") - F.col("before"))) * q >= F.col("size") * p)
+    return materialize(useful.withColumn("lost", F.max(F.col("at") - F.col("before")).over(by)), "elements")
+
+
+def _elements(signed: DataFrame, p: int, q: int) -> DataFrame:
+    """Prefix elements that at least two classes share, each class a group of its own."""
     rows = signed.where("size > 0").select("id", "size", F.posexplode("prefix").alias("at", "e"))
     again = rows.groupBy("e").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("e")
     # copies of a class are one row from here on
     own = rows.join(again, "e").groupBy("e", "id").agg(F.min("at").alias("at"), F.min("size").alias("size"))
-    own = materialize(own, "elements")
-    df = own.groupBy("e").agg(F.count(F.lit(1)).alias("df")).where("df > 1")
-    elements = materialize(own.join(df, "e").withColumn("grp", F.col("id")), "elements")
-    discard(own)
+    own = materialize(own.withColumn("grp", F.col("id")), "elements")
+    some = _across_groups(own, p, q)
+    # where elements were of no use, others are in one class only now
+    elements = _across_groups(some, p, q)
+    discard(own, some)
     return elements
 
 
@@ -234,8 +255,8 @@ def link_groups(
         ),
         "classes",
     )
-    elements = _elements(signed)
     p, q = threshold.numerator, threshold.denominator
+    elements = _elements(signed, p, q)
 
     def slack(c: str):
         return F.col(c) - F.expr(f"({c} * {p} + {q - 1}) div {q}")
@@ -250,7 +271,9 @@ def link_groups(
     # round, and only where elements are still shared across groups
     links = None
     for turn in range(ROUNDS):
-        firsts = elements.groupBy("e").agg(F.min_by("id", F.xxhash64("id", F.lit(turn))).alias("a"))
+        # the first is the one that has least of its own: near copies with changes in different places are nearest to it
+        order = F.struct(F.lit(0) if turn else F.col("lost"), F.xxhash64("id", F.lit(turn)))
+        firsts = elements.groupBy("e").agg(F.min_by("id", order).alias("a"))
         held = elements.groupBy("id").agg(F.count(F.lit(1)).alias("held"))
         known = classes.select(F.col("id").alias("a"), F.col("size").alias("other"))
         if links is None:
@@ -270,14 +293,13 @@ def link_groups(
         links = found if links is None else links.union(found)
         groups = _groups(links)
         grouped = elements.drop("grp").join(groups, "id", "left").withColumn("grp", F.coalesce("grp", "id"))
-        mixed = grouped.groupBy("e").agg(F.min("grp").alias("g0"), F.max("grp").alias("g1")).where("g0 <> g1").select("e")
-        before, elements = elements, materialize(grouped.join(mixed, "e").select(*elements.columns), "elements")
+        before, elements = elements, _across_groups(grouped, p, q)
         discard(before)
 
     # then all pairs across groups
     index = elements.withColumn("base", slack("size") + 1)
     listed = index.groupBy("id", "size", "grp", "base").agg(
-        F.sort_array(F.collect_list(F.struct("df", "at", "e")), asc=False).alias("l")
+        F.sort_array(F.collect_list(F.struct("df", "at", "e", "before")), asc=False).alias("l")
     )
 
     def plan(matches: int):
@@ -293,17 +315,20 @@ def link_groups(
     ).select(
         F.col("id").alias("b"), F.col("size").alias("size_b"), F.col("grp").alias("grp_b"), F.col("p.matches").alias("l"),
         F.explode("p.used").alias("u"),
-    ).select("b", "size_b", "grp_b", "l", F.col("u.e").alias("e"), F.col("u.at").alias("at_b"))
+    ).select("b", "size_b", "grp_b", "l", F.col("u.e").alias("e"), F.col("u.at").alias("at_b"), F.col("u.before").alias("before_b"))
     # elements that two sets of these sizes have to share
     due = F.expr(f"((size_a + size_b) * {p} + {p + q - 1}) div {p + q}")
     # at most so many stand before, at and behind a shared one
-    placed = F.least("at_a", "at_b") + F.least(F.col("size_a") - F.col("at_a"), F.col("size_b") - F.col("at_b"))
+    placed = F.least("before_a", "before_b") + F.least(F.col("size_a") - F.col("at_a"), F.col("size_b") - F.col("at_b"))
     # of what is shared, all but what stands behind one prefix or was left out must have been met
     behind = F.greatest(
         F.lit(0), slack_after("size_b", F.col("l")), slack_after("size_a", F.lit(MATCHES))
     )
     candidates = (
-        index.select("e", F.col("id").alias("a"), F.col("size").alias("size_a"), F.col("grp").alias("grp_a"), F.col("at").alias("at_a"))
+        index.select(
+            "e", F.col("id").alias("a"), F.col("size").alias("size_a"), F.col("grp").alias("grp_a"), F.col("at").alias("at_a"),
+            F.col("before").alias("before_a"),
+        )
         .join(probes, "e")
         .where("grp_a <> grp_b and (size_a < size_b or (size_a = size_b and a < b))")
         .where(near("size_a", "size_b") & (placed >= due))
