@@ -1,6 +1,8 @@
 """Nulls, empty and long texts, ties, repeated rows, empty tables and clashing columns."""
 
 import hashlib
+import itertools
+import random
 from fractions import Fraction
 
 import pytest
@@ -425,3 +427,37 @@ def test_small_sets_at_a_low_threshold(spark):
     docs = spark.createDataFrame(rows, "doc_id bigint, text string")
     got = jaccard.link_groups(docs, n=1, threshold=Fraction(1, 2)).collect()
     assert {r.doc_id: r.component_id for r in got} == want
+
+
+def test_near_copies_beyond_the_threshold_are_not_paired(spark, monkeypatch):
+    """A large group of near copies, most of them too far from each other: few pairs are compared, no link is lost."""
+    rng = random.Random(7)
+    base = [f"b{i}" for i in range(150)]
+    rows = []
+    for i in range(240):
+        words = list(base)
+        # one change each is near enough to another one, three or more are not
+        for k, at in enumerate(rng.sample(range(5, 145), (1, 3, 4, 3)[i % 4])):
+            words[at] = f"c{i}_{k}"
+        rows.append((i, " ".join(words)))
+    sets = {i: {tuple(w[k : k + 3]) for k in range(len(w) - 2)} for i, w in ((i, t.split(" ")) for i, t in rows)}
+    linked = [
+        (a, b) for a, b in itertools.combinations(sets, 2)
+        if 10 * len(sets[a] & sets[b]) >= 9 * len(sets[a] | sets[b])
+    ]
+    root = list(range(len(rows)))
+    for _ in rows:
+        for a, b in linked:
+            root[a] = root[b] = min(root[a], root[b])
+    compared = []
+    verified = jaccard._verified
+
+    def counted(pairs, known, threshold):
+        compared.append(pairs.count())
+        return verified(pairs, known, threshold)
+
+    monkeypatch.setattr(jaccard, "_verified", counted)
+    docs = spark.createDataFrame(rows, "doc_id int, text string")
+    got = jaccard.link_groups(docs, n=3, threshold=Fraction(9, 10)).collect()
+    assert {r.doc_id: r.component_id for r in got} == dict(enumerate(root))
+    assert sum(compared) < 10 * len(rows)
