@@ -4,14 +4,15 @@ Two sets of Jaccard similarity at least t share l elements among the first |x| -
 each, in any common order. Rare elements come first here: they are hashed into an array of counters of a fixed size, which
 all tasks fill and sum, and ordered by their counter. A document may take a longer
 prefix (a larger l) and then leave out its l - 1 most frequent elements when it looks for partners, for at least one of the
-l shared ones remains. l is the one of least estimated cost. A pair is compared in full only if it met in as many
-prefix elements as it must: what two sets share is in both prefixes, was left out, or stands behind one prefix.
+l shared ones remains. l is the one of least estimated cost. A pair meets only in elements that stand so early in both
+sets that as many are left as the two sizes ask for, and only if a bitmap of the prefixes allows for it: the bits in which the
+parities of two prefixes differ are elements that one of them lacks, and what two sets share is in both prefixes or stands behind one.
 
 Documents of equal sets are one class. Before the join, classes are compared with one class per prefix
 element, in a few rounds with another one each, and what is linked so becomes one group: members of a group need not find each other again.
 The first is the class with the fewest elements of its own. Elements that only one group holds are then left out, and a
 class that has lost too many to be similar to any other is not looked for.
-The pairs that are left are verified in rounds, too: a class with the one that it met most often; what a round has linked
+The pairs that are left are verified in rounds, too: a class with the one that it may have most in common with; what a round has linked
 is united, and pairs inside one group are dropped. A large group of near copies so costs few pairs within it.
 """
 
@@ -22,7 +23,7 @@ from fractions import Fraction
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ctrflow.llm.arrays import U, blocks, lists, mix, sets, shingles, utf8, words
@@ -170,9 +171,9 @@ def _across(pairs: DataFrame, groups: DataFrame) -> DataFrame:
 def _linked_in_rounds(
     candidates: DataFrame, links: DataFrame, classes: DataFrame, docs: DataFrame, text: str, n: int, threshold: Fraction
 ) -> DataFrame:
-    """``links`` and enough of the similar ones among ``candidates(a, b, met)`` to tie all that they tie.
+    """``links`` and enough of the similar ones among ``candidates(a, b, common)`` to tie all that they tie.
 
-    Per round each class is compared with one other, the one it met most often. Rounds go on while a tenth of what they
+    Per round each class is compared with one other, the one it may have most in common with. Rounds go on while a tenth of what they
     compare is linked, so that groups grow and hold more of the pairs; what is left then is verified in one go.
     """
     open_ = materialize(candidates, "candidates")
@@ -181,7 +182,7 @@ def _linked_in_rounds(
         return links
     known = _fetched(open_, classes, docs, text, n)
     while left:
-        best = F.struct(F.col("met"), F.xxhash64("a", F.lit(turn)))
+        best = F.struct(F.col("common"), F.xxhash64("a", F.lit(turn)))
         chosen = materialize(open_.groupBy("b").agg(F.max_by("a", best).alias("a")).select("a", "b"), "pairs")
         found = _verified(chosen, known, threshold)
         links = links.union(found)
@@ -196,12 +197,13 @@ def _linked_in_rounds(
     return links
 
 
-def _across_groups(held: DataFrame, p: int, q: int) -> DataFrame:
+def _across_groups(held: DataFrame, p: int, q: int, last: bool = False) -> DataFrame:
     """``(e, id, at, size, grp, df, before, lost)`` of what can still tie a class to another group.
 
     What two sets share before a shared prefix element is in both prefixes; so of the ``at`` elements before it only those count
     that stand in prefixes of several groups, ``before``. Where so many others are lost that the rest is no longer
-    similar enough to the whole, an element leads to no link.
+    similar enough to the whole, an element leads to no link. The last time, ``held`` elements
+    of a class are left, and ``bits`` are the parities of the numbers of those with each remainder by 64.
     """
     shared = held.groupBy("e").agg(
         F.count(F.lit(1)).alias("df"), F.min("grp").alias("g0"), F.max("grp").alias("g1")
@@ -211,7 +213,11 @@ def _across_groups(held: DataFrame, p: int, q: int) -> DataFrame:
         "before", (F.row_number().over(by.orderBy("at")) - 1).cast("bigint")
     )
     useful = ranked.where((F.col("size") - (F.col("at") - F.col("before"))) * q >= F.col("size") * p)
-    return materialize(useful.withColumn("lost", F.max(F.col("at") - F.col("before")).over(by)), "elements")
+    useful = useful.withColumn("lost", F.max(F.col("at") - F.col("before")).over(by))
+    if last:
+        parity = F.bit_xor(F.expr("shiftleft(1L, cast(pmod(e, 64) as int))"))
+        useful = useful.withColumns({"held": F.count(F.lit(1)).over(by), "bits": parity.over(by)})
+    return materialize(useful, "elements")
 
 
 def _elements(signed: DataFrame, p: int, q: int) -> DataFrame:
@@ -228,6 +234,64 @@ def _elements(signed: DataFrame, p: int, q: int) -> DataFrame:
     return elements
 
 
+def _near(x: str, y: str, p: int, q: int) -> Column:
+    return (F.col(x) * q >= F.col(y) * p) & (F.col(y) * q >= F.col(x) * p)
+
+
+def _meetings(elements: DataFrame, p: int, q: int) -> DataFrame:
+    """``(a, b, common)``: pairs of classes across groups per element that leads to them; ``common`` is what both prefixes hold at most."""
+
+    def slack(c: str) -> Column:
+        return F.col(c) - F.expr(f"({c} * {p} + {q - 1}) div {q}")
+
+    def due(x: str, y: str) -> Column:
+        # elements that two sets of these sizes have to share
+        return F.expr(f"(({x} + {y}) * {p} + {p + q - 1}) div {p + q}")
+
+    def behind(c: str) -> Column:
+        return F.greatest(F.col(c) - (slack(c) + MATCHES), F.lit(0))
+
+    listed = elements.withColumn("base", slack("size") + 1).groupBy("id", "size", "grp", "base", "held", "bits").agg(
+        F.sort_array(F.collect_list(F.struct("df", "at", "e", "before")), asc=False).alias("l")
+    )
+
+    def plan(matches: int):
+        inside = F.filter("l", lambda s: s["at"] < F.col("base") + (matches - 1))
+        used = F.slice(inside, matches, F.greatest(F.size(inside), F.lit(1)))
+        cost = F.aggregate(used, F.lit(0).cast("bigint"), lambda c, s: c + s["df"])
+        # a set has to share so many elements with any other that is linked with it
+        fits = F.lit(matches) <= F.greatest(F.expr(f"(size * {p} + {q - 1}) div {q}"), F.lit(1))
+        return F.when(fits, F.struct(cost.alias("cost"), F.lit(matches).alias("matches"), used.alias("used")))
+
+    probes = listed.select(
+        "id", "size", "grp", "held", "bits", F.array_min(F.array(*[plan(m) for m in range(1, MATCHES + 1)])).alias("p")
+    ).select(
+        F.col("id").alias("b"), F.col("size").alias("size_b"), F.col("grp").alias("grp_b"), F.col("held").alias("held_b"),
+        F.col("bits").alias("bits_b"), F.col("p.matches").alias("l"), F.explode("p.used").alias("u"),
+    ).select(
+        "b", "size_b", "grp_b", "held_b", "bits_b", "l", F.col("u.e").alias("e"), F.col("u.at").alias("at_b"),
+        F.col("u.before").alias("before_b"),
+    )
+    # the other set is as large or larger, so that the first shared elements of this one stand the earlier
+    index = elements.where(F.col("at") < F.col("size") - due("size", "size") + MATCHES).select(
+        "e", *[F.col(c).alias("a" if c == "id" else f"{c}_a") for c in ("id", "size", "grp", "at", "before", "held", "bits")]
+    )
+    enough = due("size_a", "size_b")
+    # behind each of the first l shared elements stand so many others that are shared
+    early = (F.col("at_a") < F.col("size_a") - enough + F.col("l")) & (F.col("at_b") < F.col("size_b") - enough + F.col("l"))
+    # at most so many stand before, at and behind a shared one
+    placed = F.least("before_a", "before_b") + F.least(F.col("size_a") - F.col("at_a"), F.col("size_b") - F.col("at_b"))
+    apart = F.bit_count(F.col("bits_a").bitwiseXOR(F.col("bits_b")))
+    common = F.expr("held_a + held_b") - apart
+    return (
+        index.join(probes, "e")
+        .where("grp_a <> grp_b and (size_a < size_b or (size_a = size_b and a < b))")
+        .where(_near("size_a", "size_b", p, q) & early & (placed >= enough))
+        .where(common >= 2 * (enough - F.greatest(behind("size_a"), behind("size_b"))))
+        .select("a", "b", common.alias("common"))
+    )
+
+
 def link_groups(
     docs: DataFrame, text: str = "text", keep: list[str] | None = None, n: int = 5,
     threshold: Fraction = Fraction(4, 5), name: str = "doc_id",
@@ -258,15 +322,6 @@ def link_groups(
     p, q = threshold.numerator, threshold.denominator
     elements = _elements(signed, p, q)
 
-    def slack(c: str):
-        return F.col(c) - F.expr(f"({c} * {p} + {q - 1}) div {q}")
-
-    def slack_after(c: str, matches):
-        return F.col(c) - (slack(c) + matches)
-
-    def near(x: str, y: str):
-        return (F.col(x) * q >= F.col(y) * p) & (F.col(y) * q >= F.col(x) * p)
-
     # first, some rounds of each class with one class per element, where they share most of them; another one each
     # round, and only where elements are still shared across groups
     links = None
@@ -286,59 +341,18 @@ def link_groups(
             )
             .join(held, "id").where("2 * m >= held")
             .join(known, "a")
-            .where(near("size", "other") & (F.col("grp") != F.coalesce("other_grp", "a")))
+            .where(_near("size", "other", p, q) & (F.col("grp") != F.coalesce("other_grp", "a")))
             .select("a", F.col("id").alias("b"))
         )
         found = _linked(stars, classes, renamed, "__text", n, threshold)
         links = found if links is None else links.union(found)
         groups = _groups(links)
         grouped = elements.drop("grp").join(groups, "id", "left").withColumn("grp", F.coalesce("grp", "id"))
-        before, elements = elements, _across_groups(grouped, p, q)
+        before, elements = elements, _across_groups(grouped, p, q, turn + 1 == ROUNDS)
         discard(before)
 
     # then all pairs across groups
-    index = elements.withColumn("base", slack("size") + 1)
-    listed = index.groupBy("id", "size", "grp", "base").agg(
-        F.sort_array(F.collect_list(F.struct("df", "at", "e", "before")), asc=False).alias("l")
-    )
-
-    def plan(matches: int):
-        inside = F.filter("l", lambda s: s["at"] < F.col("base") + (matches - 1))
-        used = F.slice(inside, matches, F.greatest(F.size(inside), F.lit(1)))
-        cost = F.aggregate(used, F.lit(0).cast("bigint"), lambda c, s: c + s["df"])
-        # a set has to share so many elements with any other that is linked with it
-        fits = F.lit(matches) <= F.greatest(F.expr(f"(size * {p} + {q - 1}) div {q}"), F.lit(1))
-        return F.when(fits, F.struct(cost.alias("cost"), F.lit(matches).alias("matches"), used.alias("used")))
-
-    probes = listed.select(
-        "id", "size", "grp", F.array_min(F.array(*[plan(m) for m in range(1, MATCHES + 1)])).alias("p")
-    ).select(
-        F.col("id").alias("b"), F.col("size").alias("size_b"), F.col("grp").alias("grp_b"), F.col("p.matches").alias("l"),
-        F.explode("p.used").alias("u"),
-    ).select("b", "size_b", "grp_b", "l", F.col("u.e").alias("e"), F.col("u.at").alias("at_b"), F.col("u.before").alias("before_b"))
-    # elements that two sets of these sizes have to share
-    due = F.expr(f"((size_a + size_b) * {p} + {p + q - 1}) div {p + q}")
-    # at most so many stand before, at and behind a shared one
-    placed = F.least("before_a", "before_b") + F.least(F.col("size_a") - F.col("at_a"), F.col("size_b") - F.col("at_b"))
-    # of what is shared, all but what stands behind one prefix or was left out must have been met
-    behind = F.greatest(
-        F.lit(0), slack_after("size_b", F.col("l")), slack_after("size_a", F.lit(MATCHES))
-    )
-    candidates = (
-        index.select(
-            "e", F.col("id").alias("a"), F.col("size").alias("size_a"), F.col("grp").alias("grp_a"), F.col("at").alias("at_a"),
-            F.col("before").alias("before_a"),
-        )
-        .join(probes, "e")
-        .where("grp_a <> grp_b and (size_a < size_b or (size_a = size_b and a < b))")
-        .where(near("size_a", "size_b") & (placed >= due))
-        .groupBy("a", "b")
-        .agg(
-            F.count(F.lit(1)).alias("met"), F.max("l").alias("l"), F.max("size_a").alias("size_a"), F.max("size_b").alias("size_b")
-        )
-        .where(F.col("met") + (F.col("l") - 1) + behind >= due)
-        .select("a", "b", "met")
-    )
+    candidates = _meetings(elements, p, q).groupBy("a", "b").agg(F.max("common").alias("common"))
     links = _linked_in_rounds(candidates, links, classes, renamed, "__text", n, threshold)
     discard(elements)
     united = components(links)

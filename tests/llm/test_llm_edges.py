@@ -461,3 +461,38 @@ def test_near_copies_beyond_the_threshold_are_not_paired(spark, monkeypatch):
     got = jaccard.link_groups(docs, n=3, threshold=Fraction(9, 10)).collect()
     assert {r.doc_id: r.component_id for r in got} == dict(enumerate(root))
     assert sum(compared) < 10 * len(rows)
+
+
+def test_near_copies_beyond_the_threshold_seldom_meet(spark, monkeypatch):
+    """Elements of a large group of near copies that are too far from each other lead to few pairs, linked ones included."""
+    rng = random.Random(11)
+    base = [f"b{i}" for i in range(150)]
+    rows = []
+    for i in range(240):
+        words = list(base)
+        for k, at in enumerate(rng.sample(range(5, 145), 3 + i % 3)):
+            words[at] = f"c{i}_{k}"
+        if i % 20 == 0:
+            # a copy of the one before with a change of its own
+            words = rows[-1][1].split(" ") if rows else words
+            words[i % 150] = f"own{i}"
+        rows.append((i, " ".join(words)))
+    sets = {i: {tuple(w[k : k + 5]) for k in range(len(w) - 4)} for i, w in ((i, t.split(" ")) for i, t in rows)}
+    linked = [(a, b) for a, b in itertools.combinations(sets, 2) if 5 * len(sets[a] & sets[b]) >= 4 * len(sets[a] | sets[b])]
+    root = list(range(len(rows)))
+    for _ in rows:
+        for a, b in linked:
+            root[a] = root[b] = min(root[a], root[b])
+    met = []
+    meetings = jaccard._meetings
+
+    def counted(*how):
+        found = meetings(*how)
+        met.append(found.count())
+        return found
+
+    monkeypatch.setattr(jaccard, "_meetings", counted)
+    docs = spark.createDataFrame(rows, "doc_id int, text string")
+    got = jaccard.link_groups(docs, n=5, threshold=Fraction(4, 5)).collect()
+    assert {r.doc_id: r.component_id for r in got} == dict(enumerate(root))
+    assert len(met) == 1 and met[0] < 40 * len(rows)
