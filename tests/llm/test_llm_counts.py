@@ -328,3 +328,17 @@ def test_divergence_edges(spark):
     assert divergence.audit(none).collect() == []
     got = divergence.audit(table(spark, [(1, None, None, "a"), (2, "x", None, "b"), (3, "y", "en", None)])).collect()
     assert sorted(map(tuple, got)) == [("", "a", "pair", "b", 0, 1), ("", "b", "pair", "a", 0, 1)]
+
+
+def test_tries_share_passes_over_the_corpus(spark, monkeypatch):
+    from ctrflow.llm import collocations as co
+
+    words = [f"w{i}" for i in range(30)]
+    texts = [" ".join(words[i:] + words[:i]) for i in range(30)]
+    rows = spark.createDataFrame([("en", t) for t in texts], "lang string, text string")
+    passes, run = [], co._occurrences
+    monkeypatch.setattr(co, "_occurrences", lambda *a: passes.append(a) or run(*a))
+    _, _, counted = co.count_phrases(rows, 3, 10, trie=8)
+    found = sorted((len(r.phrase), r.a) for r in counted.collect())
+    assert found == [(2, 29)] * 30 + [(3, 28)] * 30
+    assert len(passes) == 1
